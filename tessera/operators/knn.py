@@ -46,47 +46,77 @@ WEIGHTINGS = ("uniform", "distance")
 CHUNK_CELLS = 4_000_000
 
 
+def _first_equal(row: np.ndarray, value: float, count: int) -> np.ndarray:
+    """Positions of the first ``count`` entries equal to ``value``, scanning
+    growing segments so that frequent values stop early."""
+    found: list[np.ndarray] = []
+    start, step, left = 0, 1024, count
+    while left > 0 and start < len(row):
+        hit = np.flatnonzero(row[start : start + step] == value)[:left] + start
+        found.append(hit)
+        left -= len(hit)
+        start += step
+        step *= 4
+    return np.concatenate(found)
+
+
 def block_top_k(q_ids, q_x, t_ids, t_x, t_y, k: int, metric: str):
     """Top-k training rows per query for one block pair, as flat arrays
-    (query id, training id, distance, target, rank within block)."""
+    (query id, training id, distance, target, rank within block).
+
+    Exact: candidates are the k smallest distances; when the k-th distance is
+    tied, the tied training rows with the lowest ids are taken, as a stable
+    sort in id order would.
+    """
     order = np.argsort(t_ids, kind="stable")
-    t_ids, t_x, t_y = t_ids[order], t_x[order], t_y[order]
+    t_ids, t_y = t_ids[order], t_y[order]
+    t_cols = [np.ascontiguousarray(t_x[order, j]) for j in range(t_x.shape[1])]
     nt = len(t_ids)
     kk = min(k, nt)
     chunk = max(1, CHUNK_CELLS // max(nt, 1))
+    euclid = metric == "euclidean"
     outs = []
     for s in range(0, len(q_ids), chunk):
         qx = q_x[s : s + chunk]
-        acc = np.zeros((len(qx), nt))
-        for j in range(qx.shape[1]):
-            diff = qx[:, j : j + 1] - t_x[None, :, j]
-            acc += diff * diff if metric == "euclidean" else np.abs(diff)
-        dist = np.sqrt(acc) if metric == "euclidean" else acc
+        m = len(qx)
+        acc = np.zeros((m, nt))
+        buf = np.empty((m, nt))
+        for j, tc in enumerate(t_cols):
+            np.subtract(qx[:, j : j + 1], tc[None, :], out=buf)
+            if euclid:
+                np.multiply(buf, buf, out=buf)
+            else:
+                np.abs(buf, out=buf)
+            acc += buf
+        if euclid:
+            np.sqrt(acc, out=acc)
+        dist = acc
         if kk < nt:
-            kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1 : kk]
-            less = dist < kth
-            need = kk - less.sum(axis=1, keepdims=True)
-            eq = dist == kth
-            sel = less | (eq & (np.cumsum(eq, axis=1) <= need))
+            cols = np.argpartition(dist, kk - 1, axis=1)[:, :kk]
+            dsel = np.take_along_axis(dist, cols, axis=1)
+            kth = dsel.max(axis=1)
+            n_le = np.count_nonzero(dist <= kth[:, None], axis=1)
+            # rows with ties at the k-th distance: keep the lowest positions
+            # (the k smallest always contain every strictly closer row)
+            for r in np.flatnonzero(n_le > kk):
+                v = kth[r]
+                below = cols[r][dsel[r] < v]
+                cols[r] = np.concatenate([below, _first_equal(dist[r], v, kk - len(below))])
+            dsel = np.take_along_axis(dist, cols, axis=1)
         else:
-            sel = np.ones_like(dist, dtype=bool)
-        rows, cols = np.nonzero(sel)  # row-major: kk per row, columns ascending
-        rows = rows.reshape(-1, kk)
-        cols = cols.reshape(-1, kk)
-        dsel = np.take_along_axis(dist, cols, axis=1)
-        # order each query's candidates by (distance, training position):
-        # columns are ascending already, so a stable sort on distance does it
-        rk = np.argsort(dsel, axis=1, kind="stable")
+            cols = np.tile(np.arange(nt), (m, 1))
+            dsel = dist
+        # order each query's candidates by (distance, training position)
+        rk = np.lexsort((cols, dsel), axis=1)
         cols = np.take_along_axis(cols, rk, axis=1)
         dsel = np.take_along_axis(dsel, rk, axis=1)
-        qidx = rows[:, 0] + s
         outs.append(
             (
-                np.repeat(q_ids[qidx], kk),
+                np.repeat(q_ids[s : s + m], kk),
                 t_ids[cols.ravel()],
                 dsel.ravel(),
                 t_y[cols.ravel()],
-                np.tile(np.arange(1, kk + 1), len(qidx)),
+                np.tile(np.arange(1, kk + 1), m),
             )
         )
     if not outs:

@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from .. import errors as E
 from ..frames import Matrix, as_matrix
+from ..functions import sqltext as S
 from ..functions.vector import affine, log_loss, sigmoid
-from ..session import persist
+from ..session import ITERATION_CONF, persist, scoped_conf
 from .checks import check_feature_count, scan
 
 TRACE_EVERY = 100
@@ -148,24 +149,24 @@ class LogisticRegression:
         m, n, d = res.matrix, res.n_rows, res.n_features
         xs = m.xs(d)
         base = persist(df.select(*[x.alias(f"_x{i}") for i, x in enumerate(xs)], F.col(target).cast("double").alias("_y")))
-        bx = [F.col(f"_x{i}") for i in range(d)]
-        by = F.col("_y")
+        names = [f"_x{i}" for i in range(d)]
         w = np.zeros(d + 1)
         losses: dict[int, float] = {}
         lr = self.learning_rate
         try:
-            for it in range(self.iterations):
-                p = sigmoid(affine(bx, w))
-                err = p - by
-                aggs = [F.sum(err).alias("g0")] + [F.sum(err * x).alias(f"g{i + 1}") for i, x in enumerate(bx)]
-                if it % TRACE_EVERY == 0:
-                    aggs.append(F.avg(log_loss(p, by)).alias("loss"))
-                row = base.agg(*aggs).first()
-                grad = np.array([row[f"g{i}"] for i in range(d + 1)], dtype=float)
-                if it % TRACE_EVERY == 0:
-                    losses[it] = row["loss"]
-                with np.errstate(all="ignore"):
-                    w = w - lr * grad / n
+            with scoped_conf(df.sparkSession, ITERATION_CONF):
+                for it in range(self.iterations):
+                    p = S.sigmoid(S.affine(names, w))
+                    err = f"({p} - _y)"
+                    aggs = [f"sum({err}) AS g0"] + [f"sum({err} * {x}) AS g{i + 1}" for i, x in enumerate(names)]
+                    if it % TRACE_EVERY == 0:
+                        aggs.append(f"avg({S.log_loss(p, '_y')}) AS loss")
+                    row = base.selectExpr(*aggs).first()
+                    grad = np.array([row[f"g{i}"] for i in range(d + 1)], dtype=float)
+                    if it % TRACE_EVERY == 0:
+                        losses[it] = row["loss"]
+                    with np.errstate(all="ignore"):
+                        w = w - lr * grad / n
         finally:
             base.unpersist()
         return LogisticModel(weights=w, losses=losses, diverged=not bool(np.all(np.isfinite(w))))

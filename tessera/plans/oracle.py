@@ -228,10 +228,10 @@ SELECT l_orderkey, round(z1 + z2, 6) + 0.0 AS pc1, round(-z1 + z2, 6) + 0.0 AS p
 PCA_COMPONENTS = f"""
 WITH {_REVENUE_Z},
 m AS (SELECT sum(z1 * z1) / count(*) AS a, sum(z1 * z2) / count(*) AS c FROM z)
-SELECT 1 AS component, 1 AS feature_position, round(a + c, 6) + 0.0 AS eigenvalue, 1.0 AS loading FROM m
-UNION ALL SELECT 1, 2, round(a + c, 6) + 0.0, 1.0 FROM m
-UNION ALL SELECT 2, 1, round(a - c, 6) + 0.0, -1.0 FROM m
-UNION ALL SELECT 2, 2, round(a - c, 6) + 0.0, 1.0 FROM m
+SELECT 1 AS component, 1 AS feature_position, round(a + c, 6) + 0.0 AS eigenvalue, CAST(1.0 AS DOUBLE) AS loading FROM m
+UNION ALL SELECT 1, 2, round(a + c, 6) + 0.0, CAST(1.0 AS DOUBLE) FROM m
+UNION ALL SELECT 2, 1, round(a - c, 6) + 0.0, CAST(-1.0 AS DOUBLE) FROM m
+UNION ALL SELECT 2, 2, round(a - c, 6) + 0.0, CAST(1.0 AS DOUBLE) FROM m
 """
 
 # --- nearest neighbours ---------------------------------------------------------------------

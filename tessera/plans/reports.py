@@ -20,6 +20,7 @@ from ..operators.kmeans import KMeans
 from ..operators.knn import KNeighborsRegressor
 from ..operators.pca import PCA
 from ..operators.regression import LinearRegression, LogisticRegression
+from ..session import persist
 from ..sources import tables as T
 
 Report = Callable[[SparkSession, str], DataFrame]
@@ -114,8 +115,22 @@ def _memo(key, fn):
     return _FITS[key]
 
 
+def _shared(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    """A derived feature table used by several jobs (checks, moments, fit,
+    loss, scoring), computed once per session and kept with MEMORY_AND_DISK."""
+    return _memo((name, sf_dir, spark.sparkContext.applicationId), lambda: persist(build()))
+
+
+def release() -> None:
+    """Drop memoised models and unpersist shared feature tables."""
+    for v in _FITS.values():
+        if isinstance(v, DataFrame):
+            v.unpersist()
+    _FITS.clear()
+
+
 def _standardised_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = T.part_features(spark, sf_dir)
+    parts = _shared(spark, "parts", sf_dir, lambda: T.part_features(spark, sf_dir))
     return scaling.standardise(parts, PART_FEATURES, "p_partkey")
 
 
@@ -143,7 +158,7 @@ REVENUE = ["gross", "net"]
 
 
 def _pca(spark: SparkSession, sf_dir: str):
-    rev = T.order_revenue(spark, sf_dir)
+    rev = _shared(spark, "revenue", sf_dir, lambda: T.order_revenue(spark, sf_dir))
     return rev, _memo(("pca", sf_dir, spark.sparkContext.applicationId), lambda: PCA(2).fit(rev, REVENUE, "l_orderkey"))
 
 
@@ -166,7 +181,7 @@ KNN_FEATURES = ["n_lines", "sum_qty"]
 def _knn_split(spark: SparkSession, sf_dir: str):
     """Train on orders before the last year, predict the orders of the last
     year (together: the whole orders table)."""
-    of = T.order_features(spark, sf_dir)
+    of = _shared(spark, "orders", sf_dir, lambda: T.order_features(spark, sf_dir))
     latest = F.year("o_orderdate") >= F.lit(T.KNN_QUERY_YEAR)
     return of.filter(~latest), of.filter(latest)
 
@@ -211,7 +226,8 @@ LINEAR_LR, LINEAR_ITERATIONS = 0.1, 300
 
 
 def _linear(spark: SparkSession, sf_dir: str):
-    of = T.order_features(spark, sf_dir).withColumn("price_k", F.col("o_totalprice") / F.lit(1000.0))
+    of = _shared(spark, "orders", sf_dir, lambda: T.order_features(spark, sf_dir))
+    of = of.withColumn("price_k", F.col("o_totalprice") / F.lit(1000.0))
     z = scaling.standardise(of, LINEAR_FEATURES, "o_orderkey", keep=["price_k"])
     return z, _memo(
         ("linear", sf_dir, spark.sparkContext.applicationId),
@@ -242,7 +258,7 @@ LOGISTIC_LR, LOGISTIC_ITERATIONS = 0.1, 150
 
 
 def _logistic(spark: SparkSession, sf_dir: str):
-    docs = T.labelled_documents(spark, sf_dir)
+    docs = _shared(spark, "labelled_docs", sf_dir, lambda: T.labelled_documents(spark, sf_dir))
     z = scaling.standardise(docs, DOC_FEATURES, "doc_id", keep=["quality"])
     return z, _memo(
         ("logistic", sf_dir, spark.sparkContext.applicationId),

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -64,3 +65,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Iterative fits run one small aggregate per step (k or d+1 partial sums per
+# task); adaptive re-planning has nothing to gain there and costs a stage
+# round-trip per step.
+ITERATION_CONF = {"spark.sql.adaptive.enabled": "false"}
+
+
+@contextmanager
+def scoped_conf(spark, settings: dict[str, str]):
+    """Temporarily set SQL confs, restoring the previous values afterwards."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
