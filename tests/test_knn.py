@@ -1,0 +1,68 @@
+import math
+
+import pytest
+
+from conftest import matrix
+from tessera import errors as E
+from tessera.operators import KNeighborsRegressor
+
+
+def predict(spark, x, y, q, k, weighting="uniform", metric="euclidean", **kw):
+    model = KNeighborsRegressor(k, weighting, metric, **kw).fit(matrix(spark, x, y), "f", "y")
+    return [r["prediction"] for r in model.predict(matrix(spark, q), "f").orderBy("query_id").collect()]
+
+
+def test_reference_values(spark):
+    assert predict(spark, [[1, 2], [2, 3], [3, 4]], [2, 3, 4], [[2, 3]], 3) == [3.0]
+    assert predict(spark, [[0], [2], [5]], [10, 20, 30], [[1.5]], 2) == [15.0]
+    assert predict(spark, [[0], [2]], [10, 20], [[0]], 2) == [15.0]
+    assert predict(spark, [[0], [0], [1]], [2, 4, 100], [[0]], 3, "distance") == [3.0]
+    assert predict(spark, [[0], [2]], [7.5, 99], [[0]], 2, "distance") == [7.5]
+    assert predict(spark, [[0], [2], [5]], [10, 20, 30], [[1.5]], 2, "distance") == [17.5]
+
+
+@pytest.mark.parametrize("weighting", ["uniform", "distance"])
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_tie_goes_to_earlier_row(spark, weighting, metric):
+    assert predict(spark, [[0], [2], [4]], [1, 2, 3], [[1]], 1, weighting, metric) == [1.0]
+
+
+def test_blocked_plan_matches_single_block(spark):
+    x = [[i % 7, (i * 3) % 11] for i in range(60)]
+    y = [float(i) for i in range(60)]
+    q = [[i % 5, i % 9] for i in range(25)]
+    for weighting in ("uniform", "distance"):
+        one = predict(spark, x, y, q, 4, weighting)
+        many = predict(spark, x, y, q, 4, weighting, train_block_rows=7, query_block_rows=3)
+        assert one == many
+
+
+def test_neighbours_are_ranked(spark):
+    model = KNeighborsRegressor(2).fit(matrix(spark, [[0], [2], [5]], [10, 20, 30]), "f", "y")
+    nb = model.neighbours(matrix(spark, [[1.5]]), "f").orderBy("rank").collect()
+    assert [(r["rank"], r["train_id"], r["distance"]) for r in nb] == [(1, 1, 0.5), (2, 0, 1.5)]
+
+
+def test_errors(spark):
+    x = [[1, 2], [3, 4]]
+    for y, err in [([], E.EmptyTargets()), ([1], E.TargetLengthMismatch(samples=2, targets=1)),
+                   ([1, math.nan], E.NonFiniteTarget(index=2))]:
+        with pytest.raises(type(err)) as ex:
+            KNeighborsRegressor(1).fit(matrix(spark, x, y), "f", "y")
+        assert ex.value == err
+    with pytest.raises(E.NonFiniteInput) as ex:
+        KNeighborsRegressor(1).fit(matrix(spark, [[1, math.nan], [3, 4]], [1, 2]), "f", "y")
+    assert ex.value == E.NonFiniteInput(row=1, column=2)
+    for k in (0, 3):
+        with pytest.raises(E.InvalidK) as ex:
+            KNeighborsRegressor(k).fit(matrix(spark, x, [1, 2]), "f", "y")
+        assert str(ex.value) == f"k={k} is invalid for sample count 2"
+    model = KNeighborsRegressor(1).fit(matrix(spark, x, [1, 2]), "f", "y")
+    with pytest.raises(E.EmptyDataset):
+        model.predict(matrix(spark, [[1.0, 2.0]]).filter("id < 0"), "f")
+    with pytest.raises(E.EmptyRow) as ex:
+        model.predict(matrix(spark, [[]]), "f")
+    assert ex.value.row == 1
+    with pytest.raises(E.FeatureCountMismatch) as ex:
+        model.predict(matrix(spark, [[1, 2, 3]]), "f")
+    assert ex.value == E.FeatureCountMismatch(expected=2, actual=3)
