@@ -3,12 +3,15 @@
 Plan (no cross join, no broadcast of the training table, no all-pairs rows):
 
 1. Training rows are hashed by id into ``B_t`` blocks of bounded size, query
-   rows by id into ``B_q`` blocks.  Each training row is copied to every query
-   block and each query row to every training block, so group (tb, qb) holds
-   one training block and one query block - both bounded, whatever the table
-   sizes or key skew (ids are unique, so hashing them cannot create hot
-   groups).
-2. ``cogroup(...).applyInPandas`` computes, per group, the distances of each
+   rows by id into ``B_q`` blocks (at least one group per core).  Each
+   training row is copied to every query block and each query row to every
+   training block, so group (tb, qb) holds one training block and one query
+   block - both bounded, whatever the table sizes or key skew (ids are unique,
+   so hashing them cannot create hot groups).  The two sides are stacked with
+   a side flag and hash-partitioned with an explicit partition count on a key
+   picked per group so that every task gets exactly one group (and AQE does
+   not coalesce the compute-heavy groups into fewer tasks).
+2. ``groupBy(group).applyInPandas`` computes, per group, the distances of each
    query to every training row of the block in numpy (differences summed
    feature by feature, never ``|a|^2 + |b|^2 - 2ab``, so exact zeros stay
    exact) and emits only each query's k best candidates, ordered by
@@ -42,8 +45,31 @@ from ..functions.vector import check_metric
 from .checks import check_feature_count, scan
 
 WEIGHTINGS = ("uniform", "distance")
-# Distance-matrix chunk (queries x training rows) kept under this many cells.
-CHUNK_CELLS = 4_000_000
+# Distance-matrix chunk (queries x training rows) kept under this many cells,
+# small enough to stay cache-resident while every core runs a block.
+CHUNK_CELLS = 65_536
+# Use the distinct-vector path when rows outnumber distinct vectors this much.
+DEDUPE_FACTOR = 4
+
+
+def partition_keys(spark, n: int) -> list[int]:
+    """For each partition p < n, a long key that hash partitioning into n
+    partitions sends to p (Spark partitions by ``pmod(hash(key), n)``, the
+    same Murmur3 hash as the SQL ``hash`` function)."""
+    found: dict[int, int] = {}
+    span = 16 * n
+    start = 0
+    while len(found) < n:
+        rows = (
+            spark.range(start, start + span)
+            .select("id", F.pmod(F.hash("id"), F.lit(n)).alias("p"))
+            .groupBy("p").agg(F.min("id").alias("id"))
+            .collect()
+        )
+        for r in rows:
+            found.setdefault(r["p"], r["id"])
+        start += span
+    return [found[p] for p in range(n)]
 
 
 def _first_equal(row: np.ndarray, value: float, count: int) -> np.ndarray:
@@ -60,6 +86,62 @@ def _first_equal(row: np.ndarray, value: float, count: int) -> np.ndarray:
     return np.concatenate(found)
 
 
+def _distances(qx: np.ndarray, t_cols: list[np.ndarray], euclid: bool) -> np.ndarray:
+    """Query x training distances, summed feature by feature."""
+    acc = np.zeros((len(qx), len(t_cols[0])))
+    buf = np.empty_like(acc)
+    for j, tc in enumerate(t_cols):
+        np.subtract(qx[:, j : j + 1], tc[None, :], out=buf)
+        if euclid:
+            np.multiply(buf, buf, out=buf)
+        else:
+            np.abs(buf, out=buf)
+        acc += buf
+    if euclid:
+        np.sqrt(acc, out=acc)
+    return acc
+
+
+def _top_k_distinct(q_ids, q_x, t_ids, t_y, uniq, inverse, counts, kk: int, metric: str):
+    """Top-k when training vectors repeat: distances go to the distinct
+    vectors only; rows are then taken in (distance, id) order.  Rows of one
+    vector share its distance, so after sorting the distinct vectors by
+    distance, the k nearest rows lie in the shortest prefix holding >= k
+    rows, extended by every vector tied with its last distance."""
+    rows_of = np.argsort(inverse, kind="stable")  # rows grouped by vector, ids ascending
+    starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
+    u_cols = [np.ascontiguousarray(uniq[:, j]) for j in range(uniq.shape[1])]
+    euclid = metric == "euclidean"
+    chunk = max(1, CHUNK_CELLS // max(len(uniq), 1))
+    out_q, out_t, out_d, out_y = [], [], [], []
+    for s in range(0, len(q_ids), chunk):
+        dist = _distances(q_x[s : s + chunk], u_cols, euclid)
+        order = np.argsort(dist, axis=1, kind="stable")
+        dsorted = np.take_along_axis(dist, order, axis=1)
+        cum = np.cumsum(counts[order], axis=1)
+        last = np.argmax(cum >= kk, axis=1)
+        for r in range(len(dist)):
+            cut = dsorted[r, last[r]]
+            n_vec = np.searchsorted(dsorted[r], cut, side="right")
+            vecs = order[r, :n_vec]
+            rows = np.concatenate([rows_of[starts[v] : starts[v] + counts[v]] for v in vecs])
+            dd = dist[r, inverse[rows]]
+            pick = np.lexsort((rows, dd))[:kk]  # rows are id-ordered positions
+            chosen = rows[pick]
+            out_q.append(np.full(kk, q_ids[s + r]))
+            out_t.append(t_ids[chosen])
+            out_d.append(dd[pick])
+            out_y.append(t_y[chosen])
+    n = len(out_q)
+    return (
+        np.concatenate(out_q),
+        np.concatenate(out_t),
+        np.concatenate(out_d),
+        np.concatenate(out_y),
+        np.tile(np.arange(1, kk + 1), n),
+    )
+
+
 def block_top_k(q_ids, q_x, t_ids, t_x, t_y, k: int, metric: str):
     """Top-k training rows per query for one block pair, as flat arrays
     (query id, training id, distance, target, rank within block).
@@ -69,28 +151,20 @@ def block_top_k(q_ids, q_x, t_ids, t_x, t_y, k: int, metric: str):
     sort in id order would.
     """
     order = np.argsort(t_ids, kind="stable")
-    t_ids, t_y = t_ids[order], t_y[order]
-    t_cols = [np.ascontiguousarray(t_x[order, j]) for j in range(t_x.shape[1])]
+    t_ids, t_y, t_x = t_ids[order], t_y[order], t_x[order]
     nt = len(t_ids)
     kk = min(k, nt)
+    uniq, inverse, counts = np.unique(t_x, axis=0, return_inverse=True, return_counts=True)
+    if len(uniq) * DEDUPE_FACTOR <= nt:
+        return _top_k_distinct(q_ids, q_x, t_ids, t_y, uniq, inverse.ravel(), counts, kk, metric)
+    t_cols = [np.ascontiguousarray(t_x[:, j]) for j in range(t_x.shape[1])]
     chunk = max(1, CHUNK_CELLS // max(nt, 1))
     euclid = metric == "euclidean"
     outs = []
     for s in range(0, len(q_ids), chunk):
         qx = q_x[s : s + chunk]
         m = len(qx)
-        acc = np.zeros((m, nt))
-        buf = np.empty((m, nt))
-        for j, tc in enumerate(t_cols):
-            np.subtract(qx[:, j : j + 1], tc[None, :], out=buf)
-            if euclid:
-                np.multiply(buf, buf, out=buf)
-            else:
-                np.abs(buf, out=buf)
-            acc += buf
-        if euclid:
-            np.sqrt(acc, out=acc)
-        dist = acc
+        dist = _distances(qx, t_cols, euclid)
         if kk < nt:
             cols = np.argpartition(dist, kk - 1, axis=1)[:, :kk]
             dsel = np.take_along_axis(dist, cols, axis=1)
@@ -139,7 +213,7 @@ class KNNModel:
     def _blocks(self, n_query: int, spark) -> tuple[int, int]:
         b_t = max(1, math.ceil(self.n_train / self.train_block_rows))
         par = spark.sparkContext.defaultParallelism
-        b_q = max(1, min(max(math.ceil(n_query / self.query_block_rows), par), n_query))
+        b_q = max(1, min(max(math.ceil(n_query / self.query_block_rows), par // b_t), n_query))
         return b_t, b_q
 
     def neighbours(self, queries: DataFrame, features: Sequence[str] | str, id_col: str = "id",
@@ -159,18 +233,31 @@ class KNNModel:
         spark = queries.sparkSession
         b_t, b_q = self._blocks(n_query, spark)
         xcols = [f"_x{i}" for i in range(d)]
-        q = queries.select(F.col(id_col).alias("_qid"), *[x.alias(f"_x{i}") for i, x in enumerate(m.xs(d))])
-        q = q.withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(b_q))).withColumn(
-            "_tb", F.explode(F.sequence(F.lit(0), F.lit(b_t - 1)))
+        # Group g = (training block, query block); each side is copied to the
+        # groups it belongs to and the two are stacked with a side flag.
+        q = queries.select(
+            F.col(id_col).cast("long").alias("_id"), *[x.alias(f"_x{i}") for i, x in enumerate(m.xs(d))]
+        )
+        q = q.withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(b_t - 1)))).select(
+            (F.col("_tb") * F.lit(b_q) + F.pmod(F.xxhash64("_id"), F.lit(b_q))).alias("_g"),
+            F.lit(1).alias("_side"), "_id", *xcols, F.lit(None).cast("double").alias("_y"),
         )
-        t = self.train.withColumn("_tb", F.pmod(F.xxhash64("_tid"), F.lit(b_t))).withColumn(
-            "_qb", F.explode(F.sequence(F.lit(0), F.lit(b_q - 1)))
+        t = self.train.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(b_q - 1)))).select(
+            (F.pmod(F.xxhash64("_tid"), F.lit(b_t)) * F.lit(b_q) + F.col("_qb")).alias("_g"),
+            F.lit(0).alias("_side"), F.col("_tid").cast("long").alias("_id"), *xcols, "_y",
         )
+        n_groups = b_t * b_q
+        # One group per task: hash-partition on a key chosen so that group g
+        # lands in partition g (an explicit partition count is never
+        # coalesced away by AQE).
+        keys = partition_keys(spark, n_groups)
+        key_of = F.element_at(F.array(*[F.lit(k) for k in keys]), F.col("_g").cast("int") + 1)
+        stacked = t.unionByName(q).withColumn("_g", key_of).repartition(n_groups, "_g")
         qtype = queries.schema[id_col].dataType
         schema = T.StructType(
             [
-                T.StructField("query_id", qtype),
-                T.StructField("train_id", self.id_type),
+                T.StructField("query_id", T.LongType()),
+                T.StructField("train_id", T.LongType()),
                 T.StructField("distance", T.DoubleType()),
                 T.StructField("target", T.DoubleType()),
                 T.StructField("rank", T.IntegerType()),
@@ -178,15 +265,16 @@ class KNNModel:
         )
         names = [f.name for f in schema.fields]
 
-        def per_block(tpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
-            if len(tpdf) == 0 or len(qpdf) == 0:
+        def per_block(pdf: pd.DataFrame) -> pd.DataFrame:
+            tr, qr = pdf[pdf["_side"] == 0], pdf[pdf["_side"] == 1]
+            if len(tr) == 0 or len(qr) == 0:
                 return pd.DataFrame({n: [] for n in names})
             out = block_top_k(
-                qpdf["_qid"].to_numpy(),
-                qpdf[xcols].to_numpy(dtype=np.float64),
-                tpdf["_tid"].to_numpy(),
-                tpdf[xcols].to_numpy(dtype=np.float64),
-                tpdf["_y"].to_numpy(dtype=np.float64),
+                qr["_id"].to_numpy(),
+                qr[xcols].to_numpy(dtype=np.float64),
+                tr["_id"].to_numpy(),
+                tr[xcols].to_numpy(dtype=np.float64),
+                tr["_y"].to_numpy(dtype=np.float64),
                 k,
                 metric,
             )
@@ -194,10 +282,10 @@ class KNNModel:
                 return pd.DataFrame({n: [] for n in names})
             return pd.DataFrame(dict(zip(names, out)))
 
-        cands = (
-            t.groupBy("_tb", "_qb")
-            .cogroup(q.groupBy("_tb", "_qb"))
-            .applyInPandas(per_block, schema)
+        cands = stacked.groupBy("_g").applyInPandas(per_block, schema)
+        cands = cands.select(
+            F.col("query_id").cast(qtype).alias("query_id"), F.col("train_id").cast(self.id_type).alias("train_id"),
+            "distance", "target", "rank",
         )
         if b_t > 1:
             w = Window.partitionBy("query_id").orderBy("distance", "train_id")
