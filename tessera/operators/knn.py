@@ -43,6 +43,7 @@ from .. import errors as E
 from ..frames import Matrix, as_matrix
 from ..functions.vector import check_metric
 from .checks import check_feature_count, scan
+from .estimator import FittedState
 
 WEIGHTINGS = ("uniform", "distance")
 # Distance-matrix chunk (queries x training rows) kept under this many cells,
@@ -324,7 +325,7 @@ def predictions_from_neighbours(nb: DataFrame, weighting: str, output: str = "pr
     return g.select("query_id", pred.alias(output))
 
 
-class KNeighborsRegressor:
+class KNeighborsRegressor(FittedState):
     def __init__(self, k: int, weighting: str = "uniform", metric: str = "euclidean",
                  train_block_rows: int = 200_000, query_block_rows: int = 50_000):
         if weighting not in WEIGHTINGS:
@@ -346,8 +347,8 @@ class KNeighborsRegressor:
         train = df.select(
             F.col(id_col).alias("_tid"), *[x.alias(f"_x{i}") for i, x in enumerate(xs)], F.col(target).cast("double").alias("_y")
         )
-        return KNNModel(
+        return self._keep(KNNModel(
             train=train, n_train=n, n_features=d, k=self.k, weighting=self.weighting, metric=self.metric,
             id_type=df.schema[id_col].dataType, train_block_rows=self.train_block_rows,
             query_block_rows=self.query_block_rows,
-        )
+        ))

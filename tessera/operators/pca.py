@@ -24,6 +24,7 @@ from .. import errors as E
 from ..frames import as_matrix
 from ..functions.vector import dot
 from .checks import check_tolerance, scan
+from .estimator import FittedState
 from .scaling import StandardiserModel, model_from_scan, standardised_gram
 
 SCALINGS = ("last_one", "unit")
@@ -61,7 +62,7 @@ class PCAModel:
         )
 
 
-class PCA:
+class PCA(FittedState):
     def __init__(self, n_components: int, tolerance: float = 1e-8, scaling: str = "last_one"):
         if scaling not in SCALINGS:
             raise ValueError(f"scaling must be one of {SCALINGS}")
@@ -96,7 +97,12 @@ class PCA:
                 comps[i] = comps[i] / last
             elif last < 0:
                 comps[i] = -comps[i]
-        return PCAModel(scaler=scaler, components=comps, eigenvalues=values[:k])
+        return self._keep(PCAModel(scaler=scaler, components=comps, eigenvalues=values[:k]))
+
+    def transform(self, *args, **kwargs):
+        if self.model is None:
+            raise E.PredictionBeforeFit()
+        return self.model.transform(*args, **kwargs)
 
     def fit_transform(self, df: DataFrame, features: Sequence[str] | str, id_col: str = "id", **kw) -> DataFrame:
         return self.fit(df, features, id_col).transform(df, features, id_col, **kw)

@@ -28,16 +28,14 @@ from .. import errors as E
 from ..frames import Matrix, as_matrix
 from ..functions import sqltext as S
 from ..functions.vector import affine, log_loss, sigmoid
-from ..session import ITERATION_CONF, persist, scoped_conf
+from ..session import ITERATION_CONF, persist_sized, scoped_conf
 from .checks import check_feature_count, scan
+from .estimator import FittedState
+from .gram import WIDE, blocked_gram
 
 TRACE_EVERY = 100
 
 
-def _trace_points(iterations: int) -> list[int]:
-    return list(range(0, iterations, TRACE_EVERY))
-
-
 @dataclass
 class LinearModel:
     weights: np.ndarray
@@ -86,7 +84,7 @@ def _sufficient_aggs(xs: list[Column], y: Column) -> list[Column]:
     return aggs
 
 
-class LinearRegression:
+class LinearRegression(FittedState):
     def __init__(self, learning_rate: float, iterations: int):
         self.learning_rate = float(learning_rate)
         self.iterations = int(iterations)
@@ -94,20 +92,27 @@ class LinearRegression:
     def fit(self, df: DataFrame, features: Sequence[str] | str, target: str, id_col: str = "id") -> LinearModel:
         m = as_matrix(df, features, id_col)
         y = F.col(target).cast("double")
-        if m.is_array:
-            res = scan(m, target=target)
+        if m.is_array or m.n_features > WIDE:
+            res = scan(m, target=target)  # learns the width of array rows
             m = res.matrix
-            row = df.agg(*_sufficient_aggs(m.xs(), y)).first()
+            row = None
         else:
-            res = scan(m, target=target, extra_aggs=_sufficient_aggs(m.xs(), y))
+            res = scan(m, target=target, extra_aggs=_sufficient_aggs(m.xs(), y))  # checks + sums, one job
             row = res.extra
         n, p = res.n_rows, res.n_features + 1
-        g = np.zeros((p, p))
-        b = np.zeros(p)
-        for i in range(p):
-            for j in range(i, p):
-                g[i, j] = g[j, i] = float(n) if (i == 0 and j == 0) else row[f"g{i}_{j}"]
-            b[i] = row[f"b{i}"]
+        if p - 1 > WIDE:
+            full = blocked_gram(df, [F.lit(1.0)] + m.xs(p - 1) + [y])
+            g, b = full[:p, :p].copy(), full[:p, p].copy()
+        else:
+            if row is None:
+                row = df.agg(*_sufficient_aggs(m.xs(), y)).first()
+            g = np.zeros((p, p))
+            b = np.zeros(p)
+            for i in range(p):
+                for j in range(i, p):
+                    g[i, j] = g[j, i] = row[f"g{i}_{j}"] if (i, j) != (0, 0) else 0.0
+                b[i] = row[f"b{i}"]
+        g[0, 0] = float(n)
         w = np.zeros(p)
         history = {}
         lr = self.learning_rate
@@ -118,7 +123,7 @@ class LinearRegression:
                 w = w - lr * (g @ w - b) / n
         model = LinearModel(weights=w, diverged=not bool(np.all(np.isfinite(w))))
         model.losses = _loss_trace(df, m, y, history, logistic=False)
-        return model
+        return self._keep(model)
 
 
 def _loss_trace(df: DataFrame, m: Matrix, y: Column, history: dict[int, np.ndarray], logistic: bool) -> dict[int, float]:
@@ -135,7 +140,7 @@ def _loss_trace(df: DataFrame, m: Matrix, y: Column, history: dict[int, np.ndarr
     return {it: row[f"l{it}"] for it in history}
 
 
-class LogisticRegression:
+class LogisticRegression(FittedState):
     """Targets must lie in [0, 1]; fractions are accepted.  Scores are not
     thresholded."""
 
@@ -148,7 +153,7 @@ class LogisticRegression:
         res = scan(m, target=target, logistic=True)
         m, n, d = res.matrix, res.n_rows, res.n_features
         xs = m.xs(d)
-        base = persist(df.select(*[x.alias(f"_x{i}") for i, x in enumerate(xs)], F.col(target).cast("double").alias("_y")))
+        base = persist_sized(df.select(*[x.alias(f"_x{i}") for i, x in enumerate(xs)], F.col(target).cast("double").alias("_y")), n)
         names = [f"_x{i}" for i in range(d)]
         w = np.zeros(d + 1)
         losses: dict[int, float] = {}
@@ -169,9 +174,5 @@ class LogisticRegression:
                         w = w - lr * grad / n
         finally:
             base.unpersist()
-        return LogisticModel(weights=w, losses=losses, diverged=not bool(np.all(np.isfinite(w))))
-
+        return self._keep(LogisticModel(weights=w, losses=losses, diverged=not bool(np.all(np.isfinite(w)))))
 
-def check_not_fitted(model) -> None:
-    if model is None:
-        raise E.PredictionBeforeFit()

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..frames import Matrix, as_matrix
 from .checks import ScanResult, check_variance, scan
+from .gram import WIDE, blocked_gram
 
 
 @dataclass(frozen=True)
@@ -95,6 +96,8 @@ def column_moments(df: DataFrame, features: Sequence[str] | str, id_col: str = "
 def standardised_gram(m: Matrix, model: StandardiserModel) -> np.ndarray:
     """``Z^T Z`` of the standardised matrix, one aggregate (upper triangle)."""
     d = model.n_features
+    if d > WIDE:
+        return blocked_gram(m.df, m.xs(d), model.mean, model.sd)
     zs = model.exprs(m.xs(d))
     aggs = [F.sum(zs[i] * zs[j]).alias(f"g{i}_{j}") for i in range(d) for j in range(i, d)]
     row = m.df.agg(*aggs).first()

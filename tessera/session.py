@@ -60,6 +60,19 @@ def persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+# Iterative inputs are cut to about this many rows per partition (never
+# more partitions than they already have): per-step task overhead then stays
+# proportional to the data, not to an upstream partition count.
+ROWS_PER_PARTITION = 1_000_000
+
+
+def persist_sized(df: DataFrame, n_rows: int) -> DataFrame:
+    """``persist`` after a shuffle-free ``coalesce`` to the row count."""
+    want = max(1, -(-n_rows // ROWS_PER_PARTITION))
+    have = df.rdd.getNumPartitions()
+    return persist(df.coalesce(want) if want < have else df)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never a
     local checkpoint)."""

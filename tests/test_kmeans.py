@@ -98,3 +98,20 @@ def test_failed_refit_keeps_model(spark):
     with pytest.raises(E.ConvergenceFailure):
         KMeans(2, 1, 0.0).fit(matrix(spark, F5), "f", seed=7)
     assert [r["cluster"] for r in model.predict(matrix(spark, [[1, 1]] * 3), "f").orderBy("id").collect()] == labels
+
+
+def test_estimator_state(spark):
+    est = KMeans(2, 0, 1e-12)
+    with pytest.raises(E.ConvergenceFailure):
+        est.fit(matrix(spark, F5), "f", seed=7)
+    with pytest.raises(E.PredictionBeforeFit):
+        est.predict(matrix(spark, F5), "f")
+    ok = KMeans(2, 50, 1e-12)
+    ok.fit(matrix(spark, [[0, 0], [0, 1], [10, 10], [10, 11]]), "f", seed=7)
+    before = [r["cluster"] for r in ok.predict(matrix(spark, F5), "f").orderBy("id").collect()]
+    ok.max_iter = 1
+    ok.tolerance = 0.0
+    with pytest.raises(E.ConvergenceFailure):
+        ok.fit(matrix(spark, F5), "f", seed=7)
+    after = [r["cluster"] for r in ok.predict(matrix(spark, F5), "f").orderBy("id").collect()]
+    assert before == after
