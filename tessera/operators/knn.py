@@ -51,6 +51,10 @@ WEIGHTINGS = ("uniform", "distance")
 CHUNK_CELLS = 65_536
 # Use the distinct-vector path when rows outnumber distinct vectors this much.
 DEDUPE_FACTOR = 4
+# From this many features on, candidates are screened with one matrix product.
+GEMM_MIN_FEATURES = 8
+SCREEN_CHUNK_CELLS = 1_048_576
+EPS = float(np.finfo(np.float64).eps)
 
 
 def partition_keys(spark, n: int) -> list[int]:
@@ -143,6 +147,57 @@ def _top_k_distinct(q_ids, q_x, t_ids, t_y, uniq, inverse, counts, kk: int, metr
     )
 
 
+def _exact_rows(q_x, t_x, rows, cols, euclid: bool) -> np.ndarray:
+    """Exact distances for selected (query, training) pairs, summed feature
+    by feature like the direct kernel."""
+    acc = np.zeros(len(rows))
+    for j in range(q_x.shape[1]):
+        diff = q_x[rows, j] - t_x[cols, j]
+        acc += diff * diff if euclid else np.abs(diff)
+    return np.sqrt(acc) if euclid else acc
+
+
+def _top_k_screened(q_ids, q_x, t_ids, t_x, t_y, kk: int):
+    """Euclidean top-k for wide vectors.  ``|q|^2 + |t|^2 - 2 q.t`` from one
+    matrix product estimates every squared distance within a rounding bound
+    ``e = 8 (d + 4) eps (|q|^2 + |t|^2)``; a training row whose lower bound
+    exceeds the k-th smallest upper bound (plus a relative guard against
+    ties created by the square root) cannot be among the k nearest.  The
+    remaining candidates get exact distances and the exact (distance, id)
+    selection."""
+    d = q_x.shape[1]
+    factor = 8.0 * (d + 4) * EPS
+    t_norm = np.einsum("ij,ij->i", t_x, t_x)
+    chunk = max(1, SCREEN_CHUNK_CELLS // max(len(t_ids), 1))
+    outs = []
+    for s in range(0, len(q_ids), chunk):
+        qx = q_x[s : s + chunk]
+        m = len(qx)
+        q_norm = np.einsum("ij,ij->i", qx, qx)
+        scale = q_norm[:, None] + t_norm[None, :]
+        approx = scale - 2.0 * (qx @ t_x.T)
+        err = factor * scale
+        upper = approx + err
+        tau = np.partition(upper, kk - 1, axis=1)[:, kk - 1]
+        guard = np.abs(tau) * 8.0 * EPS + factor * 1e-300
+        rows, cols = np.nonzero(approx - err <= (tau + guard)[:, None])
+        dist = _exact_rows(qx, t_x, rows, cols, True)
+        order = np.lexsort((cols, dist, rows))
+        rows, cols, dist = rows[order], cols[order], dist[order]
+        starts = np.searchsorted(rows, np.arange(m))
+        take = (starts[:, None] + np.arange(kk)[None, :]).ravel()
+        outs.append(
+            (
+                np.repeat(q_ids[s : s + m], kk),
+                t_ids[cols[take]],
+                dist[take],
+                t_y[cols[take]],
+                np.tile(np.arange(1, kk + 1), m),
+            )
+        )
+    return tuple(np.concatenate(p) for p in zip(*outs))
+
+
 def block_top_k(q_ids, q_x, t_ids, t_x, t_y, k: int, metric: str):
     """Top-k training rows per query for one block pair, as flat arrays
     (query id, training id, distance, target, rank within block).
@@ -158,6 +213,8 @@ def block_top_k(q_ids, q_x, t_ids, t_x, t_y, k: int, metric: str):
     uniq, inverse, counts = np.unique(t_x, axis=0, return_inverse=True, return_counts=True)
     if len(uniq) * DEDUPE_FACTOR <= nt:
         return _top_k_distinct(q_ids, q_x, t_ids, t_y, uniq, inverse.ravel(), counts, kk, metric)
+    if metric == "euclidean" and t_x.shape[1] >= GEMM_MIN_FEATURES and kk < nt:
+        return _top_k_screened(q_ids, q_x, t_ids, t_x, t_y, kk)
     t_cols = [np.ascontiguousarray(t_x[:, j]) for j in range(t_x.shape[1])]
     chunk = max(1, CHUNK_CELLS // max(nt, 1))
     euclid = metric == "euclidean"
