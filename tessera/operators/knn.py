@@ -35,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,10 +43,12 @@ from pyspark.sql import types as T
 from .. import errors as E
 from ..frames import Matrix, as_matrix
 from ..functions.vector import check_metric
+from ..session import persist
 from .checks import check_feature_count, scan
 from .estimator import FittedState
 
 WEIGHTINGS = ("uniform", "distance")
+STRATEGIES = ("auto", "bands", "blocks")
 # Distance-matrix chunk (queries x training rows) kept under this many cells,
 # small enough to stay cache-resident while every core runs a block.
 CHUNK_CELLS = 65_536
@@ -54,6 +57,17 @@ DEDUPE_FACTOR = 4
 # From this many features on, candidates are screened with one matrix product.
 GEMM_MIN_FEATURES = 8
 SCREEN_CHUNK_CELLS = 1_048_576
+# Banded search: used for at most this many features (pruning on one
+# feature weakens as dimensions grow), with bands of at least MIN_BAND_ROWS
+# training rows and at most MAX_BANDS bands.
+BAND_MAX_FEATURES = 4
+MIN_BAND_ROWS = 1_000
+MAX_BANDS = 4_096
+# ``auto`` bands only when training x query pairs reach this many.
+BAND_MIN_PAIRS = 10**10
+# Up to this many groups each gets its own task exactly; beyond, hashing
+# spreads groups evenly enough.
+EXACT_PLACEMENT_GROUPS = 4_096
 EPS = float(np.finfo(np.float64).eps)
 
 
@@ -267,68 +281,50 @@ class KNNModel:
     id_type: T.DataType
     train_block_rows: int
     query_block_rows: int
+    spread: np.ndarray | None = None  # per-feature standard deviation of the training rows
+    strategy: str = "auto"
+    band_rows: int | None = None
 
-    def _blocks(self, n_query: int, spark) -> tuple[int, int]:
-        b_t = max(1, math.ceil(self.n_train / self.train_block_rows))
-        par = spark.sparkContext.defaultParallelism
-        b_q = max(1, min(max(math.ceil(n_query / self.query_block_rows), par // b_t), n_query))
-        return b_t, b_q
+    # --- shared executor ---------------------------------------------------
 
-    def neighbours(self, queries: DataFrame, features: Sequence[str] | str, id_col: str = "id",
-                   validate: bool = True) -> DataFrame:
-        """(query_id, rank, train_id, distance, target): the k nearest training
-        rows of every query row, rank 1 = nearest."""
-        m: Matrix = as_matrix(queries, features, id_col)
-        if validate:
-            res = scan(m)
-            if res.n_features != self.n_features:
-                raise E.FeatureCountMismatch(expected=self.n_features, actual=res.n_features)
-            n_query = res.n_rows
-        else:
-            m = check_feature_count(self.n_features, m, False)
-            n_query = queries.count()
+    def _top_k_groups(self, t: DataFrame, q: DataFrame, n_groups: int, carry: list[str] = ()) -> DataFrame:
+        """Training rows ``t`` and query rows ``q`` carry ``_gs``, the groups
+        they belong to; every group is one task computing its queries' k best
+        candidates.  ``carry`` query columns are passed through."""
         d, k, metric = self.n_features, self.k, self.metric
-        spark = queries.sparkSession
-        b_t, b_q = self._blocks(n_query, spark)
+        spark = t.sparkSession
         xcols = [f"_x{i}" for i in range(d)]
-        # Group g = (training block, query block); each side is copied to the
-        # groups it belongs to and the two are stacked with a side flag.
-        q = queries.select(
-            F.col(id_col).cast("long").alias("_id"), *[x.alias(f"_x{i}") for i, x in enumerate(m.xs(d))]
-        )
-        q = q.withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(b_t - 1)))).select(
-            (F.col("_tb") * F.lit(b_q) + F.pmod(F.xxhash64("_id"), F.lit(b_q))).alias("_g"),
-            F.lit(1).alias("_side"), "_id", *xcols, F.lit(None).cast("double").alias("_y"),
-        )
-        t = self.train.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(b_q - 1)))).select(
-            (F.pmod(F.xxhash64("_tid"), F.lit(b_t)) * F.lit(b_q) + F.col("_qb")).alias("_g"),
-            F.lit(0).alias("_side"), F.col("_tid").cast("long").alias("_id"), *xcols, "_y",
-        )
-        n_groups = b_t * b_q
-        # One group per task: hash-partition on a key chosen so that group g
-        # lands in partition g (an explicit partition count is never
-        # coalesced away by AQE).
-        keys = partition_keys(spark, n_groups)
-        key_of = F.element_at(F.array(*[F.lit(k) for k in keys]), F.col("_g").cast("int") + 1)
-        stacked = t.unionByName(q).withColumn("_g", key_of).repartition(n_groups, "_g")
-        qtype = queries.schema[id_col].dataType
-        schema = T.StructType(
-            [
-                T.StructField("query_id", T.LongType()),
-                T.StructField("train_id", T.LongType()),
-                T.StructField("distance", T.DoubleType()),
-                T.StructField("target", T.DoubleType()),
-                T.StructField("rank", T.IntegerType()),
-            ]
-        )
-        names = [f.name for f in schema.fields]
+        carry = list(carry)
+        t = t.select(F.explode("_gs").alias("_g"), F.lit(0).alias("_side"), "_id", *xcols, "_y",
+                     *[F.lit(None).cast("double").alias(c) for c in carry])
+        q = q.select(F.explode("_gs").alias("_g"), F.lit(1).alias("_side"), "_id", *xcols,
+                     F.lit(None).cast("double").alias("_y"), *[F.col(c).cast("double").alias(c) for c in carry])
+        if n_groups <= EXACT_PLACEMENT_GROUPS:
+            # One group per task: hash-partition on a key chosen so that group
+            # g lands in partition g (an explicit partition count is never
+            # coalesced away by AQE).
+            keys = partition_keys(spark, n_groups)
+            key_of = F.element_at(F.array(*[F.lit(x) for x in keys]), F.col("_g").cast("int") + 1)
+            stacked = t.unionByName(q).withColumn("_g", key_of).repartition(n_groups, "_g")
+        else:
+            stacked = t.unionByName(q).repartition(n_groups, "_g")
+        fields = [
+            T.StructField("query_id", T.LongType()),
+            T.StructField("train_id", T.LongType()),
+            T.StructField("distance", T.DoubleType()),
+            T.StructField("target", T.DoubleType()),
+            T.StructField("rank", T.IntegerType()),
+        ] + [T.StructField(c, T.DoubleType()) for c in carry]
+        schema = T.StructType(fields)
+        names = [f.name for f in fields]
 
         def per_block(pdf: pd.DataFrame) -> pd.DataFrame:
             tr, qr = pdf[pdf["_side"] == 0], pdf[pdf["_side"] == 1]
             if len(tr) == 0 or len(qr) == 0:
                 return pd.DataFrame({n: [] for n in names})
+            qids = qr["_id"].to_numpy()
             out = block_top_k(
-                qr["_id"].to_numpy(),
+                qids,
                 qr[xcols].to_numpy(dtype=np.float64),
                 tr["_id"].to_numpy(),
                 tr[xcols].to_numpy(dtype=np.float64),
@@ -338,17 +334,177 @@ class KNNModel:
             )
             if out is None:
                 return pd.DataFrame({n: [] for n in names})
-            return pd.DataFrame(dict(zip(names, out)))
+            cols = dict(zip(names, out))
+            if carry:
+                pos = pd.Index(qids).get_indexer(out[0])
+                for c in carry:
+                    cols[c] = qr[c].to_numpy(dtype=np.float64)[pos]
+            return pd.DataFrame(cols)
+
+        return stacked.groupBy("_g").applyInPandas(per_block, schema)
+
+    @staticmethod
+    def _merge(cands: DataFrame, k: int) -> DataFrame:
+        w = Window.partitionBy("query_id").orderBy("distance", "train_id")
+        return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+    # --- brute force over blocks -------------------------------------------------
+
+    def _blocked(self, q: DataFrame, n_query: int) -> DataFrame:
+        """Every query against every training row, in (train block, query
+        block) groups."""
+        spark = q.sparkSession
+        b_t = max(1, math.ceil(self.n_train / self.train_block_rows))
+        par = spark.sparkContext.defaultParallelism
+        b_q = max(1, min(max(math.ceil(n_query / self.query_block_rows), par // b_t), max(n_query, 1)))
+        qq = q.withColumn(
+            "_gs",
+            F.transform(F.sequence(F.lit(0), F.lit(b_t - 1)), lambda tb: tb * b_q + F.pmod(F.xxhash64("_id"), F.lit(b_q))),
+        )
+        tt = self.train.select(F.col("_tid").cast("long").alias("_id"), *[c for c in self.train.columns if c.startswith("_x")], "_y")
+        tt = tt.withColumn(
+            "_gs",
+            F.transform(F.sequence(F.lit(0), F.lit(b_q - 1)), lambda qb: F.pmod(F.xxhash64("_id"), F.lit(b_t)) * b_q + qb),
+        )
+        cands = self._top_k_groups(tt, qq, b_t * b_q)
+        return self._merge(cands, self.k) if b_t > 1 else cands
+
+    # --- banded search ---------------------------------------------------------
 
-        cands = stacked.groupBy("_g").applyInPandas(per_block, schema)
-        cands = cands.select(
-            F.col("query_id").cast(qtype).alias("query_id"), F.col("train_id").cast(self.id_type).alias("train_id"),
-            "distance", "target", "rank",
+    def _band_count(self, spark) -> int:
+        par = spark.sparkContext.defaultParallelism
+        rows = self.band_rows or max(MIN_BAND_ROWS, min(self.train_block_rows, math.ceil(self.n_train / (4 * par))))
+        return min(MAX_BANDS, math.ceil(self.n_train / rows))
+
+    def _use_bands(self, spark, n_query: int) -> bool:
+        """``auto``: bands when the brute-force work is large enough to repay
+        the band set-up jobs, for low-dimensional features."""
+        if self.strategy == "blocks" or self.spread is None:
+            return False
+        if self.strategy == "bands":
+            return True
+        return (
+            self.n_features <= BAND_MAX_FEATURES
+            and self.n_train * n_query >= BAND_MIN_PAIRS
+            and self._band_count(spark) >= 4
+        )
+
+    def _banded(self, q: DataFrame, n_query: int) -> DataFrame:
+        """Exact search in slabs of the widest feature, with a fallback.
+
+        Training rows are cut into bands at quantiles of feature ``a``; a
+        query in band b is searched in bands b-1, b, b+1 (hot bands split
+        into bounded sub-blocks by id).  Every training row outside those
+        bands differs from the query by at least ``gap`` in feature ``a`` -
+        and so is at least ``gap`` away in either metric - so a query whose
+        k-th distance is strictly below ``gap`` is final.  Other queries
+        (too few rows nearby, or a wide k-th distance) are searched by the
+        block plan against the whole training table.
+        """
+        spark = q.sparkSession
+        k = self.k
+        a = int(np.argmax(self.spread))
+        acol = f"_x{a}"
+        n_bands = self._band_count(spark)
+        probs = [i / n_bands for i in range(1, n_bands)]
+        qs = self.train.agg(F.percentile_approx(acol, probs, max(10_000, 10 * n_bands)).alias("q")).first()["q"]
+        bounds = sorted(set(float(v) for v in qs))
+        splits = [-math.inf] + bounds + [math.inf]
+        nb = len(splits) - 1
+
+        def with_band(df: DataFrame) -> DataFrame:
+            # band = number of bounds <= value (binary search in the JVM)
+            if not bounds:
+                return df.withColumn("_band", F.lit(0))
+            out = Bucketizer(splits=splits, inputCol=acol, outputCol="_bandf").transform(df)
+            return out.withColumn("_band", F.col("_bandf").cast("int")).drop("_bandf")
+
+        tt = self.train.select(F.col("_tid").cast("long").alias("_id"), *[c for c in self.train.columns if c.startswith("_x")], "_y")
+        tt = with_band(tt)
+        qq = with_band(q)
+        t_counts = {r["_band"]: r["n"] for r in tt.groupBy("_band").agg(F.count(F.lit(1)).alias("n")).collect()}
+        q_counts = {r["_band"]: r["n"] for r in qq.groupBy("_band").agg(F.count(F.lit(1)).alias("n")).collect()}
+        t_sub = {b: max(1, math.ceil(c / self.train_block_rows)) for b, c in t_counts.items()}
+        q_sub = {b: max(1, math.ceil(c / self.query_block_rows)) for b, c in q_counts.items()}
+        # enumerate groups (query band, query sub-block, neighbour band, training sub-block)
+        t_groups: dict[tuple[int, int], list[int]] = {}
+        q_groups: dict[tuple[int, int], list[int]] = {}
+        g = 0
+        for qb in sorted(q_counts):
+            for qs_ in range(q_sub[qb]):
+                for nbnd in (qb - 1, qb, qb + 1):
+                    if nbnd not in t_counts:
+                        continue
+                    for ts in range(t_sub[nbnd]):
+                        t_groups.setdefault((nbnd, ts), []).append(g)
+                        q_groups.setdefault((qb, qs_), []).append(g)
+                        g += 1
+        n_groups = g
+        if n_groups == 0:
+            return self._blocked(q, n_query)
+        tmap = spark.createDataFrame(
+            [(b, s_, gs) for (b, s_), gs in t_groups.items()], "_band int, _sub int, _gs array<int>"
+        )
+        qmap = spark.createDataFrame(
+            [(b, s_, gs) for (b, s_), gs in q_groups.items()], "_band int, _sub int, _gs array<int>"
+        )
+        t_sub_of = F.element_at(F.create_map(*[x for b, c in t_sub.items() for x in (F.lit(b), F.lit(c))]), F.col("_band"))
+        q_sub_of = F.element_at(F.create_map(*[x for b, c in q_sub.items() for x in (F.lit(b), F.lit(c))]), F.col("_band"))
+        tt = tt.withColumn("_sub", F.pmod(F.xxhash64("_id"), t_sub_of).cast("int")).join(tmap, ["_band", "_sub"])
+        qq = qq.withColumn("_sub", F.pmod(F.xxhash64("_id"), q_sub_of).cast("int")).join(qmap, ["_band", "_sub"])
+        qq = qq.withColumn("_qa", F.col(acol))
+        cands = self._merge(self._top_k_groups(tt, qq, n_groups, carry=["_qa", "_band"]), k)
+
+        # accept a query when its k-th distance is strictly inside the slab
+        lo = F.element_at(F.array(*[F.lit(v) for v in splits]), F.greatest(F.col("_band").cast("int"), F.lit(1)))
+        hi = F.element_at(F.array(*[F.lit(v) for v in splits]), F.least(F.col("_band").cast("int") + 3, F.lit(nb + 1)))
+        lo = F.when(F.col("_band") >= 1, lo).otherwise(F.lit(-math.inf))
+        gap = F.least(F.col("_qa") - lo, hi - F.col("_qa"))
+        per_q = Window.partitionBy("query_id")
+        k_eff = min(k, self.n_train)
+        judged = cands.withColumn("_n", F.count(F.lit(1)).over(per_q)).withColumn("_kth", F.max("distance").over(per_q))
+        ok = (F.col("_n") >= k_eff) & (F.col("_kth") * (1 + 1e-12) < gap * (1 - 1e-12))
+        judged = persist(judged.withColumn("_ok", ok))
+        done = judged.filter("_ok").select("query_id", "rank", "train_id", "distance", "target")
+        open_ids = judged.filter(~F.col("_ok")).select(F.col("query_id").alias("_id")).distinct()
+        # queries that found no candidate at all (no training rows nearby)
+        seen = judged.select(F.col("query_id").alias("_id")).distinct()
+        missing = q.select("_id").join(seen, "_id", "left_anti")
+        rest_ids = open_ids.unionByName(missing)
+        n_rest = rest_ids.count()
+        if n_rest == 0:
+            return done
+        rest = q.join(rest_ids, "_id", "left_semi")
+        return done.unionByName(self._blocked(rest, n_rest).select("query_id", "rank", "train_id", "distance", "target"))
+
+    # --- public ---------------------------------------------------------------
+
+    def neighbours(self, queries: DataFrame, features: Sequence[str] | str, id_col: str = "id",
+                   validate: bool = True) -> DataFrame:
+        """(query_id, rank, train_id, distance, target): the k nearest training
+        rows of every query row, rank 1 = nearest."""
+        m: Matrix = as_matrix(queries, features, id_col)
+        if validate:
+            res = scan(m)
+            if res.n_features != self.n_features:
+                raise E.FeatureCountMismatch(expected=self.n_features, actual=res.n_features)
+            n_query = res.n_rows
+        else:
+            m = check_feature_count(self.n_features, m, False)
+            n_query = queries.count()
+        d = self.n_features
+        q = queries.select(
+            F.col(id_col).cast("long").alias("_id"), *[x.alias(f"_x{i}") for i, x in enumerate(m.xs(d))]
+        )
+        spark = queries.sparkSession
+        out = self._banded(q, n_query) if self._use_bands(spark, n_query) else self._blocked(q, n_query)
+        return out.select(
+            F.col("query_id").cast(queries.schema[id_col].dataType).alias("query_id"),
+            "rank",
+            F.col("train_id").cast(self.id_type).alias("train_id"),
+            "distance",
+            "target",
         )
-        if b_t > 1:
-            w = Window.partitionBy("query_id").orderBy("distance", "train_id")
-            cands = cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        return cands.select("query_id", "rank", "train_id", "distance", "target")
 
     def predict(self, queries: DataFrame, features: Sequence[str] | str, id_col: str = "id",
                 output: str = "prediction", validate: bool = True) -> DataFrame:
@@ -384,19 +540,30 @@ def predictions_from_neighbours(nb: DataFrame, weighting: str, output: str = "pr
 
 class KNeighborsRegressor(FittedState):
     def __init__(self, k: int, weighting: str = "uniform", metric: str = "euclidean",
-                 train_block_rows: int = 200_000, query_block_rows: int = 50_000):
+                 train_block_rows: int = 200_000, query_block_rows: int = 50_000,
+                 strategy: str = "auto", band_rows: int | None = None):
         if weighting not in WEIGHTINGS:
             raise ValueError(f"weighting must be one of {WEIGHTINGS}")
+        if strategy not in STRATEGIES:
+            raise ValueError(f"strategy must be one of {STRATEGIES}")
         self.k = int(k)
         self.weighting = weighting
         self.metric = check_metric(metric)
         self.train_block_rows = int(train_block_rows)
         self.query_block_rows = int(query_block_rows)
+        self.strategy = strategy
+        self.band_rows = band_rows
 
     def fit(self, df: DataFrame, features: Sequence[str] | str, target: str, id_col: str = "id") -> KNNModel:
         """Checks the training matrix and targets; the model is lazy (no
         distances are computed until prediction)."""
-        res = scan(as_matrix(df, features, id_col), target=target)
+        m = as_matrix(df, features, id_col)
+        narrow = not m.is_array and m.n_features <= BAND_MAX_FEATURES
+        res = scan(m, target=target, moments=narrow)
+        spread = res.sd
+        if spread is None and res.n_features <= BAND_MAX_FEATURES:
+            row = df.agg(*[F.stddev_samp(x) for x in res.matrix.xs(res.n_features)]).first()
+            spread = np.array([v if v is not None else 0.0 for v in row], dtype=float)
         n, d = res.n_rows, res.n_features
         if self.k == 0 or self.k > n:
             raise E.InvalidK(k=self.k, sample_count=n)
@@ -407,5 +574,6 @@ class KNeighborsRegressor(FittedState):
         return self._keep(KNNModel(
             train=train, n_train=n, n_features=d, k=self.k, weighting=self.weighting, metric=self.metric,
             id_type=df.schema[id_col].dataType, train_block_rows=self.train_block_rows,
-            query_block_rows=self.query_block_rows,
+            query_block_rows=self.query_block_rows, spread=spread, strategy=self.strategy,
+            band_rows=self.band_rows,
         ))

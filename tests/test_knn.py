@@ -66,3 +66,41 @@ def test_errors(spark):
     with pytest.raises(E.FeatureCountMismatch) as ex:
         model.predict(matrix(spark, [[1, 2, 3]]), "f")
     assert ex.value == E.FeatureCountMismatch(expected=2, actual=3)
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_bands_match_blocks(spark, metric):
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    n = 400
+    x = np.column_stack([rng.integers(0, 6, n), rng.normal(0, 50, n).round(1)])
+    x[:60, 1] = 7.0  # a hot value on the banding feature
+    y = rng.normal(size=n)
+    train = spark.createDataFrame([(i, [float(v) for v in x[i]], float(y[i])) for i in range(n)], "id long, f array<double>, y double")
+    qx = np.column_stack([rng.integers(-1, 7, 150), rng.normal(0, 80, 150).round(1)])
+    qx[:10] = [3.0, 500.0]  # far from every training row: falls back
+    queries = spark.createDataFrame([(1000 + i, [float(v) for v in qx[i]]) for i in range(150)], "id long, f array<double>")
+    got = {}
+    for strategy in ("blocks", "bands"):
+        model = KNeighborsRegressor(4, "distance", metric, strategy=strategy, band_rows=25, train_block_rows=30).fit(train, "f", "y")
+        nb = model.neighbours(queries, "f").collect()
+        got[strategy] = sorted((r["query_id"], r["rank"], r["train_id"], r["distance"]) for r in nb)
+    assert len(got["blocks"]) == 150 * 4
+    assert got["bands"] == got["blocks"]
+
+
+def test_bands_on_report_data(spark):
+    from tessera.plans import reports as R
+
+    train, query = R._knn_split(spark, "/root/testdata/sf0.01")
+    out = {}
+    for strategy in ("blocks", "bands"):
+        for feats in (R.KNN_FEATURES, ["n_lines"]):
+            model = KNeighborsRegressor(5, "distance", strategy=strategy, band_rows=500).fit(
+                train, feats, "o_totalprice", "o_orderkey"
+            )
+            nb = model.neighbours(query, feats, "o_orderkey")
+            out[(strategy, len(feats))] = sorted(tuple(r) for r in nb.collect())
+    assert out[("bands", 2)] == out[("blocks", 2)]
+    assert out[("bands", 1)] == out[("blocks", 1)]
