@@ -17,7 +17,7 @@ from ..functions import vector as V
 from ..functions.vector import rounded
 from ..operators import checks, distance, scaling
 from ..operators.kmeans import KMeans
-from ..operators.knn import KNeighborsRegressor
+from ..operators.knn import KNeighborsRegressor, predictions_from_neighbours
 from ..operators.pca import PCA
 from ..operators.regression import LinearRegression, LogisticRegression
 from ..session import persist
@@ -186,17 +186,26 @@ def _knn_split(spark: SparkSession, sf_dir: str):
     return of.filter(~latest), of.filter(latest)
 
 
+def _knn_neighbours(spark: SparkSession, sf_dir: str, features: list[str], metric: str) -> DataFrame:
+    """The k nearest training orders of every query order; the weighting only
+    changes the final fold, so one neighbour table serves every weighting."""
+
+    def build():
+        train, query = _knn_split(spark, sf_dir)
+        model = KNeighborsRegressor(KNN_K, "uniform", metric).fit(train, features, "o_totalprice", "o_orderkey")
+        return model.neighbours(query, features, "o_orderkey")
+
+    return _shared(spark, f"knn:{','.join(features)}:{metric}", sf_dir, build)
+
+
 def _knn_predict(spark, sf_dir, weighting, metric, features) -> DataFrame:
-    train, query = _knn_split(spark, sf_dir)
-    model = KNeighborsRegressor(KNN_K, weighting, metric).fit(train, features, "o_totalprice", "o_orderkey")
-    pred = model.predict(query, features, "o_orderkey")
+    nb = _knn_neighbours(spark, sf_dir, features, metric)
+    pred = predictions_from_neighbours(nb, weighting)
     return _round_cols(pred, {"prediction": 4})
 
 
 def knn_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, query = _knn_split(spark, sf_dir)
-    model = KNeighborsRegressor(KNN_K).fit(train, KNN_FEATURES, "o_totalprice", "o_orderkey")
-    nb = model.neighbours(query, KNN_FEATURES, "o_orderkey")
+    nb = _knn_neighbours(spark, sf_dir, KNN_FEATURES, "euclidean")
     return _round_cols(nb.select("query_id", "rank", "train_id", "distance"), {"distance": 6})
 
 
