@@ -50,3 +50,47 @@ def test_uniform_knn_within_target_range(spark, targets, k):
     preds = KNeighborsRegressor(k).fit(train, "f", "y").predict(queries, "f").collect()
     assert len(preds) == 21
     assert all(min(targets) - 1e-12 <= r["prediction"] <= max(targets) + 1e-12 for r in preds)
+
+
+@slow
+@given(st.integers(3, 8), st.floats(0.1, 2.0), st.floats(-1.0, 1.0))
+def test_pca_shape_and_finite(spark, n, slope, curve):
+    from tessera.operators import PCA
+
+    rows = [(i, [float(i), slope * i + curve * i * i]) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, f array<double>")
+    out = PCA(2, scaling="unit").fit(df, "f").transform(df, "f").collect()
+    assert len(out) == n
+    assert all(np.isfinite([r["pc1"], r["pc2"]]).all() for r in out)
+
+
+@slow
+@given(st.integers(0, 2**63))
+def test_kmeans_same_outcome_for_a_seed(spark, seed):
+    from tessera import errors as E
+    from tessera.operators import KMeans
+
+    rows = [(i, v) for i, v in enumerate([[0.0, 0.0], [0.0, 1.0], [10.0, 10.0], [10.0, 11.0], [20.0, 20.0], [20.0, 21.0]])]
+    df = spark.createDataFrame(rows, "id long, f array<double>")
+
+    def outcome():
+        try:
+            m = KMeans(2, 32, 1e-12).fit(df, "f", seed=seed)
+            return ("ok", m.centroids.tolist(), m.iterations)
+        except E.TesseraError as err:
+            return ("error", repr(err))
+
+    assert outcome() == outcome()
+
+
+@slow
+@given(st.sampled_from([0.01, 0.05, 0.25]), st.integers(5, 25))
+def test_logistic_bounded_and_monotone(spark, lr, iterations):
+    from tessera.operators import LogisticRegression
+
+    train = spark.createDataFrame([(i, [x], y) for i, (x, y) in enumerate([(-2.0, 0.0), (-1.0, 0.0), (1.0, 1.0), (2.0, 1.0)])],
+                                  "id long, f array<double>, y double")
+    model = LogisticRegression(lr, iterations).fit(train, "f", "y")
+    grid = spark.createDataFrame([(i, [x]) for i, x in enumerate([-3.0, -1.0, 0.0, 1.0, 3.0])], "id long, f array<double>")
+    scores = [r["prediction"] for r in model.predict(grid, "f").orderBy("id").collect()]
+    assert all(0.0 <= s <= 1.0 for s in scores) and scores == sorted(scores)
