@@ -390,19 +390,19 @@ class KNNModel:
         )
 
     def _banded(self, q: DataFrame, n_query: int) -> DataFrame:
-        """Exact search in slabs of the widest feature, with a fallback.
-
-        Training rows are cut into bands at quantiles of feature ``a``; a
-        query in band b is searched in bands b-1, b, b+1 (hot bands split
-        into bounded sub-blocks by id).  Every training row outside those
-        bands differs from the query by at least ``gap`` in feature ``a`` -
-        and so is at least ``gap`` away in either metric - so a query whose
-        k-th distance is strictly below ``gap`` is final.  Other queries
-        (too few rows nearby, or a wide k-th distance) are searched by the
-        block plan against the whole training table.
+        """Exact search in slabs of the widest feature, widening as needed.
+
+        Training rows are cut into bands at quantiles of feature ``a``.  In a
+        round of radius r, a query in band b is searched in bands b-r..b+r
+        (hot bands split into bounded sub-blocks by id).  Every training row
+        outside those bands differs from the query by at least ``gap`` in
+        feature ``a`` - and so is at least ``gap`` away in either metric - so
+        a query whose k-th distance is strictly below ``gap`` is final.  The
+        other queries (too few rows nearby, or a wide k-th distance) go to
+        the next round with a window four times wider; once a window would
+        span every band, the block plan searches what is left.
         """
         spark = q.sparkSession
-        k = self.k
         a = int(np.argmax(self.spread))
         acol = f"_x{a}"
         n_bands = self._band_count(spark)
@@ -421,61 +421,62 @@ class KNNModel:
 
         tt = self.train.select(F.col("_tid").cast("long").alias("_id"), *[c for c in self.train.columns if c.startswith("_x")], "_y")
         tt = with_band(tt)
-        qq = with_band(q)
         t_counts = {r["_band"]: r["n"] for r in tt.groupBy("_band").agg(F.count(F.lit(1)).alias("n")).collect()}
-        q_counts = {r["_band"]: r["n"] for r in qq.groupBy("_band").agg(F.count(F.lit(1)).alias("n")).collect()}
         t_sub = {b: max(1, math.ceil(c / self.train_block_rows)) for b, c in t_counts.items()}
-        q_sub = {b: max(1, math.ceil(c / self.query_block_rows)) for b, c in q_counts.items()}
-        # enumerate groups (query band, query sub-block, neighbour band, training sub-block)
-        t_groups: dict[tuple[int, int], list[int]] = {}
-        q_groups: dict[tuple[int, int], list[int]] = {}
-        g = 0
-        for qb in sorted(q_counts):
-            for qs_ in range(q_sub[qb]):
-                for nbnd in (qb - 1, qb, qb + 1):
-                    if nbnd not in t_counts:
-                        continue
-                    for ts in range(t_sub[nbnd]):
-                        t_groups.setdefault((nbnd, ts), []).append(g)
-                        q_groups.setdefault((qb, qs_), []).append(g)
-                        g += 1
-        n_groups = g
-        if n_groups == 0:
-            return self._blocked(q, n_query)
-        tmap = spark.createDataFrame(
-            [(b, s_, gs) for (b, s_), gs in t_groups.items()], "_band int, _sub int, _gs array<int>"
-        )
-        qmap = spark.createDataFrame(
-            [(b, s_, gs) for (b, s_), gs in q_groups.items()], "_band int, _sub int, _gs array<int>"
-        )
         t_sub_of = F.element_at(F.create_map(*[x for b, c in t_sub.items() for x in (F.lit(b), F.lit(c))]), F.col("_band"))
-        q_sub_of = F.element_at(F.create_map(*[x for b, c in q_sub.items() for x in (F.lit(b), F.lit(c))]), F.col("_band"))
-        tt = tt.withColumn("_sub", F.pmod(F.xxhash64("_id"), t_sub_of).cast("int")).join(tmap, ["_band", "_sub"])
-        qq = qq.withColumn("_sub", F.pmod(F.xxhash64("_id"), q_sub_of).cast("int")).join(qmap, ["_band", "_sub"])
-        qq = qq.withColumn("_qa", F.col(acol))
-        cands = self._merge(self._top_k_groups(tt, qq, n_groups, carry=["_qa", "_band"]), k)
-
-        # accept a query when its k-th distance is strictly inside the slab
-        lo = F.element_at(F.array(*[F.lit(v) for v in splits]), F.greatest(F.col("_band").cast("int"), F.lit(1)))
-        hi = F.element_at(F.array(*[F.lit(v) for v in splits]), F.least(F.col("_band").cast("int") + 3, F.lit(nb + 1)))
-        lo = F.when(F.col("_band") >= 1, lo).otherwise(F.lit(-math.inf))
-        gap = F.least(F.col("_qa") - lo, hi - F.col("_qa"))
-        per_q = Window.partitionBy("query_id")
-        k_eff = min(k, self.n_train)
-        judged = cands.withColumn("_n", F.count(F.lit(1)).over(per_q)).withColumn("_kth", F.max("distance").over(per_q))
-        ok = (F.col("_n") >= k_eff) & (F.col("_kth") * (1 + 1e-12) < gap * (1 - 1e-12))
-        judged = persist(judged.withColumn("_ok", ok))
-        done = judged.filter("_ok").select("query_id", "rank", "train_id", "distance", "target")
-        open_ids = judged.filter(~F.col("_ok")).select(F.col("query_id").alias("_id")).distinct()
-        # queries that found no candidate at all (no training rows nearby)
-        seen = judged.select(F.col("query_id").alias("_id")).distinct()
-        missing = q.select("_id").join(seen, "_id", "left_anti")
-        rest_ids = open_ids.unionByName(missing)
-        n_rest = rest_ids.count()
-        if n_rest == 0:
-            return done
-        rest = q.join(rest_ids, "_id", "left_semi")
-        return done.unionByName(self._blocked(rest, n_rest).select("query_id", "rank", "train_id", "distance", "target"))
+        tt = tt.withColumn("_sub", F.pmod(F.xxhash64("_id"), t_sub_of).cast("int"))
+        split_arr = F.array(*[F.lit(v) for v in splits])
+
+        finished: list[DataFrame] = []
+        pending, n_pending, radius = q, n_query, 1
+        while n_pending > 0 and 2 * radius + 1 < nb:
+            qq = with_band(pending)
+            q_counts = {r["_band"]: r["n"] for r in qq.groupBy("_band").agg(F.count(F.lit(1)).alias("n")).collect()}
+            q_sub = {b: max(1, math.ceil(c / self.query_block_rows)) for b, c in q_counts.items()}
+            # groups: (query band, query sub-block, band in the window, training sub-block)
+            t_groups: dict[tuple[int, int], list[int]] = {}
+            q_groups: dict[tuple[int, int], list[int]] = {}
+            g = 0
+            for qb in sorted(q_counts):
+                for qs_ in range(q_sub[qb]):
+                    for nbnd in range(qb - radius, qb + radius + 1):
+                        for ts in range(t_sub.get(nbnd, 0)):
+                            t_groups.setdefault((nbnd, ts), []).append(g)
+                            q_groups.setdefault((qb, qs_), []).append(g)
+                            g += 1
+            if g == 0:
+                break
+            tmap = spark.createDataFrame([(b, s_, gs) for (b, s_), gs in t_groups.items()], "_band int, _sub int, _gs array<int>")
+            qmap = spark.createDataFrame([(b, s_, gs) for (b, s_), gs in q_groups.items()], "_band int, _sub int, _gs array<int>")
+            q_sub_of = F.element_at(F.create_map(*[x for b, c in q_sub.items() for x in (F.lit(b), F.lit(c))]), F.col("_band"))
+            qq = qq.withColumn("_sub", F.pmod(F.xxhash64("_id"), q_sub_of).cast("int")).join(qmap, ["_band", "_sub"])
+            qq = qq.withColumn("_qa", F.col(acol))
+            cands = self._merge(self._top_k_groups(tt.join(tmap, ["_band", "_sub"]), qq, g, carry=["_qa", "_band"]), self.k)
+
+            # accept a query when its k-th distance is strictly inside the slab
+            band = F.col("_band").cast("int")
+            lo = F.when(band - radius >= 0, F.element_at(split_arr, band - radius + 1)).otherwise(F.lit(-math.inf))
+            hi = F.element_at(split_arr, F.least(band + radius + 2, F.lit(nb + 1)))
+            gap = F.least(F.col("_qa") - lo, hi - F.col("_qa"))
+            per_q = Window.partitionBy("query_id")
+            k_eff = min(self.k, self.n_train)
+            judged = cands.withColumn("_n", F.count(F.lit(1)).over(per_q)).withColumn("_kth", F.max("distance").over(per_q))
+            ok = (F.col("_n") >= k_eff) & (F.col("_kth") * (1 + 1e-12) < gap * (1 - 1e-12))
+            judged = persist(judged.withColumn("_ok", ok))
+            finished.append(judged.filter("_ok").select("query_id", "rank", "train_id", "distance", "target"))
+            open_ids = judged.filter(~F.col("_ok")).select(F.col("query_id").alias("_id")).distinct()
+            # queries that found no candidate at all (no training rows in the window)
+            seen = judged.select(F.col("query_id").alias("_id")).distinct()
+            missing = pending.select("_id").join(seen, "_id", "left_anti")
+            pending = pending.join(open_ids.unionByName(missing), "_id", "left_semi")
+            n_pending = pending.count()
+            radius *= 4
+        if n_pending > 0:
+            finished.append(self._blocked(pending, n_pending).select("query_id", "rank", "train_id", "distance", "target"))
+        out = finished[0]
+        for part in finished[1:]:
+            out = out.unionByName(part)
+        return out
 
     # --- public ---------------------------------------------------------------
 

@@ -104,3 +104,21 @@ def test_bands_on_report_data(spark):
             out[(strategy, len(feats))] = sorted(tuple(r) for r in nb.collect())
     assert out[("bands", 2)] == out[("blocks", 2)]
     assert out[("bands", 1)] == out[("blocks", 1)]
+
+
+def test_bands_widen_for_sparse_queries(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    n = 600
+    x = np.column_stack([rng.uniform(0, 100, n), rng.uniform(0, 1, n)])
+    x[:300, 0] = rng.uniform(0, 1, 300)  # dense cluster near 0, sparse tail
+    train = spark.createDataFrame([(i, [float(v) for v in x[i]], float(i)) for i in range(n)], "id long, f array<double>, y double")
+    qx = np.column_stack([np.linspace(-50, 150, 80), rng.uniform(0, 1, 80)])
+    queries = spark.createDataFrame([(5000 + i, [float(v) for v in qx[i]]) for i in range(80)], "id long, f array<double>")
+    got = {}
+    for strategy in ("blocks", "bands"):
+        model = KNeighborsRegressor(6, "uniform", strategy=strategy, band_rows=10).fit(train, "f", "y")
+        got[strategy] = sorted(tuple(r) for r in model.neighbours(queries, "f").collect())
+    assert len(got["blocks"]) == 80 * 6
+    assert got["bands"] == got["blocks"]
