@@ -63,6 +63,9 @@ SCREEN_CHUNK_CELLS = 1_048_576
 BAND_MAX_FEATURES = 4
 MIN_BAND_ROWS = 1_000
 MAX_BANDS = 4_096
+# A banded round is planned on the driver only while it has at most this
+# many groups.
+MAX_BAND_GROUPS = 200_000
 # ``auto`` bands only when training x query pairs reach this many.
 BAND_MIN_PAIRS = 10**10
 # Up to this many groups each gets its own task exactly; beyond, hashing
@@ -433,6 +436,11 @@ class KNNModel:
             qq = with_band(pending)
             q_counts = {r["_band"]: r["n"] for r in qq.groupBy("_band").agg(F.count(F.lit(1)).alias("n")).collect()}
             q_sub = {b: max(1, math.ceil(c / self.query_block_rows)) for b, c in q_counts.items()}
+            planned = sum(
+                q_sub[qb] * sum(t_sub.get(b, 0) for b in range(qb - radius, qb + radius + 1)) for qb in q_counts
+            )
+            if planned > MAX_BAND_GROUPS:
+                break  # the group table would no longer be small: leave the rest to the block plan
             # groups: (query band, query sub-block, band in the window, training sub-block)
             t_groups: dict[tuple[int, int], list[int]] = {}
             q_groups: dict[tuple[int, int], list[int]] = {}
