@@ -1,30 +1,35 @@
 """Exact k-nearest-neighbours regression.
 
-Plan (no cross join, no broadcast of the training table, no all-pairs rows):
-
-1. Training rows are hashed by id into ``B_t`` blocks of bounded size, query
-   rows by id into ``B_q`` blocks (at least one group per core).  Each
-   training row is copied to every query block and each query row to every
-   training block, so group (tb, qb) holds one training block and one query
-   block - both bounded, whatever the table sizes or key skew (ids are unique,
-   so hashing them cannot create hot groups).  The two sides are stacked with
-   a side flag and hash-partitioned with an explicit partition count on a key
-   picked per group so that every task gets exactly one group (and AQE does
-   not coalesce the compute-heavy groups into fewer tasks).
-2. ``groupBy(group).applyInPandas`` computes, per group, the distances of each
-   query to every training row of the block in numpy (differences summed
-   feature by feature, never ``|a|^2 + |b|^2 - 2ab``, so exact zeros stay
-   exact) and emits only each query's k best candidates, ordered by
-   (distance, training id).
-3. With several training blocks a window ``row_number() <= k`` per query
-   merges the at most ``k * B_t`` candidates (planned with a per-partition
-   group limit before the shuffle).
-4. The prediction folds the k neighbours in rank order: uniform mean, or
-   inverse-distance weights ``sum(y/d) / sum(1/d)`` (0.0 when the total weight
-   is 0); with distance weighting, any zero-distance neighbour among the k
-   makes the prediction the mean of those targets.
-
-Ties at equal distance go to the lower training id (the earlier training row).
+No cross join, no broadcast of the training table, no all-pairs rows.
+
+Rows are routed to groups that each hold a bounded block of training rows and
+a bounded block of query rows (each row carries the list of its groups).  The
+two sides are stacked with a side flag and hash-partitioned with an explicit
+partition count on keys picked so that every task gets exactly one group (AQE
+does not coalesce these compute-heavy tasks).  ``groupBy(group)
+.applyInPandas`` emits, per group, only each query's k best candidates,
+ordered by (distance, training id); a window ``row_number() <= k`` per query
+merges groups.  Ids are unique and hashed, so no key can make a group hot.
+
+Group layouts:
+
+* blocks - exact brute force: training hashed into ``B_t`` blocks, queries
+  into ``B_q`` blocks, one group per pair (at least one group per core).
+* bands - exact pruned search for low-dimensional features: slabs of the
+  widest feature, a query searched in nearby slabs only, accepted when its
+  k-th distance is provably inside them; widening rounds, then blocks, for
+  the rest.
+
+Inside a group (``block_top_k``) distances are summed feature by feature, so
+exact zeros stay exact; repeated training vectors are searched once; wide
+vectors are screened by one matrix product within a rounding bound and the
+survivors recomputed exactly.
+
+The prediction folds the k neighbours in rank order: uniform mean, or
+inverse-distance weights ``sum(y/d) / sum(1/d)`` (0.0 when the total weight is
+0); with distance weighting, any zero-distance neighbour among the k makes the
+prediction the mean of those targets.  Ties at equal distance go to the lower
+training id (the earlier training row).
 """
 
 from __future__ import annotations
