@@ -55,7 +55,3 @@ def as_matrix(df: DataFrame, features: Sequence[str] | str, id_col: str = "id")
     if not cols:
         raise ValueError("at least one feature column is required")
     return Matrix(df, id_col, cols, None, len(cols))
-
-
-def feature_names(prefix: str, d: int) -> list[str]:
-    return [f"{prefix}{i + 1}" for i in range(d)]

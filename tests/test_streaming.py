@@ -35,3 +35,25 @@ def test_stream_scoring_matches_batch(spark):
     got = {r["query_id"]: r["prediction"] for r in spark.read.parquet(out).collect()}
     want = {r["query_id"]: r["prediction"] for r in knn.predict(df, ["a", "b"]).collect()}
     assert got == want
+
+
+def test_file_sink_and_checkpoint_dir(spark):
+    from tessera.operators import LinearRegression
+    from tessera.session import ensure_checkpoint_dir
+    from tessera.streaming import checkpoint_location, write_scores
+
+    folder = ensure_checkpoint_dir(spark)
+    assert folder and spark.sparkContext.getCheckpointDir()
+    assert ensure_checkpoint_dir(spark) == folder  # reads the session's setting, never replaces it
+    assert checkpoint_location(spark, "x").endswith("/streams/x")
+    root = tempfile.mkdtemp(prefix="tessera-sink-")
+    src = os.path.join(root, "src")
+    df = spark.createDataFrame([(i, float(i), 2.0 * i + 1) for i in range(20)], "id long, a double, y double")
+    df.write.parquet(src)
+    model = LinearRegression(0.01, 200).fit(df, ["a"], "y")
+    scored = score_stream(parquet_stream(spark, src, df.schema), model, ["a"])
+    q = write_scores(scored, os.path.join(root, "out"), "lin_scores", checkpoint=os.path.join(root, "ck"), trigger_once=True)
+    q.awaitTermination(120)
+    got = {r["id"]: r["prediction"] for r in spark.read.parquet(os.path.join(root, "out")).collect()}
+    want = {r["id"]: r["prediction"] for r in model.predict(df, ["a"]).collect()}
+    assert got == want
