@@ -380,9 +380,16 @@ class KNNModel:
     # --- banded search ---------------------------------------------------------
 
     def _band_count(self, spark) -> int:
-        par = spark.sparkContext.defaultParallelism
-        rows = self.band_rows or max(MIN_BAND_ROWS, min(self.train_block_rows, math.ceil(self.n_train / (4 * par))))
-        return min(MAX_BANDS, math.ceil(self.n_train / rows))
+        """Bands about twice as wide as the expected k-th neighbour distance:
+        for n rows in d dimensions that radius spans about
+        ``n^(1-1/d) k^(1/d)`` rows of a slab."""
+        d, n = self.n_features, max(self.n_train, 1)
+        if self.band_rows:
+            rows = self.band_rows
+        else:
+            rows = math.ceil(2 * n ** (1 - 1 / d) * self.k ** (1 / d))
+            rows = max(MIN_BAND_ROWS, min(self.train_block_rows, rows))
+        return max(1, min(MAX_BANDS, math.ceil(n / rows)))
 
     def _use_bands(self, spark, n_query: int) -> bool:
         """``auto``: bands when the brute-force work is large enough to repay
@@ -415,8 +422,8 @@ class KNNModel:
         acol = f"_x{a}"
         n_bands = self._band_count(spark)
         probs = [i / n_bands for i in range(1, n_bands)]
-        qs = self.train.agg(F.percentile_approx(acol, probs, max(10_000, 10 * n_bands)).alias("q")).first()["q"]
-        bounds = sorted(set(float(v) for v in qs))
+        qs = self.train.agg(F.percentile_approx(acol, probs, max(10_000, 10 * n_bands)).alias("q")).first()["q"] if probs else []
+        bounds = sorted(set(float(v) for v in qs or []))
         splits = [-math.inf] + bounds + [math.inf]
         nb = len(splits) - 1
 
