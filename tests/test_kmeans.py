@@ -115,3 +115,12 @@ def test_estimator_state(spark):
         ok.fit(matrix(spark, F5), "f", seed=7)
     after = [r["cluster"] for r in ok.predict(matrix(spark, F5), "f").orderBy("id").collect()]
     assert before == after
+
+
+def test_rank_search_narrows_exactly(spark, monkeypatch):
+    import tessera.operators.kmeans as KM
+
+    monkeypatch.setattr(KM, "RANK_FETCH_LIMIT", 500)
+    df = spark.range(0, 200_000).selectExpr("id * 7 + (id % 13) AS id")
+    ranks = [0, 1, 17, 99_999, 150_001, 199_999]
+    assert KM.ids_at_ranks(df, "id", ranks) == {r: r * 7 + (r % 13) for r in ranks}
