@@ -79,6 +79,12 @@ EXACT_PLACEMENT_GROUPS = 4_096
 EPS = float(np.finfo(np.float64).eps)
 
 
+def _require_integral_id(df: DataFrame, id_col: str) -> None:
+    """Neighbour ties are broken by id, and ids travel as longs."""
+    if not isinstance(df.schema[id_col].dataType, T.IntegralType):
+        raise ValueError(f"nearest neighbours need an integral id column; {id_col!r} is {df.schema[id_col].dataType.simpleString()}")
+
+
 def partition_keys(spark, n: int) -> list[int]:
     """For each partition p < n, a long key that hash partitioning into n
     partitions sends to p (Spark partitions by ``pmod(hash(key), n)``, the
@@ -504,6 +510,7 @@ class KNNModel:
                    validate: bool = True) -> DataFrame:
         """(query_id, rank, train_id, distance, target): the k nearest training
         rows of every query row, rank 1 = nearest."""
+        _require_integral_id(queries, id_col)
         m: Matrix = as_matrix(queries, features, id_col)
         if validate:
             res = scan(m)
@@ -578,6 +585,7 @@ class KNeighborsRegressor(FittedState):
     def fit(self, df: DataFrame, features: Sequence[str] | str, target: str, id_col: str = "id") -> KNNModel:
         """Checks the training matrix and targets; the model is lazy (no
         distances are computed until prediction)."""
+        _require_integral_id(df, id_col)
         m = as_matrix(df, features, id_col)
         narrow = not m.is_array and m.n_features <= BAND_MAX_FEATURES
         res = scan(m, target=target, moments=narrow)

@@ -122,3 +122,9 @@ def test_bands_widen_for_sparse_queries(spark):
         got[strategy] = sorted(tuple(r) for r in model.neighbours(queries, "f").collect())
     assert len(got["blocks"]) == 80 * 6
     assert got["bands"] == got["blocks"]
+
+
+def test_integral_ids_required(spark):
+    df = spark.createDataFrame([("a", [1.0], 1.0), ("b", [2.0], 2.0)], "id string, f array<double>, y double")
+    with pytest.raises(ValueError, match="integral id"):
+        KNeighborsRegressor(1).fit(df, "f", "y")
