@@ -33,12 +33,35 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
     b = b.config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
+    event_dir = os.environ.get("TESSERA_EVENT_LOG_DIR")
+    if event_dir:  # stage/task timings for scripts/stage_times.py
+        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+MB = 1 << 20
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict[str, str]:
+    """SQL confs sized to the input: scan splits and the initial shuffle width
+    grow with the data (about ``target_partition_bytes`` each), and AQE
+    coalesces small shuffles back down and splits skewed ones.  Apply with
+    ``spark.conf.set`` (or ``scoped_conf``) before building the plans."""
+    initial = max(200, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a scratch one only
     when the session names none (local runs)."""
