@@ -24,7 +24,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import errors as E
 from ..frames import Matrix, as_matrix
 from ..functions import sqltext as S
 from ..functions.vector import affine, log_loss, sigmoid

@@ -14,3 +14,12 @@ def test_messages_and_fields():
     assert E.NonFiniteInput(1, 2) == E.NonFiniteInput(row=1, column=2)
     assert E.NonFiniteInput(1, 2) != E.NonFiniteInput(2, 1)
     assert isinstance(E.EmptyRow(row=1), E.TesseraError)
+
+
+def test_scale_conf_grows_with_input():
+    from tessera.session import scale_conf
+
+    small, big = scale_conf(1 << 30), scale_conf(100 << 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
