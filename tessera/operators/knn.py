@@ -51,6 +51,7 @@ from ..functions.vector import check_metric
 from ..session import persist
 from .checks import check_feature_count, scan
 from .estimator import FittedState
+from .gram import blocked_gram
 
 WEIGHTINGS = ("uniform", "distance")
 STRATEGIES = ("auto", "bands", "blocks")
@@ -79,6 +80,13 @@ EXACT_PLACEMENT_GROUPS = 4_096
 EPS = float(np.finfo(np.float64).eps)
 
 
+def sum_columns(cols):
+    out = cols[0]
+    for c in cols[1:]:
+        out = out + c
+    return out
+
+
 def _require_integral_id(df: DataFrame, id_col: str) -> None:
     """Neighbour ties are broken by id, and ids travel as longs."""
     if not isinstance(df.schema[id_col].dataType, T.IntegralType):
@@ -397,6 +405,17 @@ class KNNModel:
             rows = max(MIN_BAND_ROWS, min(self.train_block_rows, rows))
         return max(1, min(MAX_BANDS, math.ceil(n / rows)))
 
+    def _principal_axis(self) -> np.ndarray:
+        """Unit first principal direction of the training features (mean
+        job, then one Gram job; d x d on the driver)."""
+        d = self.n_features
+        xs = [F.col(f"_x{i}") for i in range(d)]
+        mean = np.array(self.train.agg(*[F.avg(x) for x in xs]).first(), dtype=float)
+        cov = blocked_gram(self.train, xs, shift=mean)
+        _, vectors = np.linalg.eigh(cov)
+        u = vectors[:, -1]
+        return u / np.linalg.norm(u)
+
     def _use_bands(self, spark, n_query: int) -> bool:
         """``auto``: bands when the brute-force work is large enough to repay
         the band set-up jobs, for low-dimensional features."""
@@ -424,11 +443,29 @@ class KNNModel:
         span every band, the block plan searches what is left.
         """
         spark = q.sparkSession
-        a = int(np.argmax(self.spread))
-        acol = f"_x{a}"
+        d = self.n_features
+        xs = [F.col(f"_x{i}") for i in range(d)]
+        if d <= BAND_MAX_FEATURES:
+            # the widest feature itself: exact values, no rounding to account for
+            axis = xs[int(np.argmax(self.spread))]
+            slack = F.lit(0.0)
+        else:
+            # projection on the first principal direction u (|u| = 1), so
+            # |u.(t - q)| <= |t - q|_2 <= |t - q|_1; ``slack`` bounds the
+            # rounding of each computed projection
+            u = self._principal_axis()
+            axis = sum_columns([x * F.lit(float(w)) for x, w in zip(xs, u)])
+            slack = sum_columns([F.abs(x) * F.lit(abs(float(w))) for x, w in zip(xs, u)]) * F.lit(4.0 * (d + 2) * EPS)
+        acol = "_ax"
+        train = self.train.withColumn(acol, axis).withColumn("_slack", slack)
+        q = q.withColumn(acol, axis).withColumn("_slack", slack)
         n_bands = self._band_count(spark)
         probs = [i / n_bands for i in range(1, n_bands)]
-        qs = self.train.agg(F.percentile_approx(acol, probs, max(10_000, 10 * n_bands)).alias("q")).first()["q"] if probs else []
+        stats = train.agg(
+            (F.percentile_approx(acol, probs, max(10_000, 10 * n_bands)) if probs else F.array()).alias("q"),
+            F.max("_slack").alias("slack"),
+        ).first()
+        qs, train_slack = stats["q"], float(stats["slack"] or 0.0)
         bounds = sorted(set(float(v) for v in qs or []))
         splits = [-math.inf] + bounds + [math.inf]
         nb = len(splits) - 1
@@ -440,8 +477,8 @@ class KNNModel:
             out = Bucketizer(splits=splits, inputCol=acol, outputCol="_bandf").transform(df)
             return out.withColumn("_band", F.col("_bandf").cast("int")).drop("_bandf")
 
-        tt = self.train.select(F.col("_tid").cast("long").alias("_id"), *[c for c in self.train.columns if c.startswith("_x")], "_y")
-        tt = with_band(tt)
+        tt = train.select(F.col("_tid").cast("long").alias("_id"), *[f"_x{i}" for i in range(d)], "_y", acol)
+        tt = with_band(tt).drop(acol)
         t_counts = {r["_band"]: r["n"] for r in tt.groupBy("_band").agg(F.count(F.lit(1)).alias("n")).collect()}
         t_sub = {b: max(1, math.ceil(c / self.train_block_rows)) for b, c in t_counts.items()}
         t_sub_of = F.element_at(F.create_map(*[x for b, c in t_sub.items() for x in (F.lit(b), F.lit(c))]), F.col("_band"))
@@ -476,14 +513,16 @@ class KNNModel:
             qmap = spark.createDataFrame([(b, s_, gs) for (b, s_), gs in q_groups.items()], "_band int, _sub int, _gs array<int>")
             q_sub_of = F.element_at(F.create_map(*[x for b, c in q_sub.items() for x in (F.lit(b), F.lit(c))]), F.col("_band"))
             qq = qq.withColumn("_sub", F.pmod(F.xxhash64("_id"), q_sub_of).cast("int")).join(qmap, ["_band", "_sub"])
-            qq = qq.withColumn("_qa", F.col(acol))
-            cands = self._merge(self._top_k_groups(tt.join(tmap, ["_band", "_sub"]), qq, g, carry=["_qa", "_band"]), self.k)
+            qq = qq.withColumn("_qa", F.col(acol)).drop(acol)
+            cands = self._merge(
+                self._top_k_groups(tt.join(tmap, ["_band", "_sub"]), qq, g, carry=["_qa", "_band", "_slack"]), self.k
+            )
 
             # accept a query when its k-th distance is strictly inside the slab
             band = F.col("_band").cast("int")
             lo = F.when(band - radius >= 0, F.element_at(split_arr, band - radius + 1)).otherwise(F.lit(-math.inf))
             hi = F.element_at(split_arr, F.least(band + radius + 2, F.lit(nb + 1)))
-            gap = F.least(F.col("_qa") - lo, hi - F.col("_qa"))
+            gap = F.least(F.col("_qa") - lo, hi - F.col("_qa")) - F.col("_slack") - F.lit(train_slack)
             per_q = Window.partitionBy("query_id")
             k_eff = min(self.k, self.n_train)
             judged = cands.withColumn("_n", F.count(F.lit(1)).over(per_q)).withColumn("_kth", F.max("distance").over(per_q))
@@ -498,7 +537,8 @@ class KNNModel:
             n_pending = pending.count()
             radius *= 4
         if n_pending > 0:
-            finished.append(self._blocked(pending, n_pending).select("query_id", "rank", "train_id", "distance", "target"))
+            rest = pending.drop(acol, "_slack")
+            finished.append(self._blocked(rest, n_pending).select("query_id", "rank", "train_id", "distance", "target"))
         out = finished[0]
         for part in finished[1:]:
             out = out.unionByName(part)

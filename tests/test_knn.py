@@ -128,3 +128,24 @@ def test_integral_ids_required(spark):
     df = spark.createDataFrame([("a", [1.0], 1.0), ("b", [2.0], 2.0)], "id string, f array<double>, y double")
     with pytest.raises(ValueError, match="integral id"):
         KNeighborsRegressor(1).fit(df, "f", "y")
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_wide_bands_on_principal_direction(spark, metric):
+    import numpy as np
+
+    rng = np.random.default_rng(21)
+    d, n = 16, 500
+    centres = rng.normal(0, 20, size=(6, d))
+    x = centres[rng.integers(0, 6, n)] + rng.normal(0, 1, size=(n, d))
+    x[:40] = x[0]  # repeated vectors
+    train = spark.createDataFrame([(i, [float(v) for v in x[i]], float(i)) for i in range(n)], "id long, f array<double>, y double")
+    qx = centres[rng.integers(0, 6, 120)] + rng.normal(0, 1.5, size=(120, d))
+    qx[:5] = rng.normal(0, 200, size=(5, d))  # outliers: widen, then fall back
+    queries = spark.createDataFrame([(9000 + i, [float(v) for v in qx[i]]) for i in range(120)], "id long, f array<double>")
+    got = {}
+    for strategy in ("blocks", "bands"):
+        model = KNeighborsRegressor(5, "distance", metric, strategy=strategy, band_rows=40).fit(train, "f", "y")
+        got[strategy] = sorted(tuple(r) for r in model.neighbours(queries, "f").collect())
+    assert len(got["blocks"]) == 120 * 5
+    assert got["bands"] == got["blocks"]
