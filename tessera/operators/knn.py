@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 from .. import errors as E
 from ..frames import Matrix, as_matrix
 from ..functions.vector import check_metric
-from ..session import cut_lineage
+from ..session import cut_lineage, parallelism
 from .checks import check_feature_count, scan
 from .estimator import FittedState
 from .gram import blocked_gram
@@ -377,7 +377,7 @@ class KNNModel:
         block) groups."""
         spark = q.sparkSession
         b_t = max(1, math.ceil(self.n_train / self.train_block_rows))
-        par = spark.sparkContext.defaultParallelism
+        par = parallelism(spark)
         b_q = max(1, min(max(math.ceil(n_query / self.query_block_rows), par // b_t), max(n_query, 1)))
         qq = q.withColumn(
             "_gs",

@@ -20,7 +20,7 @@ from ..operators.kmeans import KMeans
 from ..operators.knn import KNeighborsRegressor, predictions_from_neighbours
 from ..operators.pca import PCA
 from ..operators.regression import LinearRegression, LogisticRegression
-from ..session import persist
+from ..session import persist, session_key
 from ..sources import tables as T
 
 Report = Callable[[SparkSession, str], DataFrame]
@@ -118,7 +118,7 @@ def _memo(key, fn):
 def _shared(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
     """A derived feature table used by several jobs (checks, moments, fit,
     loss, scoring), computed once per session and kept with MEMORY_AND_DISK."""
-    return _memo((name, sf_dir, spark.sparkContext.applicationId), lambda: persist(build()))
+    return _memo((name, sf_dir, session_key(spark)), lambda: persist(build()))
 
 
 def release() -> None:
@@ -137,7 +137,7 @@ def _standardised_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _kmeans(spark: SparkSession, sf_dir: str):
     z = _standardised_parts(spark, sf_dir)
     return z, _memo(
-        ("kmeans", sf_dir, spark.sparkContext.applicationId),
+        ("kmeans", sf_dir, session_key(spark)),
         lambda: KMeans(KMEANS_K, KMEANS_MAX_ITER, KMEANS_TOL).fit(z, PART_FEATURES, "p_partkey", seed=KMEANS_SEED),
     )
 
@@ -159,7 +159,7 @@ REVENUE = ["gross", "net"]
 
 def _pca(spark: SparkSession, sf_dir: str):
     rev = _shared(spark, "revenue", sf_dir, lambda: T.order_revenue(spark, sf_dir))
-    return rev, _memo(("pca", sf_dir, spark.sparkContext.applicationId), lambda: PCA(2).fit(rev, REVENUE, "l_orderkey"))
+    return rev, _memo(("pca", sf_dir, session_key(spark)), lambda: PCA(2).fit(rev, REVENUE, "l_orderkey"))
 
 
 def pca_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,7 +239,7 @@ def _linear(spark: SparkSession, sf_dir: str):
     of = of.withColumn("price_k", F.col("o_totalprice") / F.lit(1000.0))
     z = scaling.standardise(of, LINEAR_FEATURES, "o_orderkey", keep=["price_k"])
     return z, _memo(
-        ("linear", sf_dir, spark.sparkContext.applicationId),
+        ("linear", sf_dir, session_key(spark)),
         lambda: LinearRegression(LINEAR_LR, LINEAR_ITERATIONS).fit(z, LINEAR_FEATURES, "price_k", "o_orderkey"),
     )
 
@@ -270,7 +270,7 @@ def _logistic(spark: SparkSession, sf_dir: str):
     docs = _shared(spark, "labelled_docs", sf_dir, lambda: T.labelled_documents(spark, sf_dir))
     z = scaling.standardise(docs, DOC_FEATURES, "doc_id", keep=["quality"])
     return z, _memo(
-        ("logistic", sf_dir, spark.sparkContext.applicationId),
+        ("logistic", sf_dir, session_key(spark)),
         lambda: LogisticRegression(LOGISTIC_LR, LOGISTIC_ITERATIONS).fit(z, DOC_FEATURES, "quality", "doc_id"),
     )
 

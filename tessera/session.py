@@ -77,6 +77,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to a job (falls back to confs where the session has no
+    SparkContext handle)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        return int(spark.conf.get("spark.default.parallelism", None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def session_key(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def num_partitions(df: DataFrame) -> int | None:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def persist(df: DataFrame) -> DataFrame:
     """Keep an iterative input across jobs; spills to disk instead of failing,
     and lost blocks are recomputed from lineage if an executor goes away."""
@@ -92,8 +115,8 @@ ROWS_PER_PARTITION = 1_000_000
 def persist_sized(df: DataFrame, n_rows: int) -> DataFrame:
     """``persist`` after a shuffle-free ``coalesce`` to the row count."""
     want = max(1, -(-n_rows // ROWS_PER_PARTITION))
-    have = df.rdd.getNumPartitions()
-    return persist(df.coalesce(want) if want < have else df)
+    have = num_partitions(df)
+    return persist(df.coalesce(want) if have is not None and want < have else df)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
