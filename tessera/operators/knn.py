@@ -165,7 +165,9 @@ def _top_k_distinct(q_ids, q_x, t_ids, t_y, uniq, inverse, counts, kk: int, metr
             cut = dsorted[r, last[r]]
             n_vec = np.searchsorted(dsorted[r], cut, side="right")
             vecs = order[r, :n_vec]
-            rows = np.concatenate([rows_of[starts[v] : starts[v] + counts[v]] for v in vecs])
+            # within one vector rows are id-ordered and equally distant, so
+            # only its first kk rows can make the top kk
+            rows = np.concatenate([rows_of[starts[v] : starts[v] + min(counts[v], kk)] for v in vecs])
             dd = dist[r, inverse[rows]]
             pick = np.lexsort((rows, dd))[:kk]  # rows are id-ordered positions
             chosen = rows[pick]
