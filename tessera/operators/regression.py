@@ -160,12 +160,12 @@ class LogisticRegression(FittedState):
         try:
             with scoped_conf(df.sparkSession, ITERATION_CONF):
                 for it in range(self.iterations):
-                    p = S.sigmoid(S.affine(names, w))
-                    err = f"({p} - _y)"
-                    aggs = [f"sum({err}) AS g0"] + [f"sum({err} * {x}) AS g{i + 1}" for i, x in enumerate(names)]
+                    # probability once per row, then d + 1 sums over it
+                    scored = base.selectExpr(f"{S.sigmoid(S.affine(names, w))} AS _p", "_y", *names)
+                    aggs = ["sum(_p - _y) AS g0"] + [f"sum((_p - _y) * {x}) AS g{i + 1}" for i, x in enumerate(names)]
                     if it % TRACE_EVERY == 0:
-                        aggs.append(f"avg({S.log_loss(p, '_y')}) AS loss")
-                    row = base.selectExpr(*aggs).first()
+                        aggs.append(f"avg({S.log_loss('_p', '_y')}) AS loss")
+                    row = scored.selectExpr(*aggs).first()
                     grad = np.array([row[f"g{i}"] for i in range(d + 1)], dtype=float)
                     if it % TRACE_EVERY == 0:
                         losses[it] = row["loss"]
