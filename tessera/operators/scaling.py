@@ -98,9 +98,10 @@ def standardised_gram(m: Matrix, model: StandardiserModel) -> np.ndarray:
     d = model.n_features
     if d > WIDE:
         return blocked_gram(m.df, m.xs(d), model.mean, model.sd)
-    zs = model.exprs(m.xs(d))
+    z = m.df.select(*[e.alias(f"_z{i}") for i, e in enumerate(model.exprs(m.xs(d)))])  # z-scores once per row
+    zs = [F.col(f"_z{i}") for i in range(d)]
     aggs = [F.sum(zs[i] * zs[j]).alias(f"g{i}_{j}") for i in range(d) for j in range(i, d)]
-    row = m.df.agg(*aggs).first()
+    row = z.agg(*aggs).first()
     g = np.zeros((d, d))
     for i in range(d):
         for j in range(i, d):
