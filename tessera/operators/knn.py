@@ -93,10 +93,16 @@ def _require_integral_id(df: DataFrame, id_col: str) -> None:
         raise ValueError(f"nearest neighbours need an integral id column; {id_col!r} is {df.schema[id_col].dataType.simpleString()}")
 
 
+_PARTITION_KEYS: dict[int, list[int]] = {}
+
+
 def partition_keys(spark, n: int) -> list[int]:
     """For each partition p < n, a long key that hash partitioning into n
     partitions sends to p (Spark partitions by ``pmod(hash(key), n)``, the
-    same Murmur3 hash as the SQL ``hash`` function)."""
+    same Murmur3 hash with a fixed seed as the SQL ``hash`` function, so the
+    table depends on n only and is kept per n)."""
+    if n in _PARTITION_KEYS:
+        return _PARTITION_KEYS[n]
     found: dict[int, int] = {}
     span = 16 * n
     start = 0
@@ -110,7 +116,8 @@ def partition_keys(spark, n: int) -> list[int]:
         for r in rows:
             found.setdefault(r["p"], r["id"])
         start += span
-    return [found[p] for p in range(n)]
+    _PARTITION_KEYS[n] = [found[p] for p in range(n)]
+    return _PARTITION_KEYS[n]
 
 
 def _first_equal(row: np.ndarray, value: float, count: int) -> np.ndarray:

@@ -149,3 +149,15 @@ def test_wide_bands_on_principal_direction(spark, metric):
         got[strategy] = sorted(tuple(r) for r in model.neighbours(queries, "f").collect())
     assert len(got["blocks"]) == 120 * 5
     assert got["bands"] == got["blocks"]
+
+
+def test_partition_keys_place_one_group_per_partition(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.knn import partition_keys
+
+    for n in (1, 7, 64):
+        keys = partition_keys(spark, n)
+        df = spark.createDataFrame([(k,) for k in keys], "g long").repartition(n, "g")
+        placed = {r["g"]: r["p"] for r in df.select("g", F.spark_partition_id().alias("p")).collect()}
+        assert [placed[k] for k in keys] == list(range(n))
