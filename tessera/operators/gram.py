@@ -18,12 +18,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WIDE = 32
+# The d x d result lives on the driver: refuse widths beyond this.
+MAX_FEATURES = 4_000
 
 
 def blocked_gram(df: DataFrame, exprs: Sequence[Column], shift: Sequence[float] | None = None,
                  scale: Sequence[float] | None = None) -> np.ndarray:
     """``sum_i v_i v_i^T`` with ``v = (x - shift) / scale`` (both optional)."""
     p = len(exprs)
+    if p > MAX_FEATURES:
+        raise ValueError(f"{p} features would need a {p} x {p} matrix on the driver; the limit is {MAX_FEATURES}")
     sh = np.zeros(p) if shift is None else np.asarray(shift, dtype=float)
     sc = np.ones(p) if scale is None else np.asarray(scale, dtype=float)
     iu, ju = np.triu_indices(p)

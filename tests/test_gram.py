@@ -30,3 +30,12 @@ def test_wide_paths_agree(spark, monkeypatch):
     assert np.allclose(narrow_cov, wide_cov, atol=1e-12)
     assert np.allclose(narrow_lin, wide_lin, atol=1e-10)
     assert np.allclose(narrow_pca, wide_pca, atol=1e-9)
+
+
+def test_driver_matrix_limit(spark, monkeypatch):
+    import pytest
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(G, "MAX_FEATURES", 3)
+    with pytest.raises(ValueError, match="on the driver"):
+        G.blocked_gram(spark.range(3), [F.col("id")] * 4)
