@@ -29,9 +29,12 @@ def parquet_stream(spark: SparkSession, path: str, schema: StructType, files_per
 
 
 def score_stream(stream: DataFrame, model, features, id_col: str = "id", **kw) -> DataFrame:
-    """Stateless scoring as a streaming projection (models with ``predict``
-    built from column expressions: k-means, linear, logistic)."""
-    return model.predict(stream, features, id_col, validate=False, **kw)
+    """Stateless scoring as a streaming projection: ``predict`` for k-means,
+    linear and logistic models, ``transform`` for standardiser and PCA
+    models (all built from column expressions with literal parameters)."""
+    if hasattr(model, "predict"):
+        return model.predict(stream, features, id_col, validate=False, **kw)
+    return model.transform(stream, features, id_col, **kw)
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:

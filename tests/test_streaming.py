@@ -57,3 +57,19 @@ def test_file_sink_and_checkpoint_dir(spark):
     got = {r["id"]: r["prediction"] for r in spark.read.parquet(os.path.join(root, "out")).collect()}
     want = {r["id"]: r["prediction"] for r in model.predict(df, ["a"]).collect()}
     assert got == want
+
+
+def test_transform_models_on_a_stream(spark):
+    from tessera.operators import PCA, Standardiser
+
+    root = tempfile.mkdtemp(prefix="tessera-pca-")
+    src = os.path.join(root, "src")
+    df = spark.createDataFrame([(i, float(i), float(i * i % 7)) for i in range(30)], "id long, a double, b double")
+    df.write.parquet(src)
+    for model, col in ((PCA(2).fit(df, ["a", "b"]), "pc1"), (Standardiser().fit(df, ["a", "b"]), "a")):
+        batch = {r["id"]: r[col] for r in model.transform(df, ["a", "b"]).collect()}
+        name = f"scores_{col}"
+        q = score_stream(parquet_stream(spark, src, df.schema), model, ["a", "b"]).writeStream.format("memory").queryName(name).start()
+        q.processAllAvailable()
+        q.stop()
+        assert {r["id"]: r[col] for r in spark.sql(f"SELECT * FROM {name}").collect()} == batch
