@@ -3,6 +3,12 @@
 Every report reads whole tables (or data Spark derives from them).  Floating
 results are rounded (and -0.0 folded into 0.0) so that value hashes agree
 across engines whose summation orders differ.
+
+Fitted models and derived feature tables are memoised per session and data
+folder, so the reports of one model (weights / predictions / loss) share a
+single fit, and a derived table feeding several jobs is computed once
+(``release()`` drops them).  Fits run when a report is built; scoring stays
+lazy until the returned DataFrame is used.
 """
 
 from __future__ import annotations
