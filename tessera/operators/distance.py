@@ -110,10 +110,12 @@ def distance_to_group_mean(
     group_col: str,
     metric: str = "euclidean",
     output: str = "distance",
+    means: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
-    """(id, group, distance from the row's vector to its group's mean vector)."""
+    """(id, group, distance from the row's vector to its group's mean vector).
+    ``means`` takes a ``group_means`` result to share between metrics."""
     check_metric(metric)
-    means, d = group_means(df, features, id_col, group_col)
+    means, d = means if means is not None else group_means(df, features, id_col, group_col)
     m = as_matrix(df, features, id_col).with_width(d)
     rows = df.select(F.col(id_col), F.col(group_col), F.array(*m.xs(d)).alias("_v"))
     j = rows.join(means, group_col)

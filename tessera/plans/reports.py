@@ -86,7 +86,11 @@ def covariance_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _to_class_centre(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
     emb = T.embeddings(spark, sf_dir)
-    df = distance.distance_to_group_mean(emb, "embedding", "vec_id", "label", metric)
+    means = _memo(
+        ("label_means", sf_dir, session_key(spark)),
+        lambda: (lambda m: (persist(m[0]), m[1]))(distance.group_means(emb, "embedding", "vec_id", "label")),
+    )
+    df = distance.distance_to_group_mean(emb, "embedding", "vec_id", "label", metric, means=means)
     return _round_cols(df, {"distance": 6})
 
 
@@ -130,8 +134,9 @@ def _shared(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
 def release() -> None:
     """Drop memoised models and unpersist shared feature tables."""
     for v in _FITS.values():
-        if isinstance(v, DataFrame):
-            v.unpersist()
+        for item in v if isinstance(v, tuple) else (v,):
+            if isinstance(item, DataFrame):
+                item.unpersist()
     _FITS.clear()
 
 
