@@ -3,7 +3,7 @@
 ``get_session`` is for scripts and tests; on a cluster pass your own session.
 ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session (the shared
 folder the cluster names) and only falls back to a scratch folder when the
-setting is absent, as in local tests.
+setting is absent in a local session, as in tests.
 """
 
 from __future__ import annotations
@@ -63,16 +63,18 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a scratch one only
-    when the session names none (local runs)."""
+    """The folder named by ``spark.checkpoint.dir``.  Where it is unset, a
+    local session gets a scratch folder; a cluster session gets an error,
+    since the driver's own disk is no place that executors share."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
     sc.setCheckpointDir(conf)
     return conf
 
