@@ -3,9 +3,9 @@
 P(grade <= j) = sigmoid(threshold_j - w.x) with one weight vector for all
 thresholds; the result is the expected severity, the sum of P(grade > j).
 
-Features are words (letters, lower-cased); x is log(1 + occurrences).  The
-vocabulary is chosen from a bounded sample of labelled documents
-(``MAX_LABELLED``): words whose share among labelled-toxic documents stands
+Features are words (letters, lower-cased) and the beginnings of longer words;
+x is 1 + log(occurrences).  The vocabulary is chosen from a bounded sample of labelled documents
+(``MAX_LABELLED``): features whose share among labelled-toxic documents stands
 out by ``MIN_Z`` standard errors, at most ``MAX_WORDS``.  Where the labels say
 only toxic or not, toxic documents are graded 1 or 2 by whether they hold more
 such words than the median toxic document.  Every document is then scored in
@@ -32,13 +32,16 @@ from .common import read
 
 #: Labelled documents (smallest hashes of their ids) the model is fitted on.
 MAX_LABELLED = 10_000
-MAX_WORDS, MIN_Z, MIN_DOCS, RIDGE = 500, 4.0, 3, 0.05
+MAX_WORDS, MIN_Z, MIN_DOCS, RIDGE = 500, 4.0, 3, 0.01
+#: Bytes of a longer word that are a feature of their own.
+BEGINNING = 6
 
 _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
 def text_words(text: bytes) -> list[bytes]:
-    return text.translate(_LETTERS).split()
+    words = text.translate(_LETTERS).split()
+    return words + [w[:BEGINNING] + b"-" for w in words if len(w) > BEGINNING]
 
 
 @dataclass(frozen=True)
@@ -55,10 +58,10 @@ class Severity:
 
     def features(self, text: bytes) -> dict[int, float]:
         hits = Counter(w for w in text_words(text) if w in self.words)
-        return {self.words[w]: float(np.log1p(n)) for w, n in hits.items()}
+        return {self.words[w]: float(1 + np.log(n)) for w, n in hits.items()}
 
 
-def fit_cumulative(x: np.ndarray, grade: np.ndarray, ridge: float = RIDGE, steps: int = 800, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+def fit_cumulative(x: np.ndarray, grade: np.ndarray, ridge: float = RIDGE, steps: int = 1000, rate: float = 0.2) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds by Adam on the penalised likelihood.
     Thresholds are a first one and log gaps, so they stay in order."""
     top = int(grade.max())
@@ -76,7 +79,7 @@ def fit_cumulative(x: np.ndarray, grade: np.ndarray, ridge: float = RIDGE, steps
         d_hi, d_lo = hi * (1 - hi) / p, lo * (1 - lo) / p  # zero at the ends
         g_cut = np.array([d_hi[grade == j].sum() - d_lo[grade == j + 1].sum() for j in range(top)]) / n
         g_first, g_gap = g_cut.sum(), [g_cut[j:].sum() * np.exp(theta[d + j]) for j in range(1, top)]
-        grad = np.concatenate([-(x.T @ (d_hi - d_lo)) / n - ridge * w / n * 10, [g_first], g_gap])
+        grad = np.concatenate([-(x.T @ (d_hi - d_lo)) / n - ridge * w / n, [g_first], g_gap])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
     return theta[:d], np.cumsum(np.concatenate([theta[d : d + 1], np.exp(theta[d + 1 :])]))
@@ -125,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MA
     for i, r in enumerate(fitted):
         x[i, r["at"]] = r["value"]
     if y.max() == 1:
-        total = np.expm1(x).sum(1)
+        total = np.where(x > 0, np.exp(x - 1), 0).sum(1)
         y = y + ((y == 1) & (total > np.median(total[y == 1])))
     w, cuts = fit_cumulative(x, y)
     return Severity(words, w, cuts)
