@@ -108,8 +108,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
         return docs.sparkSession.createDataFrame([], schema)
     laid = _windows(docs, items)
     per_doc = laid.groupBy("k_id", "k_text").agg(F.collect_list(F.struct("start", "n", "k")).alias("laid"))
-    rows = docs.select(*row_key(docs), normal_words(F.col("text")).alias("w"))
-    joined = rows.join(per_doc, same_row(rows, per_doc)).select(rows["k_id"], rows["k_text"], "w", "laid")
+    rows = docs.select(*row_key(docs), "text")
+    joined = rows.join(per_doc, same_row(rows, per_doc)).select(rows["k_id"], rows["k_text"], normal_words(F.col("text")).alias("w"), "laid")
 
     def cut(x):
         lo = F.greatest(x["start"], F.lit(0))
