@@ -74,9 +74,12 @@ def near_masks() -> list[int]:
 
 
 def item_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """item_id, n (words), k (shingle length), sh (hashes), fp."""
-    w = benchmark.select(F.col(id_col).cast("long").alias("item_id"), normal_words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
-    out = w.select("item_id", F.size("w").alias("n"), F.least(F.size("w"), F.lit(SHINGLE)).alias("k"), shingles(F.col("w")).alias("sh"))
+    """item_id, key (of id and text: ids may be null or repeat), n (words), k
+    (shingle length), sh (hashes), fp."""
+    item = F.col(id_col).cast("long")
+    rows = benchmark.select(item.alias("item_id"), F.xxhash64(item.isNull(), item, F.col(text_col)).alias("key"), normal_words(F.col(text_col)).alias("w"))
+    w = rows.where(F.size("w") > 0).dropDuplicates(["key"])
+    out = w.select("item_id", "key", F.size("w").alias("n"), F.least(F.size("w"), F.lit(SHINGLE)).alias("k"), shingles(F.col("w")).alias("sh"))
     return out.withColumn("fp", simhash(F.col("sh")))
 
 
@@ -124,20 +127,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     left = contents.select("n", "c1", "c2", "fp", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("b"))
     left = left.withColumn("v", block(F.col("fp"), F.col("b")))
     masks = F.array(*[F.lit(m) for m in near_masks()])
-    right = items.select("item_id", F.col("n").alias("i_n"), F.col("fp").alias("i_fp"), F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("i_b"))
+    right = items.select("key", F.col("n").alias("i_n"), F.col("fp").alias("i_fp"), F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("i_b"))
     right = right.withColumn("m", F.explode(masks)).withColumn("i_v", block(F.col("i_fp"), F.col("i_b")).bitwiseXOR(F.col("m")))
     meet = left.join(right, (left["n"] == right["i_n"]) & (left["b"] == right["i_b"]) & (left["v"] == right["i_v"]))
-    near = meet.select("n", "c1", "c2", "item_id", F.bit_count(F.col("fp").bitwiseXOR(F.col("i_fp"))).alias("distance"))
+    near = meet.select("n", "c1", "c2", "key", F.bit_count(F.col("fp").bitwiseXOR(F.col("i_fp"))).alias("distance"))
     near = near.where(F.col("distance") <= radius).distinct()
 
     # exact similarity of each candidate content and item
     mine = near.join(contents.select("n", "c1", "c2", "sh"), ["n", "c1", "c2"])
-    mine = mine.select("n", "c1", "c2", "item_id", "distance", F.size("sh").alias("total"), F.explode("sh").alias("h"))
-    mine = mine.groupBy("n", "c1", "c2", "item_id", "distance", "total", "h").agg(F.count("*").alias("a"))
-    theirs = items.select("item_id", F.size("sh").alias("i_total"), F.explode("sh").alias("h")).groupBy("item_id", "i_total", "h").agg(F.count("*").alias("z"))
-    shared = mine.join(theirs, ["item_id", "h"]).groupBy("n", "c1", "c2", "item_id", "distance", "total", "i_total").agg(F.sum(F.least("a", "z")).alias("both"))
+    mine = mine.select("n", "c1", "c2", "key", "distance", F.size("sh").alias("total"), F.explode("sh").alias("h"))
+    mine = mine.groupBy("n", "c1", "c2", "key", "distance", "total", "h").agg(F.count("*").alias("a"))
+    theirs = items.select("key", F.size("sh").alias("i_total"), F.explode("sh").alias("h")).groupBy("key", "i_total", "h").agg(F.count("*").alias("z"))
+    shared = mine.join(theirs, ["key", "h"]).groupBy("n", "c1", "c2", "key", "distance", "total", "i_total").agg(F.sum(F.least("a", "z")).alias("both"))
     shared = shared.withColumn("similarity", F.col("both") / (F.col("total") + F.col("i_total") - F.col("both")))
-    good = shared.where(F.col("similarity") >= similarity).select("n", "c1", "c2", "item_id", "distance", "similarity")
+    good = shared.where(F.col("similarity") >= similarity).join(items.select("key", "item_id"), "key").select("n", "c1", "c2", "item_id", "distance", "similarity")
 
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words", "distance")).alias("m")
     out = placed.join(good, ["n", "c1", "c2"]).groupBy("k_id", "k_text", "item_id").agg(best)

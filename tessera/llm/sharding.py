@@ -103,8 +103,9 @@ def rebalance(m: SlotMap, size: list[int], rows: list[int]) -> SlotMap:
     """The next version for changed slot sizes; slots move only out of shards
     above the mean."""
     m = replace(m, bytes_of=tuple(size), rows_of=tuple(rows))
-    everyone = set(range(m.n_shards))
-    return _move(m, everyone, everyone)
+    loads = m.loads()
+    above = {s for s in range(m.n_shards) if loads[s] * m.n_shards > sum(loads)}
+    return _move(m, above, set(range(m.n_shards)) - above) if above else replace(m, version=m.version + 1)
 
 
 def grow(m: SlotMap) -> SlotMap:

@@ -40,6 +40,8 @@ from .components import connected
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 BUCKET_ROWS = 2048
+#: Parts that the rows of one fingerprint are dealt over when they get their component.
+SALTS = 8
 #: After this many cuts at most a handful of bits are free.
 MAX_LEVEL = 6
 
@@ -217,7 +219,9 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, buc
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = linked.join(least, "root").select("node", "component_id")
     every = nodes.join(named, nodes["fp"] == named["node"], "left").select("fp", F.when(F.col("node").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
-    return prints.join(every, "fp").select("k_id", "k_text", "fp", "component_id")
+    every = every.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    mine = prints.withColumn("salt", F.pmod(F.xxhash64("k_id", "k_text"), F.lit(SALTS)).cast("int"))
+    return mine.join(every, ["fp", "salt"]).select("k_id", "k_text", "fp", "component_id")
 
 
 def representatives(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

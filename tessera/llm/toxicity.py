@@ -32,7 +32,7 @@ from .common import read
 
 #: Labelled documents (smallest hashes of their ids) the model is fitted on.
 MAX_LABELLED = 10_000
-MAX_WORDS, MIN_Z, MIN_DOCS, RIDGE = 500, 4.0, 3, 0.01
+MAX_WORDS, MIN_Z, MIN_DOCS, RIDGE = 500, 5.0, 5, 0.03
 #: Bytes of a longer word that are a feature of their own.
 BEGINNING = 6
 

@@ -1,0 +1,204 @@
+"""Decontamination, sharding, mixing and chat against plain Python versions."""
+
+import brute as B
+import pytest
+from conftest import SF
+from pyspark.sql import functions as F
+
+from tessera.llm import chat, common, decontamination, mixing, sharding
+
+ITEMS = "item_id long, text string"
+PASSAGE = " ".join(f"word{i}" for i in range(60))
+
+
+# decontamination ---------------------------------------------------------
+
+def test_matches_full_search(spark, table):
+    docs, items = table("documents", "doc_id, text"), table("benchmark", "item_id, text")
+    want = {(i, j): s for i, t in docs for j, u in items if (s := B.best_window(t, u)) >= 0.8}
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontamination.contaminated_documents(spark, SF).collect()}
+    assert got == pytest.approx(want, abs=1e-6)
+
+
+def found(spark, docs, items):
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    return {(r.k_id, r.item_id) for r in decontamination.matches(d, spark.createDataFrame(items, ITEMS)).collect()}
+
+
+def test_near_copies_within_noise(spark):
+    words = PASSAGE.split()
+    docs = [
+        (1, "noise before " + PASSAGE + " and after"),
+        (2, "x " + PASSAGE.upper().replace(" ", ", ") + " y"),
+        (3, "x " + " ".join([*words[:20], "other", *words[21:]]) + " y"),  # one word of sixty
+        (4, " ".join(words[:20] + ["put", "in"] + words[20:])),
+        (5, " ".join(words[::-1])),
+        (6, " ".join(words[:25])),
+        (7, "z " + " ".join(words[:58])),  # cut short by two words
+    ]
+    want = {(i, 1) for i, t in docs if B.best_window(t, PASSAGE) >= 0.8}
+    assert want >= {(1, 1), (2, 1), (3, 1), (7, 1)}
+    assert found(spark, docs, [(1, PASSAGE)]) == want
+
+
+def test_short_items_and_edges(spark, odd, no_docs):
+    items = [(1, "three four"), (2, ""), (3, None), (4, "no id here but some words"), (None, "one two three four five six seven")]
+    b = spark.createDataFrame(items, ITEMS)
+    got = {(r.k_id, r.item_id) for r in decontamination.matches(odd, b).collect()}
+    assert got == {(1, 1), (5, 1), (None, 4), (1, None), (5, None)}
+    assert decontamination.matches(no_docs, b).isEmpty()
+    assert decontamination.matches(odd, b.limit(0)).isEmpty()
+
+
+def test_clean_documents_keep_columns(spark, clashing):
+    b = spark.createDataFrame([(1, "one two three four five six seven")], ITEMS)
+    out = decontamination.clean_documents(clashing, b)
+    assert out.columns == clashing.columns
+    assert sorted(r.doc_id or 0 for r in out.collect()) == [0, 0, 0, 2, 3, 4, 6, 7, 8]
+
+
+def test_blocks_guarantee_every_pair_within_radius():
+    import random
+
+    rng, masks = random.Random(1), set(decontamination.near_masks())
+    for _ in range(2000):
+        a, diff = rng.getrandbits(64), sum(1 << b for b in rng.sample(range(64), 23))
+        blocks = [((a >> 8 * i) & 255, ((a ^ diff) >> 8 * i) & 255) for i in range(8)]
+        assert any(x ^ y in masks for x, y in blocks)
+
+
+def test_simhash_is_the_majority(spark):
+    values = [3, 5, -1, 9]
+    got = spark.createDataFrame([(values,)], "h array<bigint>").select(decontamination.simhash(F.col("h"))).first()[0]
+    want = sum(1 << b for b in range(64) if 2 * sum((v >> b) & 1 for v in values) > len(values))
+    assert got == want
+
+
+# sharding ----------------------------------------------------------------
+
+def test_shards_by_bytes(spark, table):
+    rows = table("documents", "doc_id, text")
+    got = sharding.shard_documents(spark, SF).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in got} == {i: (len((t or "").encode()) + 1, B.crc32(t)) for i, t in rows}
+    for s in range(8):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    load = [sum(r.size for r in got if r.shard == s) for s in range(8)]
+    assert max(load) - min(load) <= max(r.size for r in got)
+
+
+def test_growing_and_rebalancing_edit_the_map(spark, tmp_path):
+    size, rows = [(37 * i) % 101 + 1 for i in range(4096)], [1] * 4096
+    m = sharding.balanced_map(size, rows, 8)
+    g = sharding.grow(m)
+    moved = [(a, b) for a, b in zip(m.shard_of, g.shard_of) if a != b]
+    assert moved and all(b == 8 for _, b in moved)
+    assert max(g.loads()) - min(g.loads()) < 0.02 * max(g.loads()) and g.version == 2
+    heavy = [s * 10 if m.shard_of[i] == 0 else s for i, s in enumerate(size)]
+    r = sharding.rebalance(m, heavy, rows)
+    assert max(r.loads()) < 1.05 * sum(heavy) / 8
+    assert all(a == 0 for a, b in zip(m.shard_of, r.shard_of) if a != b)
+    for v in (m, g):
+        sharding.save_map(spark, v, str(tmp_path / "maps"))
+    assert sharding.load_map(spark, str(tmp_path / "maps"), 2) == g
+
+
+def test_sharding_odd_rows(spark, clashing, no_docs):
+    m = sharding.balanced_map(*sharding.slot_totals(clashing, "doc_id", "text"), 3)
+    out = sharding.assign(clashing, m, "doc_id", "text", "v_slot", "v_shard")
+    assert out.count() == 12 and set(clashing.columns) < set(out.columns)
+    assert out.where("v_shard IS NULL").isEmpty()
+    assert sum(m.bytes_of) == sum(len((t or "").encode()) + 1 for _, t, *_ in [tuple(r) for r in clashing.select("doc_id", "text").collect()])
+    assert sum(sharding.balanced_map(*sharding.slot_totals(no_docs, "doc_id", "text"), 3).bytes_of) == 0
+
+
+# mixing ------------------------------------------------------------------
+
+def test_mix_matches_plain_version(spark, table):
+    rows = [(i, s, len(B.words(t))) for i, t, s in table("documents", "doc_id, text, source")]
+    got = mixing.mix_documents(spark, SF).collect()
+    assert {r.doc_id: r.taken for r in got} == B.taken(rows)
+    sizes = {}
+    for _, s, n in rows:
+        sizes[s] = sizes.get(s, 0) + n
+    goal = B.targets(sizes)
+    assert all(r.target == pytest.approx(goal[r.source]) and r.taken <= 2 * r.size for r in got)
+    for s in sizes:
+        assert sum(r.taken for r in got if r.source == s) == round(goal[s])
+
+
+@pytest.mark.parametrize("sizes", [{"a": 10, "b": 1000, None: 5}, {"a": 0, "b": 7}, {"z": 1}, {"a": 5, "b": 5, "c": 5, "d": 500}])
+def test_targets_stop_at_the_cap(spark, sizes):
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in mixing.source_targets(df).collect()}
+    assert got == pytest.approx(B.targets(sizes))
+
+
+def test_mixed_texts_hold_the_words_taken(spark, clashing, no_docs):
+    out = mixing.mixed_texts(clashing)
+    assert out.columns == clashing.columns
+    rows = clashing.select("doc_id", "text", "source").collect()
+    sizes = {}
+    for r in rows:
+        sizes[r.source] = sizes.get(r.source, 0) + len(B.words(r.text))
+    goal, got = B.targets(sizes), {}
+    for r in out.collect():
+        got[r.source] = got.get(r.source, 0) + len(B.words(r.text))
+    assert got == {s: round(g) for s, g in goal.items() if round(g)}
+    assert mixing.mixed_texts(no_docs).isEmpty()
+
+
+def test_prefix_sums_of_a_hot_group(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("g"), F.col("id").alias("o"), (F.col("id") % 7).alias("v"), F.floor(F.col("id") / 64).alias("b"))
+    got = common.prefix_sums(df, {"before": "v"}, ["g"], "b", ["o"]).collect()
+    seen = {}
+    for r in sorted(got, key=lambda r: r.o):
+        assert r.before == seen.get(r.g, 0)
+        seen[r.g] = r.before + r.v
+
+
+# chat --------------------------------------------------------------------
+
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def check_chat(spark, rows):
+    df = spark.createDataFrame(rows, TURNS)
+    got = {r.conv_id: (r.n_turns, r.n_copies) for r in chat.maximal(df).collect()}
+    assert got == B.maximal_conversations(rows)
+    text = {}
+    for r in sorted(chat.render(df, chat.maximal(df)).collect(), key=lambda r: r.segment):
+        text[r.conv_id] = text.get(r.conv_id, "") + r.text
+    return text
+
+
+def test_snapshots_collapse(spark):
+    rows = []
+    for c, n in ((1, 1), (2, 3), (3, 5), (4, 5)):  # snapshots of one conversation
+        rows += [(c, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(n)]
+    rows += [(5, 0, "user", "t0"), (5, 1, "assistant", "elsewhere"), (6, 0, "user", "t1")]
+    rows += [(7, 5, "user", "t0"), (7, 9, "assistant", "t1")]  # other numbering
+    rows += [(8, 0, "user", "t0"), (8, 0, "user", "t0")]  # a repeated row
+    text = check_chat(spark, rows)
+    assert sorted(text) == [3, 5, 6]
+    assert text[5] == "<|user|>\nt0<|end|>\n<|assistant|>\nelsewhere<|end|>\n"
+
+
+def test_chat_odd_rows(spark):
+    rows = [(None, 0, "user", "x"), (1, None, "user", None), (1, 0, None, "<|end|>"), (2, 0, "user", ""), (2, 0, "user", "b"), (3, 0, "user", None), (4, 0, "user", "w " * 50_000)]
+    text = check_chat(spark, rows)
+    assert text[1].startswith("<||>\n<||end|>")
+    assert chat.maximal(spark.createDataFrame([], TURNS)).isEmpty()
+
+
+def test_long_conversation_is_rendered_in_segments(spark):
+    rows = [(1, t, "user", str(t)) for t in range(3000)] + [(2, t, "user", str(t)) for t in range(2999)]
+    df = spark.createDataFrame(rows, TURNS)
+    out = sorted(chat.render(df, chat.maximal(df)).collect(), key=lambda r: r.segment)
+    assert [(r.conv_id, r.segment) for r in out] == [(1, 0), (1, 1), (1, 2)]
+    assert "".join(r.text for r in out) == "".join(f"<|user|>\n{t}<|end|>\n" for t in range(3000))
+
+
+def test_native_plans_run_no_python(spark):
+    for q in (decontamination.contaminated_documents, sharding.shard_documents, mixing.mix_documents, chat.format_conversations):
+        plan = spark._jvm.PythonSQLUtils.explainString(q(spark, SF)._jdf.queryExecution(), "formatted")
+        assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin")), q
