@@ -5,6 +5,10 @@ as a list of numeric columns or as one array column.  Heavy work runs as
 Spark jobs over the whole table; only model-sized results reach the driver.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from . import errors
 from .frames import Matrix, as_matrix
 from .operators import (
@@ -25,3 +29,6 @@ __all__ = [
     "LogisticRegression", "Standardiser", "column_moments", "covariance_matrix", "pairwise_distance",
     "standardise",
 ]
+
+# Executors need no copy of the package: functions that run there are shipped whole.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -31,6 +31,14 @@ MESSAGES = {
     "FeatureCountMismatch": "feature count {actual} does not match expected {expected}",
 }
 
+# Errors of this library's own.
+MESSAGES |= {
+    "UnscalableComponent": "component {component} cannot be scaled to a last entry of 1 "
+    "(last entry {last:.3g}, repeated eigenvalue: {repeated}); use scaling='unit'",
+    "InvalidIterations": "iteration count {iterations} must not be negative",
+    "DuplicateId": "id {id} occurs more than once",
+}
+
 
 class TesseraError(Exception):
     """Base class; subclasses carry their fields as attributes."""
@@ -84,5 +92,8 @@ ConvergenceFailure = _error("ConvergenceFailure", "algorithm", "max_iterations")
 InvalidTolerance = _error("InvalidTolerance", "algorithm")
 PredictionBeforeFit = _error("PredictionBeforeFit")
 FeatureCountMismatch = _error("FeatureCountMismatch", "expected", "actual")
+UnscalableComponent = _error("UnscalableComponent", "component", "last", "repeated")
+InvalidIterations = _error("InvalidIterations", "iterations")
+DuplicateId = _error("DuplicateId", "id")
 
 __all__ = ["MESSAGES", "TesseraError"] + [name for name in MESSAGES]

@@ -25,6 +25,7 @@ class Matrix:
     columns: tuple[str, ...] | None = None
     array_col: str | None = None
     n_features: int | None = None
+    guarded: bool = False
 
     @property
     def is_array(self) -> bool:
@@ -38,11 +39,20 @@ class Matrix:
         if d is None:
             raise ValueError("array feature width unknown: run the matrix check first")
         arr = F.col(self.array_col)
+        if self.guarded:
+            width = F.coalesce(F.size(arr), F.lit(0))
+            message = F.concat(F.lit("FeatureCountMismatch: feature count "), width.cast("string"), F.lit(f" does not match expected {d}"))
+            arr = F.when(width == d, arr).otherwise(F.raise_error(message))
         return [arr[i].cast("double") for i in range(d)]
 
     def with_width(self, d: int) -> "Matrix":
         return Matrix(self.df, self.id_col, self.columns, self.array_col, d)
 
+    def with_guard(self, d: int) -> "Matrix":
+        """Width ``d``; an array row of any other width fails the query when
+        it is scored (a narrow expression, so it also works on streams)."""
+        return Matrix(self.df, self.id_col, self.columns, self.array_col, d, self.is_array)
+
     def source_columns(self) -> list[str]:
         return list(self.columns) if not self.is_array else [self.array_col]
 

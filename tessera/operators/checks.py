@@ -191,13 +191,14 @@ def check_matrix(m: Matrix) -> ScanResult:
 
 
 def check_feature_count(expected: int, m: Matrix, validate: bool) -> Matrix:
-    """Prediction inputs: matrix check (optional) then feature count."""
+    """Prediction inputs: matrix check (optional) then feature count.  Without
+    the check, array rows of another width fail when they are scored."""
     if validate:
         res = scan(m)
         actual = res.n_features
         m = res.matrix
     elif m.is_array:
-        m = m.with_width(expected)
+        m = m.with_guard(expected)  # checked row by row when scored
         actual = expected
     else:
         actual = m.n_features

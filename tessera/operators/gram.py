@@ -2,9 +2,9 @@
 
 Up to ``WIDE`` features the Gram matrix is one aggregate of column
 expressions (d(d+1)/2 sums, whole-stage codegen).  Beyond that the number of
-expressions explodes, so each Arrow batch computes its partial ``V^T V`` with
-numpy (BLAS) inside the task and emits the upper triangle as (index, value)
-rows; a grouped sum (partial per task, d(d+1)/2 groups) adds the partials.
+expressions explodes, so each task adds up its ``V^T V`` with numpy (BLAS) over
+its Arrow batches and emits the upper triangle once, as (index, value) rows; a
+grouped sum (partial per task, d(d+1)/2 groups) adds the partials.
 Only the d x d result reaches the driver.
 """
 
@@ -35,15 +35,15 @@ def blocked_gram(df: DataFrame, exprs: Sequence[Column], shift: Sequence[float]
     cols = [f"_v{i}" for i in range(p)]
 
     def partial(batches):
+        g = None
         for b in batches:
             if b.num_rows == 0:
                 continue
             v = np.column_stack([b.column(c).to_numpy(zero_copy_only=False) for c in cols]).astype(np.float64)
             v = (v - sh) / sc
-            g = v.T @ v
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat_index), pa.array(g[iu, ju])], names=["k", "v"]
-            )
+            g = v.T @ v if g is None else g + v.T @ v
+        if g is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(flat_index), pa.array(g[iu, ju])], names=["k", "v"])
 
     sums = (
         df.select(*[e.cast("double").alias(c) for e, c in zip(exprs, cols)])

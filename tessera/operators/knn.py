@@ -202,6 +202,12 @@ def _exact_rows(q_x, t_x, rows, cols, euclid: bool) -> np.ndarray:
     return np.sqrt(acc) if euclid else acc
 
 
+def _squares_fit(q_x: np.ndarray, t_x: np.ndarray) -> bool:
+    """Whether the squared norms the screening adds up stay finite."""
+    largest = max(np.abs(q_x).max(initial=0.0), np.abs(t_x).max(initial=0.0))
+    return largest < 1e150 / max(1, q_x.shape[1])
+
+
 def _top_k_screened(q_ids, q_x, t_ids, t_x, t_y, kk: int):
     """Euclidean top-k for wide vectors.  ``|q|^2 + |t|^2 - 2 q.t`` from one
     matrix product estimates every squared distance within a rounding bound
@@ -258,7 +264,7 @@ def block_top_k(q_ids, q_x, t_ids, t_x, t_y, k: int, metric: str):
     uniq, inverse, counts = np.unique(t_x, axis=0, return_inverse=True, return_counts=True)
     if len(uniq) * DEDUPE_FACTOR <= nt:
         return _top_k_distinct(q_ids, q_x, t_ids, t_y, uniq, inverse.ravel(), counts, kk, metric)
-    if metric == "euclidean" and t_x.shape[1] >= GEMM_MIN_FEATURES and kk < nt:
+    if metric == "euclidean" and t_x.shape[1] >= GEMM_MIN_FEATURES and kk < nt and _squares_fit(q_x, t_x):
         return _top_k_screened(q_ids, q_x, t_ids, t_x, t_y, kk)
     t_cols = [np.ascontiguousarray(t_x[:, j]) for j in range(t_x.shape[1])]
     chunk = max(1, CHUNK_CELLS // max(nt, 1))
@@ -646,7 +652,7 @@ class KNeighborsRegressor(FittedState):
             row = df.agg(*[F.stddev_samp(x) for x in res.matrix.xs(res.n_features)]).first()
             spread = np.array([v if v is not None else 0.0 for v in row], dtype=float)
         n, d = res.n_rows, res.n_features
-        if self.k == 0 or self.k > n:
+        if self.k < 1 or self.k > n:
             raise E.InvalidK(k=self.k, sample_count=n)
         xs = res.matrix.xs(d)
         train = df.select(

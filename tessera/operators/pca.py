@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .. import errors as E
 from ..frames import as_matrix
 from ..functions.vector import dot
-from .checks import check_tolerance, scan
+from .checks import check_feature_count, check_tolerance, scan
 from .estimator import FittedState
 from .scaling import StandardiserModel, model_from_scan, standardised_gram
 
@@ -43,11 +43,9 @@ class PCAModel:
         return self.components.shape[0]
 
     def transform(self, df: DataFrame, features: Sequence[str] | str, id_col: str = "id",
-                  prefix: str = "pc", keep: Sequence[str] = ()) -> DataFrame:
-        m = as_matrix(df, features, id_col)
+                  prefix: str = "pc", keep: Sequence[str] = (), validate: bool = True) -> DataFrame:
         d = self.scaler.n_features
-        if not m.is_array and m.n_features != d:
-            raise E.FeatureCountMismatch(expected=d, actual=m.n_features)
+        m = check_feature_count(d, as_matrix(df, features, id_col), validate)
         zs = self.scaler.exprs(m.xs(d))
         pcs = [dot(zs, self.components[k]).alias(f"{prefix}{k + 1}") for k in range(self.n_components)]
         return df.select(F.col(id_col), *[F.col(c) for c in keep], *pcs)
@@ -74,7 +72,7 @@ class PCA(FittedState):
         res = scan(as_matrix(df, features, id_col), moments=True)
         scaler = model_from_scan(res)  # InsufficientSamples / ZeroVarianceFeature
         d = res.n_features
-        if self.n_components == 0 or self.n_components > d:
+        if self.n_components < 1 or self.n_components > d:
             raise E.InvalidPcaComponentCount(components=self.n_components, feature_count=d)
         check_tolerance(self.tolerance, "PCA/QR")
         cov = standardised_gram(res.matrix, scaler) / res.n_rows
@@ -90,10 +88,7 @@ class PCA(FittedState):
                     j != i and abs(values[j] - values[i]) <= 1e-12 * max(1.0, abs(values[i])) for j in range(d)
                 )
                 if abs(last) < LAST_ENTRY_FLOOR or repeated:
-                    raise ValueError(
-                        f"component {i + 1} cannot be scaled to a last entry of 1 "
-                        f"(last entry {last:.3g}, repeated eigenvalue: {repeated}); use scaling='unit'"
-                    )
+                    raise E.UnscalableComponent(component=i + 1, last=float(last), repeated=repeated)
                 comps[i] = comps[i] / last
             elif last < 0:
                 comps[i] = -comps[i]
@@ -105,4 +100,4 @@ class PCA(FittedState):
         return self.model.transform(*args, **kwargs)
 
     def fit_transform(self, df: DataFrame, features: Sequence[str] | str, id_col: str = "id", **kw) -> DataFrame:
-        return self.fit(df, features, id_col).transform(df, features, id_col, **kw)
+        return self.fit(df, features, id_col).transform(df, features, id_col, validate=False, **kw)

@@ -24,10 +24,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import errors as E
 from ..frames import Matrix, as_matrix
 from ..functions import sqltext as S
 from ..functions.vector import affine, log_loss, sigmoid
-from ..session import ITERATION_CONF, persist_sized, scoped_conf
+from ..session import ITERATION_CONF, persist, scoped_conf
 from .checks import check_feature_count, scan
 from .estimator import FittedState
 from .gram import WIDE, blocked_gram
@@ -70,6 +71,11 @@ class LogisticModel(LinearModel):
         return sigmoid(affine(xs, self.weights))
 
 
+def check_iterations(iterations: int) -> None:
+    if iterations < 0:
+        raise E.InvalidIterations(iterations=iterations)
+
+
 def _sufficient_aggs(xs: list[Column], y: Column) -> list[Column]:
     """Upper triangle of X^T X (x_0 = 1), X^T y and y^T y."""
     cols = [F.lit(1.0)] + list(xs)
@@ -89,6 +95,7 @@ class LinearRegression(FittedState):
         self.iterations = int(iterations)
 
     def fit(self, df: DataFrame, features: Sequence[str] | str, target: str, id_col: str = "id") -> LinearModel:
+        check_iterations(self.iterations)
         m = as_matrix(df, features, id_col)
         y = F.col(target).cast("double")
         if m.is_array or m.n_features > WIDE:
@@ -148,11 +155,12 @@ class LogisticRegression(FittedState):
         self.iterations = int(iterations)
 
     def fit(self, df: DataFrame, features: Sequence[str] | str, target: str, id_col: str = "id") -> LogisticModel:
+        check_iterations(self.iterations)
         m = as_matrix(df, features, id_col)
         res = scan(m, target=target, logistic=True)
         m, n, d = res.matrix, res.n_rows, res.n_features
         xs = m.xs(d)
-        base = persist_sized(df.select(*[x.alias(f"_x{i}") for i, x in enumerate(xs)], F.col(target).cast("double").alias("_y")), n)
+        base = persist(df.select(*[x.alias(f"_x{i}") for i, x in enumerate(xs)], F.col(target).cast("double").alias("_y")))
         names = [f"_x{i}" for i in range(d)]
         w = np.zeros(d + 1)
         losses: dict[int, float] = {}

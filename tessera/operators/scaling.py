@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..frames import Matrix, as_matrix
-from .checks import ScanResult, check_variance, scan
+from .checks import ScanResult, check_feature_count, check_variance, scan
 from .gram import WIDE, blocked_gram
 
 
@@ -33,7 +33,7 @@ class StandardiserModel:
         return len(self.mean)
 
     def exprs(self, xs: Sequence[Column]) -> list[Column]:
-        return [(x - F.lit(float(m))) / F.lit(float(s)) for x, m, s in zip(xs, self.mean, self.sd)]
+        return [(x - F.lit(float(m))) / F.lit(float(s)) for x, m, s in zip(xs, self.mean, self.sd, strict=True)]
 
     def transform(
         self,
@@ -42,18 +42,18 @@ class StandardiserModel:
         id_col: str = "id",
         output: Sequence[str] | str | None = None,
         keep: Sequence[str] = (),
+        validate: bool = True,
     ) -> DataFrame:
         """Standardised features.  ``output`` names the result columns (default:
         the input names; for an array input, an array column of the same name)."""
-        m = as_matrix(df, features, id_col)
-        xs = m.xs(self.n_features)
-        zs = self.exprs(xs)
+        m = check_feature_count(self.n_features, as_matrix(df, features, id_col), validate)
+        zs = self.exprs(m.xs(self.n_features))
         keep_cols = [F.col(c) for c in keep]
         if m.is_array:
             name = output if isinstance(output, str) else m.array_col
             return df.select(F.col(id_col), *keep_cols, F.array(*zs).alias(name))
         names = list(output) if output is not None else list(m.columns)
-        return df.select(F.col(id_col), *keep_cols, *[z.alias(n) for z, n in zip(zs, names)])
+        return df.select(F.col(id_col), *keep_cols, *[z.alias(n) for z, n in zip(zs, names, strict=True)])
 
     def moments_frame(self, spark: SparkSession) -> DataFrame:
         rows = [
@@ -84,7 +84,7 @@ def model_from_scan(res: ScanResult) -> StandardiserModel:
 def standardise(df: DataFrame, features: Sequence[str] | str, id_col: str = "id", **kw) -> DataFrame:
     """Fit and apply in one call."""
     model = Standardiser().fit(df, features, id_col)
-    return model.transform(df, features, id_col, **kw)
+    return model.transform(df, features, id_col, validate=False, **kw)  # the fit has checked it
 
 
 def column_moments(df: DataFrame, features: Sequence[str] | str, id_col: str = "id") -> DataFrame:

@@ -388,6 +388,8 @@ ORACLE: dict[str, str] = {
     "covariance_matrix": COVARIANCE_MATRIX,
     "distance_euclidean": _to_class_centre("euclidean"),
     "distance_manhattan": _to_class_centre("manhattan"),
+    "pairwise_euclidean": _to_class_centre("euclidean"),
+    "pairwise_manhattan": _to_class_centre("manhattan"),
     "distance_join": DISTANCE_JOIN,
     "kmeans_centroids": KMEANS_CENTROIDS,
     "kmeans_predict": KMEANS_PREDICT,

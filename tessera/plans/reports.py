@@ -72,12 +72,14 @@ def column_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = scaling.standardise(T.order_features(spark, sf_dir), ORDER_FEATURES, "o_orderkey")
+    orders = _shared(spark, "orders", sf_dir, lambda: T.order_features(spark, sf_dir))
+    df = scaling.standardise(orders, ORDER_FEATURES, "o_orderkey")
     return _round_cols(df, {c: 6 for c in ORDER_FEATURES})
 
 
 def covariance_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = scaling.covariance_matrix(T.order_features(spark, sf_dir), ORDER_FEATURES, "o_orderkey")
+    orders = _shared(spark, "orders", sf_dir, lambda: T.order_features(spark, sf_dir))
+    df = scaling.covariance_matrix(orders, ORDER_FEATURES, "o_orderkey")
     return _round_cols(df, {"covariance": 6})
 
 
@@ -103,6 +105,25 @@ def distance_manhattan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _to_class_centre(spark, sf_dir, "manhattan")
 
 
+def _pairwise(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
+    """Each embedding beside its label's mean vector, through the checked
+    pair distance (null-safe on the label, so no row is lost)."""
+    emb = T.embeddings(spark, sf_dir)
+    means, _ = distance.group_means(emb, "embedding", "vec_id", "label")
+    means = means.withColumnRenamed("label", "_label")
+    pairs = emb.join(means, emb["label"].eqNullSafe(means["_label"])).select("vec_id", "label", "embedding", "_centre")
+    out = distance.pairwise_distance(pairs, "embedding", "_centre", metric, "vec_id")
+    return _round_cols(out.select("vec_id", "label", "distance"), {"distance": 6})
+
+
+def pairwise_euclidean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pairwise(spark, sf_dir, "euclidean")
+
+
+def pairwise_manhattan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pairwise(spark, sf_dir, "manhattan")
+
+
 def distance_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest-neighbour join of all embeddings against all embeddings: the
     5 nearest (itself included, rank 1 at distance 0)."""
@@ -175,7 +196,7 @@ def _pca(spark: SparkSession, sf_dir: str):
 
 def pca_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     rev, model = _pca(spark, sf_dir)
-    return _round_cols(model.transform(rev, REVENUE, "l_orderkey"), {"pc1": 6, "pc2": 6})
+    return _round_cols(model.transform(rev, REVENUE, "l_orderkey", validate=False), {"pc1": 6, "pc2": 6})
 
 
 def pca_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +214,7 @@ def _knn_split(spark: SparkSession, sf_dir: str):
     """Train on orders before the last year, predict the orders of the last
     year (together: the whole orders table)."""
     of = _shared(spark, "orders", sf_dir, lambda: T.order_features(spark, sf_dir))
-    latest = F.year("o_orderdate") >= F.lit(T.KNN_QUERY_YEAR)
+    latest = F.coalesce(F.year("o_orderdate") >= F.lit(T.KNN_QUERY_YEAR), F.lit(False))  # no date: training side
     return of.filter(~latest), of.filter(latest)
 
 
@@ -248,7 +269,8 @@ LINEAR_LR, LINEAR_ITERATIONS = 0.1, 300
 def _linear(spark: SparkSession, sf_dir: str):
     of = _shared(spark, "orders", sf_dir, lambda: T.order_features(spark, sf_dir))
     of = of.withColumn("price_k", F.col("o_totalprice") / F.lit(1000.0))
-    z = scaling.standardise(of, LINEAR_FEATURES, "o_orderkey", keep=["price_k"])
+    scaler = _memo(("linear scaler", sf_dir, session_key(spark)), lambda: scaling.Standardiser().fit(of, LINEAR_FEATURES, "o_orderkey"))
+    z = scaler.transform(of, LINEAR_FEATURES, "o_orderkey", keep=["price_k"], validate=False)
     return z, _memo(
         ("linear", sf_dir, session_key(spark)),
         lambda: LinearRegression(LINEAR_LR, LINEAR_ITERATIONS).fit(z, LINEAR_FEATURES, "price_k", "o_orderkey"),
@@ -279,7 +301,8 @@ LOGISTIC_LR, LOGISTIC_ITERATIONS = 0.1, 150
 
 def _logistic(spark: SparkSession, sf_dir: str):
     docs = _shared(spark, "labelled_docs", sf_dir, lambda: T.labelled_documents(spark, sf_dir))
-    z = scaling.standardise(docs, DOC_FEATURES, "doc_id", keep=["quality"])
+    scaler = _memo(("logistic scaler", sf_dir, session_key(spark)), lambda: scaling.Standardiser().fit(docs, DOC_FEATURES, "doc_id"))
+    z = scaler.transform(docs, DOC_FEATURES, "doc_id", keep=["quality"], validate=False)
     return z, _memo(
         ("logistic", sf_dir, session_key(spark)),
         lambda: LogisticRegression(LOGISTIC_LR, LOGISTIC_ITERATIONS).fit(z, DOC_FEATURES, "quality", "doc_id"),
@@ -327,6 +350,8 @@ REPORTS: dict[str, Report] = {
     "covariance_matrix": covariance_matrix,
     "distance_euclidean": distance_euclidean,
     "distance_manhattan": distance_manhattan,
+    "pairwise_euclidean": pairwise_euclidean,
+    "pairwise_manhattan": pairwise_manhattan,
     "distance_join": distance_join,
     "kmeans_centroids": kmeans_centroids,
     "kmeans_predict": kmeans_predict,

@@ -95,32 +95,12 @@ def session_key(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
-def num_partitions(df: DataFrame) -> int | None:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        return None
-
-
 def persist(df: DataFrame) -> DataFrame:
     """Keep an iterative input across jobs; spills to disk instead of failing,
     and lost blocks are recomputed from lineage if an executor goes away."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-# Iterative inputs are cut to about this many rows per partition (never
-# more partitions than they already have): per-step task overhead then stays
-# proportional to the data, not to an upstream partition count.
-ROWS_PER_PARTITION = 1_000_000
-
-
-def persist_sized(df: DataFrame, n_rows: int) -> DataFrame:
-    """``persist`` after a shuffle-free ``coalesce`` to the row count."""
-    want = max(1, -(-n_rows // ROWS_PER_PARTITION))
-    have = num_partitions(df)
-    return persist(df.coalesce(want) if have is not None and want < have else df)
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never a
     local checkpoint)."""

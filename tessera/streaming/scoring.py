@@ -34,7 +34,7 @@ def score_stream(stream: DataFrame, model, features, id_col: str = "id", **kw) -
     models (all built from column expressions with literal parameters)."""
     if hasattr(model, "predict"):
         return model.predict(stream, features, id_col, validate=False, **kw)
-    return model.transform(stream, features, id_col, **kw)
+    return model.transform(stream, features, id_col, validate=False, **kw)
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:

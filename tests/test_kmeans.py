@@ -117,10 +117,18 @@ def test_estimator_state(spark):
     assert before == after
 
 
-def test_rank_search_narrows_exactly(spark, monkeypatch):
+def test_ranks_of_any_orderable_id(spark):
     import tessera.operators.kmeans as KM
 
-    monkeypatch.setattr(KM, "RANK_FETCH_LIMIT", 500)
-    df = spark.range(0, 200_000).selectExpr("id * 7 + (id % 13) AS id")
+    df = spark.range(0, 200_000).selectExpr("id * 7 + (id % 13) AS id").repartition(7)
     ranks = [0, 1, 17, 99_999, 150_001, 199_999]
     assert KM.ids_at_ranks(df, "id", ranks) == {r: r * 7 + (r % 13) for r in ranks}
+    text = df.selectExpr("lpad(id, 9, '0') AS id")
+    assert KM.ids_at_ranks(text, "id", ranks) == {r: f"{r * 7 + (r % 13):09d}" for r in ranks}
+
+
+def test_string_ids_beyond_fifty_thousand_rows(spark):
+    df = spark.range(60_000).selectExpr("id", "lpad(id, 9, '0') AS name", "double(id % 7) AS x", "double(id % 11) AS y")
+    a = KMeans(3, 200, 1e-6).fit(df, ["x", "y"], "id", seed=5)
+    b = KMeans(3, 200, 1e-6).fit(df, ["x", "y"], "name", seed=5)
+    assert np.allclose(a.centroids, b.centroids) and a.sizes == b.sizes

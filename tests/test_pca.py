@@ -49,7 +49,7 @@ def test_collinear_is_finite(spark):
 
 def test_uncorrelated_needs_unit_scaling(spark):
     rows = [[0, 0], [0, 1], [1, 0], [1, 1]]
-    with pytest.raises(ValueError, match="scaling='unit'"):
+    with pytest.raises(E.UnscalableComponent, match="scaling='unit'"):
         project(spark, rows, 2)
     model, z = project(spark, rows, 2, scaling="unit")
     assert np.allclose(model.components @ model.components.T, np.eye(2), atol=1e-12)
