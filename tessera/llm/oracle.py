@@ -1 +1,70 @@
-LLM_ORACLE: dict[str, str] = {}
+"""DuckDB SQL of the queries that SQL can express.
+
+The others have none: SimHash and virtual slots need XXH64, the fitted models
+and token vocabularies have no SQL form, and the neighbour search is
+approximate; tests hold those against brute force.
+"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, (2 * sum(size))::DOUBLE AS most,
+    ([3, 1, 2])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w
+  FROM d GROUP BY source),
+f AS (
+  SELECT *, sum(source_size) OVER ()::DOUBLE * 1.5 AS total, sum(w) OVER () AS weight_sum,
+    coalesce(sum(most) OVER o, 0) AS most_before, coalesce(sum(w) OVER o, 0) AS w_before
+  FROM s WINDOW o AS (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT *, most / w <= (total - most_before) / (weight_sum - w_before) AS is_full FROM f),
+t AS (
+  SELECT source, source_size, CASE WHEN is_full THEN most ELSE
+    w * ((total - sum(CASE WHEN is_full THEN most ELSE 0 END) OVER ()) / nullif(sum(CASE WHEN is_full THEN 0 ELSE w END) OVER (), 0)) END AS target
+  FROM g),
+r AS (
+  SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5('7:' || coalesce(doc_id::VARCHAR, '')), doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM d),
+e AS (
+  SELECT r.*, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS budget,
+    CASE WHEN t.source_size > 0 THEN floor(t.target + 0.5)::BIGINT // t.source_size ELSE 0 END AS epochs
+  FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, source, size, source_size, target,
+  (epochs * size + greatest(0, least(size, budget - epochs * source_size - before)))::BIGINT AS taken
+FROM e
+"""
+
+CHAT = """
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+c AS (
+  SELECT conv_id, list({'r': role, 'x': text} ORDER BY turn NULLS LAST, role, text) AS l, count(*) AS n FROM t GROUP BY conv_id),
+k AS (
+  SELECT min(conv_id) AS conv_id, n AS n_turns, count(*) AS n_copies FROM c
+  WHERE NOT EXISTS (SELECT 1 FROM c AS o WHERE o.n > c.n AND o.l[1] = c.l[1] AND o.l[1:c.n] = c.l)
+  GROUP BY l, n)
+SELECT t.conv_id, coalesce(t.turn // 1024, 4611686018427387904)::BIGINT AS segment, n_turns, n_copies,
+  string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || replace(coalesce(text, ''), '<|', '<||') || '<|end|>' || chr(10), ''
+    ORDER BY turn NULLS LAST, role, text) AS text
+FROM t JOIN k ON t.conv_id IS NOT DISTINCT FROM k.conv_id
+GROUP BY t.conv_id, segment, n_turns, n_copies
+"""
+
+LINES = f"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents),
+l AS (SELECT doc_id, unnest(s) AS line, generate_subscripts(s, 1) AS pos FROM s),
+y AS (SELECT *, translate(trim(line, {_BLANKS}), '{_UPPER}', '{_LOWER}') AS line_key FROM l),
+f AS (SELECT line_key FROM y WHERE length(line_key) >= 1 GROUP BY line_key HAVING count(DISTINCT doc_id) >= 10),
+d AS (SELECT doc_id, line, pos, line_key IN (SELECT line_key FROM f) AS gone FROM y)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM d GROUP BY doc_id
+"""
+
+LLM_ORACLE: dict[str, str] = {
+    "op7_mixing": MIXING,
+    "op8_chat": CHAT,
+    "op9_lines": LINES,
+}
