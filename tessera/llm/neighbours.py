@@ -33,7 +33,7 @@ from pyspark.sql.window import Window as W
 
 from .common import checkpointed, read
 
-K, CURVES, DIMS, BITS, SHARE = 10, 8, 8, 8, 0.16
+K, CURVES, DIMS, BITS, SHARE = 10, 8, 8, 8, 0.2
 BLOCK, MIN_WINDOW, SEED = 4096, 256, 11
 
 
