@@ -575,6 +575,9 @@ class KNNModel:
             if res.n_features != self.n_features:
                 raise E.FeatureCountMismatch(expected=self.n_features, actual=res.n_features)
             n_query = res.n_rows
+            repeated = queries.groupBy(id_col).count().filter("count > 1").first()
+            if repeated is not None:  # one prediction per id: rows must not fold into one
+                raise E.DuplicateId(id=repeated[0])
         else:
             m = check_feature_count(self.n_features, m, False)
             n_query = queries.count()

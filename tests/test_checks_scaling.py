@@ -9,6 +9,7 @@ from tessera.frames import as_matrix
 from tessera.operators import checks, column_moments, covariance_of_standardised, standardise
 
 
+# The moments and error cases here must come out as the compatible library's.
 def test_moments(spark):
     df = matrix(spark, [[1], [2], [3], [4]], named=True)
     row = column_moments(df, ["x1"]).first()

@@ -7,6 +7,7 @@ from conftest import matrix
 from tessera import errors as E
 from tessera.operators import PCA
 
+# Inputs and projections that must come out as the compatible library's.
 TEN = [[2.5, 2.4], [0.5, 0.7], [2.2, 2.9], [1.9, 2.2], [3.1, 3.0], [2.3, 2.7], [2.0, 1.6], [1.0, 1.1], [1.5, 1.6], [1.1, 0.9]]
 
 

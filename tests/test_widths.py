@@ -76,6 +76,13 @@ def test_arguments_below_their_range(spark):
             kind(0.1, -5).fit(df, "f", "y")
 
 
+def test_repeated_query_ids_fail(spark):
+    df = matrix(spark, ROWS, [0.0, 0.0, 1.0, 1.0, 1.0])
+    model = KNeighborsRegressor(1).fit(df, "f", "y")
+    with pytest.raises(E.DuplicateId):
+        model.predict(df.unionByName(df.limit(1)), "f")
+
+
 @pytest.mark.parametrize("d", [4, 7, 8, 64])
 def test_huge_finite_values_are_searched(d):
     """Both sides of the width from which candidates are screened."""
