@@ -6,7 +6,7 @@ with a ``noop`` write (no collect).  Fitted models are memoised per session,
 so the first report of a model (``*_centroids``, ``*_components``,
 ``*_weights``) carries the fit and the ``*_predict`` / ``*_transform``
 reports carry only the scoring, as the reference measures fit and predict
-apart.  An untimed warm-up pass runs first on the smallest scale factor;
+apart; tables that several reports share (``shared_*``) are lines of their own.  An untimed warm-up pass runs first on the smallest scale factor;
 then $BENCH_REPEATS (default 3) timed passes, each refitting every model, and
 each report's time is the median.  ``value`` is the sum of the medians.
 """
@@ -22,16 +22,17 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tessera.plans import REPORTS  # noqa: E402
-from tessera.plans.reports import release  # noqa: E402
+from tessera.plans.reports import SHARED, release  # noqa: E402
 from tessera.session import get_session  # noqa: E402
 
 ORDER = [
     # fits first so the scoring reports time scoring only
-    "kmeans_centroids", "kmeans_predict",
+    "shared_orders", "shared_documents",
+    "kmeans_centroids", "kmeans_predict", "kmeans_embeddings",
     "pca_components", "pca_transform",
     "linear_weights", "linear_predict", "linear_loss",
-    "logistic_weights", "logistic_predict", "logistic_loss",
-    "knn_neighbours", "knn_uniform", "knn_distance", "knn_exact_match", "knn_manhattan",
+    "logistic_weights", "logistic_predict", "logistic_loss", "logistic_embeddings",
+    "shared_neighbours", "knn_neighbours", "knn_uniform", "knn_distance", "knn_exact_match", "knn_manhattan",
     "distance_euclidean", "distance_manhattan", "distance_join",
     "column_moments", "standardise", "covariance_matrix",
     "check_matrix", "check_targets", "check_logistic_targets", "check_variance",
@@ -41,8 +42,9 @@ ORDER = [
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    names = [n for n in ORDER if n in REPORTS] + [n for n in REPORTS if n not in ORDER]
-    only = [a for a in sys.argv[1:] if a in REPORTS]
+    reports = {**REPORTS, **SHARED}
+    names = [n for n in ORDER if n in reports] + [n for n in REPORTS if n not in ORDER]
+    only = [a for a in sys.argv[1:] if a in reports]
     if only:
         names = only
     spark = get_session()
@@ -52,7 +54,7 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001"))
     if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
         for name in names:
-            REPORTS[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+            reports[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
         release()
     REPORTS["check_variance"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     repeats = max(1, int(os.environ.get("BENCH_REPEATS", "3")))
@@ -60,7 +62,7 @@ def main() -> None:
     for _ in range(repeats):
         for name in names:
             t0 = time.perf_counter()
-            REPORTS[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            reports[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs[name].append(time.perf_counter() - t0)
             print(f"{name}: {runs[name][-1]:.3f}s", file=sys.stderr)
         release()  # every run fits its models again

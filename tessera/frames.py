@@ -38,12 +38,23 @@ class Matrix:
         d = n_features if n_features is not None else self.n_features
         if d is None:
             raise ValueError("array feature width unknown: run the matrix check first")
+        arr = self._guarded_array(d)
+        return [arr[i].cast("double") for i in range(d)]
+
+    def vector(self, n_features: int | None = None) -> Column:
+        """All features as one array<double> expression."""
+        if not self.is_array:
+            return F.array(*self.xs())
+        d = n_features if n_features is not None else self.n_features
+        return self._guarded_array(d).cast("array<double>")
+
+    def _guarded_array(self, d: int) -> Column:
         arr = F.col(self.array_col)
         if self.guarded:
             width = F.coalesce(F.size(arr), F.lit(0))
             message = F.concat(F.lit("FeatureCountMismatch: feature count "), width.cast("string"), F.lit(f" does not match expected {d}"))
             arr = F.when(width == d, arr).otherwise(F.raise_error(message))
-        return [arr[i].cast("double") for i in range(d)]
+        return arr
 
     def with_width(self, d: int) -> "Matrix":
         return Matrix(self.df, self.id_col, self.columns, self.array_col, d)

@@ -90,6 +90,11 @@ def argmin(ds: Sequence[Column]) -> Column:
     return F.array_min(cands)["i"]
 
 
+def literal_longs(values: Sequence[int]) -> Column:
+    """A constant array of integers as one literal, whatever its length."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def rounded(c: Column, digits: int) -> Column:
     """Round and fold -0.0 into 0.0 (for stable value hashes)."""
     return F.round(c, digits) + F.lit(0.0)

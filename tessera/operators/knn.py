@@ -2,7 +2,13 @@
 
 No cross join, no broadcast of the training table, no all-pairs rows.
 
-Rows are routed to groups that each hold a bounded block of training rows and
+Training rows are first reduced to distinct vectors (each with its k lowest
+ids) and queries to distinct query vectors; the k nearest rows of a query lie
+in its k nearest distinct vectors, ordered by distance and lowest id, so the
+search runs between distinct vectors and its result is joined back.  A vector
+that a third of all rows repeat is searched once.
+
+Distinct rows are routed to groups that each hold a bounded block of training rows and
 a bounded block of query rows (each row carries the list of its groups).  The
 two sides are stacked with a side flag and hash-partitioned with an explicit
 partition count on keys picked so that every task gets exactly one group (AQE
@@ -10,19 +16,20 @@ does not coalesce these compute-heavy tasks).  ``groupBy(group)
 .applyInPandas`` emits, per group, only each query's k best candidates,
 ordered by (distance, training id); a window ``row_number() <= k`` per query
 merges groups.  Ids are unique and hashed, so no key can make a group hot.
+Beyond ``MAX_TASKS`` groups a task works through several, one after another;
+its memory stays that of one group.
 
 Group layouts:
 
 * blocks - exact brute force: training hashed into ``B_t`` blocks, queries
   into ``B_q`` blocks, one group per pair (at least one group per core).
 * bands - exact pruned search for low-dimensional features: slabs of the
-  widest feature, a query searched in nearby slabs only, accepted when its
+  feature that quantiles cut best, a query searched in nearby slabs only, accepted when its
   k-th distance is provably inside them; widening rounds, then blocks, for
   the rest.
 
 Inside a group (``block_top_k``) distances are summed feature by feature, so
-exact zeros stay exact; repeated training vectors are searched once; wide
-vectors are screened by one matrix product within a rounding bound and the
+exact zeros stay exact; wide vectors are screened by one matrix product within a rounding bound and the
 survivors recomputed exactly.
 
 The prediction folds the k neighbours in rank order: uniform mean, or
@@ -36,7 +43,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -47,7 +54,7 @@ from pyspark.sql import types as T
 
 from .. import errors as E
 from ..frames import Matrix, as_matrix
-from ..functions.vector import check_metric
+from ..functions.vector import check_metric, literal_longs
 from ..session import cut_lineage, parallelism
 from .checks import check_feature_count, scan
 from .estimator import FittedState
@@ -58,8 +65,6 @@ STRATEGIES = ("auto", "bands", "blocks")
 # Distance-matrix chunk (queries x training rows) kept under this many cells,
 # small enough to stay cache-resident while every core runs a block.
 CHUNK_CELLS = 65_536
-# Use the distinct-vector path when rows outnumber distinct vectors this much.
-DEDUPE_FACTOR = 4
 # From this many features on, candidates are screened with one matrix product.
 GEMM_MIN_FEATURES = 8
 SCREEN_CHUNK_CELLS = 1_048_576
@@ -69,14 +74,13 @@ SCREEN_CHUNK_CELLS = 1_048_576
 BAND_MAX_FEATURES = 4
 MIN_BAND_ROWS = 1_000
 MAX_BANDS = 4_096
-# A banded round is planned on the driver only while it has at most this
-# many groups.
-MAX_BAND_GROUPS = 200_000
 # ``auto`` bands only when training x query pairs reach this many.
 BAND_MIN_PAIRS = 10**10
 # Up to this many groups each gets its own task exactly; beyond, hashing
 # spreads groups evenly enough.
 EXACT_PLACEMENT_GROUPS = 4_096
+# Partitions of a search at most; more groups share them.
+MAX_TASKS = 65_536
 EPS = float(np.finfo(np.float64).eps)
 
 
@@ -87,10 +91,16 @@ def sum_columns(cols):
     return out
 
 
-def _require_integral_id(df: DataFrame, id_col: str) -> None:
-    """Neighbour ties are broken by id, and ids travel as longs."""
-    if not isinstance(df.schema[id_col].dataType, T.IntegralType):
-        raise ValueError(f"nearest neighbours need an integral id column; {id_col!r} is {df.schema[id_col].dataType.simpleString()}")
+def _is_integral(df: DataFrame, id_col: str) -> bool:
+    return isinstance(df.schema[id_col].dataType, T.IntegralType)
+
+
+def ordered_keys(df: DataFrame, id_col: str) -> DataFrame:
+    """(_orig, _key): a long per id that rises with it, for ids of any
+    orderable type: a range-partitioned sort of the id column, written to the
+    checkpoint folder so that the keys never change."""
+    ids = df.select(F.col(id_col).alias("_orig")).distinct().repartitionByRange("_orig").sortWithinPartitions("_orig")
+    return cut_lineage(ids.select("_orig", F.monotonically_increasing_id().alias("_key")))
 
 
 _PARTITION_KEYS: dict[int, list[int]] = {}
@@ -150,48 +160,6 @@ def _distances(qx: np.ndarray, t_cols: list[np.ndarray], euclid: bool) -> np.nda
     return acc
 
 
-def _top_k_distinct(q_ids, q_x, t_ids, t_y, uniq, inverse, counts, kk: int, metric: str):
-    """Top-k when training vectors repeat: distances go to the distinct
-    vectors only; rows are then taken in (distance, id) order.  Rows of one
-    vector share its distance, so after sorting the distinct vectors by
-    distance, the k nearest rows lie in the shortest prefix holding >= k
-    rows, extended by every vector tied with its last distance."""
-    rows_of = np.argsort(inverse, kind="stable")  # rows grouped by vector, ids ascending
-    starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    u_cols = [np.ascontiguousarray(uniq[:, j]) for j in range(uniq.shape[1])]
-    euclid = metric == "euclidean"
-    chunk = max(1, CHUNK_CELLS // max(len(uniq), 1))
-    out_q, out_t, out_d, out_y = [], [], [], []
-    for s in range(0, len(q_ids), chunk):
-        dist = _distances(q_x[s : s + chunk], u_cols, euclid)
-        order = np.argsort(dist, axis=1, kind="stable")
-        dsorted = np.take_along_axis(dist, order, axis=1)
-        cum = np.cumsum(counts[order], axis=1)
-        last = np.argmax(cum >= kk, axis=1)
-        for r in range(len(dist)):
-            cut = dsorted[r, last[r]]
-            n_vec = np.searchsorted(dsorted[r], cut, side="right")
-            vecs = order[r, :n_vec]
-            # within one vector rows are id-ordered and equally distant, so
-            # only its first kk rows can make the top kk
-            rows = np.concatenate([rows_of[starts[v] : starts[v] + min(counts[v], kk)] for v in vecs])
-            dd = dist[r, inverse[rows]]
-            pick = np.lexsort((rows, dd))[:kk]  # rows are id-ordered positions
-            chosen = rows[pick]
-            out_q.append(np.full(kk, q_ids[s + r]))
-            out_t.append(t_ids[chosen])
-            out_d.append(dd[pick])
-            out_y.append(t_y[chosen])
-    n = len(out_q)
-    return (
-        np.concatenate(out_q),
-        np.concatenate(out_t),
-        np.concatenate(out_d),
-        np.concatenate(out_y),
-        np.tile(np.arange(1, kk + 1), n),
-    )
-
-
 def _exact_rows(q_x, t_x, rows, cols, euclid: bool) -> np.ndarray:
     """Exact distances for selected (query, training) pairs, summed feature
     by feature like the direct kernel."""
@@ -261,9 +229,6 @@ def block_top_k(q_ids, q_x, t_ids, t_x, t_y, k: int, metric: str):
     t_ids, t_y, t_x = t_ids[order], t_y[order], t_x[order]
     nt = len(t_ids)
     kk = min(k, nt)
-    uniq, inverse, counts = np.unique(t_x, axis=0, return_inverse=True, return_counts=True)
-    if len(uniq) * DEDUPE_FACTOR <= nt:
-        return _top_k_distinct(q_ids, q_x, t_ids, t_y, uniq, inverse.ravel(), counts, kk, metric)
     if metric == "euclidean" and t_x.shape[1] >= GEMM_MIN_FEATURES and kk < nt and _squares_fit(q_x, t_x):
         return _top_k_screened(q_ids, q_x, t_ids, t_x, t_y, kk)
     t_cols = [np.ascontiguousarray(t_x[:, j]) for j in range(t_x.shape[1])]
@@ -321,6 +286,7 @@ class KNNModel:
     spread: np.ndarray | None = None  # per-feature standard deviation of the training rows
     strategy: str = "auto"
     band_rows: int | None = None
+    id_keys: DataFrame | None = None  # (_orig, _key) where ids are not integers
 
     # --- shared executor ---------------------------------------------------
 
@@ -341,10 +307,10 @@ class KNNModel:
             # g lands in partition g (an explicit partition count is never
             # coalesced away by AQE).
             keys = partition_keys(spark, n_groups)
-            key_of = F.element_at(F.array(*[F.lit(x) for x in keys]), F.col("_g").cast("int") + 1)
+            key_of = F.element_at(literal_longs(keys), F.col("_g").cast("int") + 1)
             stacked = t.unionByName(q).withColumn("_g", key_of).repartition(n_groups, "_g")
         else:
-            stacked = t.unionByName(q).repartition(n_groups, "_g")
+            stacked = t.unionByName(q).repartition(min(n_groups, MAX_TASKS), "_g")
         fields = [
             T.StructField("query_id", T.LongType()),
             T.StructField("train_id", T.LongType()),
@@ -385,6 +351,42 @@ class KNNModel:
         w = Window.partitionBy("query_id").orderBy("distance", "train_id")
         return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
+    # --- distinct vectors --------------------------------------------------------
+
+    def _search(self, q: DataFrame, n_query: int) -> DataFrame:
+        """(query_id, rank, train_id, distance) between rows as they are."""
+        out = self._banded(q, n_query) if self._use_bands(q.sparkSession, n_query) else self._blocked(q, n_query)
+        return out.select("query_id", "rank", "train_id", "distance")
+
+    def _search_distinct(self, q: DataFrame) -> DataFrame:
+        """(query_id, rank, train_id, distance, target) of every query row,
+        by a search between distinct vectors."""
+        xs = [f"_x{i}" for i in range(self.n_features)]
+        vector = F.array(*xs).alias("_v")
+        apart = [F.col("_v")[i].alias(x) for i, x in enumerate(xs)]
+        # Spark limits the rows of a vector to k in each task before it shuffles them
+        lowest = Window.partitionBy("_v").orderBy("_tid")
+        few = self.train.select(F.col("_tid").cast("long").alias("_tid"), "_y", vector)
+        few = few.withColumn("_n", F.row_number().over(lowest)).filter(F.col("_n") <= self.k)
+        rows = F.sort_array(F.collect_list(F.struct("_tid", "_y"))).alias("_rows")
+        reps = cut_lineage(few.groupBy("_v").agg(F.min("_tid").alias("_rep"), rows))
+        asked = cut_lineage(q.select("_id", vector).groupBy("_v").agg(F.min("_id").alias("_id")))
+        n_reps = reps.count()
+        inner = replace(
+            self, train=reps.select(F.col("_rep").alias("_tid"), *apart, F.lit(0.0).alias("_y")), n_train=n_reps, k=min(self.k, n_reps)
+        )
+        near = inner._search(asked.select("_id", *apart), asked.count())
+        named = near.join(reps.select(F.col("_rep").alias("train_id"), "_rows"), "train_id")
+        named = named.select("query_id", "distance", F.explode("_rows").alias("_r"))
+        best = Window.partitionBy("query_id").orderBy("distance", "_r._tid")
+        named = named.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= self.k)
+        lists = named.groupBy("query_id").agg(
+            F.sort_array(F.collect_list(F.struct("rank", F.col("_r._tid").alias("train_id"), "distance", F.col("_r._y").alias("target")))).alias("_nb")
+        )
+        found = asked.join(lists, asked["_id"] == lists["query_id"]).select("_v", "_nb")
+        mine = q.select(F.col("_id").alias("query_id"), vector).join(found, "_v")
+        return mine.select("query_id", F.explode("_nb").alias("_n")).select("query_id", "_n.*")
+
     # --- brute force over blocks -------------------------------------------------
 
     def _blocked(self, q: DataFrame, n_query: int) -> DataFrame:
@@ -445,9 +447,11 @@ class KNNModel:
         )
 
     def _banded(self, q: DataFrame, n_query: int) -> DataFrame:
-        """Exact search in slabs of the widest feature, widening as needed.
+        """Exact search in slabs of one feature, widening as needed.
 
-        Training rows are cut into bands at quantiles of feature ``a``.  In a
+        Training rows are cut into bands at quantiles of feature ``a``, the one
+        whose quantiles differ most (a value that most rows share would make
+        one band of them), the widest of equals.  In a
         round of radius r, a query in band b is searched in bands b-r..b+r
         (hot bands split into bounded sub-blocks by id).  Every training row
         outside those bands differs from the query by at least ``gap`` in
@@ -460,10 +464,18 @@ class KNNModel:
         spark = q.sparkSession
         d = self.n_features
         xs = [F.col(f"_x{i}") for i in range(d)]
+        n_bands = self._band_count(spark)
+        probs = [i / n_bands for i in range(1, n_bands)]
+
+        def quantiles(axes):
+            return [F.percentile_approx(a, probs, max(10_000, 10 * n_bands)) if probs else F.array().cast("array<double>") for a in axes]
+
         if d <= BAND_MAX_FEATURES:
-            # the widest feature itself: exact values, no rounding to account for
-            axis = xs[int(np.argmax(self.spread))]
-            slack = F.lit(0.0)
+            # the feature itself: exact values, no rounding to account for
+            cuts = self.train.agg(*[c.alias(f"q{i}") for i, c in enumerate(quantiles(xs))]).first()
+            spread = self.spread if self.spread is not None else np.zeros(d)
+            a = max(range(d), key=lambda i: (len(set(cuts[f"q{i}"])), spread[i], -i))
+            axis, slack, qs = xs[a], F.lit(0.0), cuts[f"q{a}"]
         else:
             # projection on the first principal direction u (|u| = 1), so
             # |u.(t - q)| <= |t - q|_2 <= |t - q|_1; ``slack`` bounds the
@@ -471,16 +483,14 @@ class KNNModel:
             u = self._principal_axis()
             axis = sum_columns([x * F.lit(float(w)) for x, w in zip(xs, u)])
             slack = sum_columns([F.abs(x) * F.lit(abs(float(w))) for x, w in zip(xs, u)]) * F.lit(4.0 * (d + 2) * EPS)
+            qs = None
         acol = "_ax"
         train = self.train.withColumn(acol, axis).withColumn("_slack", slack)
         q = q.withColumn(acol, axis).withColumn("_slack", slack)
-        n_bands = self._band_count(spark)
-        probs = [i / n_bands for i in range(1, n_bands)]
-        stats = train.agg(
-            (F.percentile_approx(acol, probs, max(10_000, 10 * n_bands)) if probs else F.array()).alias("q"),
-            F.max("_slack").alias("slack"),
-        ).first()
-        qs, train_slack = stats["q"], float(stats["slack"] or 0.0)
+        train_slack = 0.0
+        if qs is None:
+            stats = train.agg(quantiles([F.col(acol)])[0].alias("q"), F.max("_slack").alias("slack")).first()
+            qs, train_slack = stats["q"], float(stats["slack"] or 0.0)
         bounds = sorted(set(float(v) for v in qs or []))
         splits = [-math.inf] + bounds + [math.inf]
         nb = len(splits) - 1
@@ -495,9 +505,15 @@ class KNNModel:
         tt = train.select(F.col("_tid").cast("long").alias("_id"), *[f"_x{i}" for i in range(d)], "_y", acol)
         tt = with_band(tt).drop(acol)
         t_counts = {r["_band"]: r["n"] for r in tt.groupBy("_band").agg(F.count(F.lit(1)).alias("n")).collect()}
-        t_sub = {b: max(1, math.ceil(c / self.train_block_rows)) for b, c in t_counts.items()}
-        t_sub_of = F.element_at(F.create_map(*[x for b, c in t_sub.items() for x in (F.lit(b), F.lit(c))]), F.col("_band"))
-        tt = tt.withColumn("_sub", F.pmod(F.xxhash64("_id"), t_sub_of).cast("int"))
+        # blocks of a band are numbered on: band b holds blocks t_at[b] to t_at[b + 1] - 1
+        t_at = [0, *np.cumsum([math.ceil(t_counts.get(b, 0) / self.train_block_rows) for b in range(nb)]).tolist()]
+        band = F.col("_band").cast("int")
+
+        def block_of(at: list[int]):
+            first, end = F.element_at(literal_longs(at), band + 1), F.element_at(literal_longs(at), band + 2)
+            return first + F.pmod(F.xxhash64("_id"), F.greatest(end - first, F.lit(1)))
+
+        tt = tt.withColumn("_block", block_of(t_at))
         split_arr = F.array(*[F.lit(v) for v in splits])
 
         finished: list[DataFrame] = []
@@ -505,36 +521,38 @@ class KNNModel:
         while n_pending > 0 and 2 * radius + 1 < nb:
             qq = with_band(pending)
             q_counts = {r["_band"]: r["n"] for r in qq.groupBy("_band").agg(F.count(F.lit(1)).alias("n")).collect()}
-            q_sub = {b: max(1, math.ceil(c / self.query_block_rows)) for b, c in q_counts.items()}
-            planned = sum(
-                q_sub[qb] * sum(t_sub.get(b, 0) for b in range(qb - radius, qb + radius + 1)) for qb in q_counts
-            )
-            if planned > MAX_BAND_GROUPS:
-                break  # the group table would no longer be small: leave the rest to the block plan
-            # groups: (query band, query sub-block, band in the window, training sub-block)
-            t_groups: dict[tuple[int, int], list[int]] = {}
-            q_groups: dict[tuple[int, int], list[int]] = {}
-            g = 0
-            for qb in sorted(q_counts):
-                for qs_ in range(q_sub[qb]):
-                    for nbnd in range(qb - radius, qb + radius + 1):
-                        for ts in range(t_sub.get(nbnd, 0)):
-                            t_groups.setdefault((nbnd, ts), []).append(g)
-                            q_groups.setdefault((qb, qs_), []).append(g)
-                            g += 1
-            if g == 0:
-                break
-            tmap = spark.createDataFrame([(b, s_, gs) for (b, s_), gs in t_groups.items()], "_band int, _sub int, _gs array<int>")
-            qmap = spark.createDataFrame([(b, s_, gs) for (b, s_), gs in q_groups.items()], "_band int, _sub int, _gs array<int>")
-            q_sub_of = F.element_at(F.create_map(*[x for b, c in q_sub.items() for x in (F.lit(b), F.lit(c))]), F.col("_band"))
-            qq = qq.withColumn("_sub", F.pmod(F.xxhash64("_id"), q_sub_of).cast("int")).join(qmap, ["_band", "_sub"])
+            q_at = [0, *np.cumsum([math.ceil(q_counts.get(b, 0) / self.query_block_rows) for b in range(nb)]).tolist()]
+            # query block Q meets the training blocks of the bands around its own,
+            # which are numbered in one run: the pair (Q, T) is group shift(Q) + T
+            near = [(max(b - radius, 0), min(b + radius, nb - 1) + 1) for b in range(nb)]
+            planned = sum((q_at[b + 1] - q_at[b]) * (t_at[hi] - t_at[lo]) for b, (lo, hi) in enumerate(near))
+            if not planned:
+                radius *= 4
+                continue
+            if planned <= EXACT_PLACEMENT_GROUPS:  # groups numbered without gaps
+                shift, g = [], 0
+                for b, (lo, hi) in enumerate(near):
+                    for _ in range(q_at[b + 1] - q_at[b]):
+                        shift.append(g - t_at[lo])
+                        g += t_at[hi] - t_at[lo]
+                group = lambda q_block, t_block: F.element_at(literal_longs(shift), q_block.cast("int") + 1) + t_block  # noqa: E731, B023
+            else:
+                group = lambda q_block, t_block: q_block * t_at[-1] + t_block
+            low, high = F.greatest(band - radius, F.lit(0)), F.least(band + radius, F.lit(nb - 1))
+
+            def blocks_near(at: list[int], low=low, high=high):
+                first, end = F.element_at(literal_longs(at), low + 1), F.element_at(literal_longs(at), high + 2)
+                return F.when(end > first, F.sequence(first, end - 1)).otherwise(F.array().cast("array<bigint>"))
+
+            t_side = tt.withColumn("_gs", F.transform(blocks_near(q_at), lambda x: group(x, F.col("_block"))))  # noqa: B023
+            qq = qq.withColumn("_block", block_of(q_at))
+            qq = qq.withColumn("_gs", F.transform(blocks_near(t_at), lambda x: group(F.col("_block"), x)))  # noqa: B023
             qq = qq.withColumn("_qa", F.col(acol)).drop(acol)
             cands = self._merge(
-                self._top_k_groups(tt.join(tmap, ["_band", "_sub"]), qq, g, carry=["_qa", "_band", "_slack"]), self.k
+                self._top_k_groups(t_side, qq, planned, carry=["_qa", "_band", "_slack"]), self.k
             )
 
             # accept a query when its k-th distance is strictly inside the slab
-            band = F.col("_band").cast("int")
             lo = F.when(band - radius >= 0, F.element_at(split_arr, band - radius + 1)).otherwise(F.lit(-math.inf))
             hi = F.element_at(split_arr, F.least(band + radius + 2, F.lit(nb + 1)))
             gap = F.least(F.col("_qa") - lo, hi - F.col("_qa")) - F.col("_slack") - F.lit(train_slack)
@@ -568,7 +586,6 @@ class KNNModel:
                    validate: bool = True) -> DataFrame:
         """(query_id, rank, train_id, distance, target): the k nearest training
         rows of every query row, rank 1 = nearest."""
-        _require_integral_id(queries, id_col)
         m: Matrix = as_matrix(queries, features, id_col)
         if validate:
             res = scan(m)
@@ -583,17 +600,17 @@ class KNNModel:
             n_query = queries.count()
         d = self.n_features
         q = queries.select(
-            F.col(id_col).cast("long").alias("_id"), *[x.alias(f"_x{i}") for i, x in enumerate(m.xs(d))]
-        )
-        spark = queries.sparkSession
-        out = self._banded(q, n_query) if self._use_bands(spark, n_query) else self._blocked(q, n_query)
-        return out.select(
-            F.col("query_id").cast(queries.schema[id_col].dataType).alias("query_id"),
-            "rank",
-            F.col("train_id").cast(self.id_type).alias("train_id"),
-            "distance",
-            "target",
+            F.col(id_col).alias("_id"), *[x.alias(f"_x{i}") for i, x in enumerate(m.xs(d))]
         )
+        keys = None if _is_integral(queries, id_col) else ordered_keys(queries, id_col)
+        out = self._search_distinct(_with_keys(q, "_id", keys))
+        names = {"query_id": (keys, queries.schema[id_col].dataType), "train_id": (self.id_keys, self.id_type)}
+        for name, (k, id_type) in names.items():
+            if k is None:
+                out = out.withColumn(name, F.col(name).cast(id_type))
+            else:
+                out = out.join(k.withColumnRenamed("_key", name), name).drop(name).withColumnRenamed("_orig", name)
+        return out.select("query_id", "rank", "train_id", "distance", "target")
 
     def predict(self, queries: DataFrame, features: Sequence[str] | str, id_col: str = "id",
                 output: str = "prediction", validate: bool = True) -> DataFrame:
@@ -602,6 +619,13 @@ class KNNModel:
         return predictions_from_neighbours(nb, self.weighting, output)
 
 
+def _with_keys(df: DataFrame, id_col: str, keys: DataFrame | None) -> DataFrame:
+    """``df`` with a long in its id column."""
+    if keys is None:
+        return df.withColumn(id_col, F.col(id_col).cast("long"))
+    return df.withColumnRenamed(id_col, "_orig").join(keys, "_orig").drop("_orig").withColumnRenamed("_key", id_col)
+
+
 def predictions_from_neighbours(nb: DataFrame, weighting: str, output: str = "prediction") -> DataFrame:
     """Fold each query's k neighbours in rank order (k is bounded, so the
     per-query list is small)."""
@@ -646,7 +670,6 @@ class KNeighborsRegressor(FittedState):
     def fit(self, df: DataFrame, features: Sequence[str] | str, target: str, id_col: str = "id") -> KNNModel:
         """Checks the training matrix and targets; the model is lazy (no
         distances are computed until prediction)."""
-        _require_integral_id(df, id_col)
         m = as_matrix(df, features, id_col)
         narrow = not m.is_array and m.n_features <= BAND_MAX_FEATURES
         res = scan(m, target=target, moments=narrow)
@@ -661,8 +684,9 @@ class KNeighborsRegressor(FittedState):
         train = df.select(
             F.col(id_col).alias("_tid"), *[x.alias(f"_x{i}") for i, x in enumerate(xs)], F.col(target).cast("double").alias("_y")
         )
+        keys = None if _is_integral(df, id_col) else ordered_keys(df, id_col)
         return self._keep(KNNModel(
-            train=train, n_train=n, n_features=d, k=self.k, weighting=self.weighting, metric=self.metric,
+            train=_with_keys(train, "_tid", keys), id_keys=keys, n_train=n, n_features=d, k=self.k, weighting=self.weighting, metric=self.metric,
             id_type=df.schema[id_col].dataType, train_block_rows=self.train_block_rows,
             query_block_rows=self.query_block_rows, spread=spread, strategy=self.strategy,
             band_rows=self.band_rows,

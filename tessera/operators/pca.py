@@ -1,7 +1,7 @@
 """Principal component analysis of standardised data.
 
-fit: one aggregate (checks + moments), one aggregate for the standardised
-Gram matrix (upper triangle), then ``numpy.linalg.eigh`` on the d x d
+fit: one aggregate (checks, moments and covariances; array rows and wide
+matrices take a second one), then ``numpy.linalg.eigh`` on the d x d
 covariance on the driver.  transform: one narrow projection of the
 standardised rows onto the first components (literals), no shuffle.
 
@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from .. import errors as E
 from ..frames import as_matrix
 from ..functions.vector import dot
-from .checks import check_feature_count, check_tolerance, scan
+from .checks import check_feature_count, check_tolerance
 from .estimator import FittedState
-from .scaling import StandardiserModel, model_from_scan, standardised_gram
+from .scaling import StandardiserModel, model_from_scan, scan_with_covariance, standardised_covariance
 
 SCALINGS = ("last_one", "unit")
 # An eigenvector whose last entry is smaller than this cannot be scaled to 1.
@@ -69,13 +69,13 @@ class PCA(FittedState):
         self.scaling = scaling
 
     def fit(self, df: DataFrame, features: Sequence[str] | str, id_col: str = "id") -> PCAModel:
-        res = scan(as_matrix(df, features, id_col), moments=True)
+        res = scan_with_covariance(as_matrix(df, features, id_col))
         scaler = model_from_scan(res)  # InsufficientSamples / ZeroVarianceFeature
         d = res.n_features
         if self.n_components < 1 or self.n_components > d:
             raise E.InvalidPcaComponentCount(components=self.n_components, feature_count=d)
         check_tolerance(self.tolerance, "PCA/QR")
-        cov = standardised_gram(res.matrix, scaler) / res.n_rows
+        cov = standardised_covariance(res, scaler)
         values, vectors = np.linalg.eigh(cov)
         order = np.argsort(-values, kind="stable")
         values, vectors = values[order], vectors[:, order].T

@@ -12,7 +12,8 @@ with the input checks; the recurrence then runs on the driver on a
 per-row squared error for every recorded weight vector at once.
 
 Logistic: no closed form, so one aggregate job per iteration over the
-persisted input, with the current weights as literals (lineage never grows).
+persisted input, with the current weights as literals (lineage never grows);
+beyond ``WIDE`` features the step is a matrix product per Arrow batch.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from ..session import ITERATION_CONF, persist, scoped_conf
 from .checks import check_feature_count, scan
 from .estimator import FittedState
 from .gram import WIDE, blocked_gram
+from .wide import affine_column, logistic_sums
 
 TRACE_EVERY = 100
 
@@ -46,13 +48,15 @@ class LinearModel:
     def n_features(self) -> int:
         return len(self.weights) - 1
 
-    def prediction(self, xs: Sequence[Column]) -> Column:
-        return affine(xs, self.weights)
+    def link(self, z: Column) -> Column:
+        return z
 
     def predict(self, df: DataFrame, features: Sequence[str] | str, id_col: str = "id",
                 output: str = "prediction", validate: bool = True) -> DataFrame:
         m = check_feature_count(self.n_features, as_matrix(df, features, id_col), validate)
-        return df.withColumn(output, self.prediction(m.xs(self.n_features)))
+        wide = self.n_features > WIDE
+        z = affine_column(m.vector(self.n_features), self.weights) if wide else affine(m.xs(self.n_features), self.weights)
+        return df.withColumn(output, self.link(z))
 
     def weights_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
@@ -67,8 +71,8 @@ class LinearModel:
 
 @dataclass
 class LogisticModel(LinearModel):
-    def prediction(self, xs: Sequence[Column]) -> Column:
-        return sigmoid(affine(xs, self.weights))
+    def link(self, z: Column) -> Column:
+        return sigmoid(z)
 
 
 def check_iterations(iterations: int) -> None:
@@ -146,6 +150,18 @@ def _loss_trace(df: DataFrame, m: Matrix, y: Column, history: dict[int, np.ndarr
     return {it: row[f"l{it}"] for it in history}
 
 
+def _logistic_step(base: DataFrame, w: np.ndarray, traced: bool) -> tuple[np.ndarray, float]:
+    """Gradient sum and (where traced) summed log-loss: the probability once
+    per row, then d + 1 sums over it."""
+    names = [f"_x{i}" for i in range(len(w) - 1)]
+    scored = base.selectExpr(f"{S.sigmoid(S.affine(names, w))} AS _p", "_y", *names)
+    aggs = ["sum(_p - _y) AS g0"] + [f"sum((_p - _y) * {x}) AS g{i + 1}" for i, x in enumerate(names)]
+    if traced:
+        aggs.append(f"sum({S.log_loss('_p', '_y')}) AS loss")
+    row = scored.selectExpr(*aggs).first()
+    return np.array([row[f"g{i}"] for i in range(len(w))], dtype=float), row["loss"] if traced else 0.0
+
+
 class LogisticRegression(FittedState):
     """Targets must lie in [0, 1]; fractions are accepted.  Scores are not
     thresholded."""
@@ -159,24 +175,19 @@ class LogisticRegression(FittedState):
         m = as_matrix(df, features, id_col)
         res = scan(m, target=target, logistic=True)
         m, n, d = res.matrix, res.n_rows, res.n_features
-        xs = m.xs(d)
-        base = persist(df.select(*[x.alias(f"_x{i}") for i, x in enumerate(xs)], F.col(target).cast("double").alias("_y")))
-        names = [f"_x{i}" for i in range(d)]
+        y = F.col(target).cast("double").alias("_y")
+        xs = [m.vector(d).alias("_v")] if d > WIDE else [x.alias(f"_x{i}") for i, x in enumerate(m.xs(d))]
+        base = persist(df.select(*xs, y))
         w = np.zeros(d + 1)
         losses: dict[int, float] = {}
         lr = self.learning_rate
         try:
             with scoped_conf(df.sparkSession, ITERATION_CONF):
                 for it in range(self.iterations):
-                    # probability once per row, then d + 1 sums over it
-                    scored = base.selectExpr(f"{S.sigmoid(S.affine(names, w))} AS _p", "_y", *names)
-                    aggs = ["sum(_p - _y) AS g0"] + [f"sum((_p - _y) * {x}) AS g{i + 1}" for i, x in enumerate(names)]
-                    if it % TRACE_EVERY == 0:
-                        aggs.append(f"avg({S.log_loss('_p', '_y')}) AS loss")
-                    row = scored.selectExpr(*aggs).first()
-                    grad = np.array([row[f"g{i}"] for i in range(d + 1)], dtype=float)
-                    if it % TRACE_EVERY == 0:
-                        losses[it] = row["loss"]
+                    traced = it % TRACE_EVERY == 0
+                    grad, loss = logistic_sums(base, w) if d > WIDE else _logistic_step(base, w, traced)
+                    if traced:
+                        losses[it] = loss / n
                     with np.errstate(all="ignore"):
                         w = w - lr * grad / n
         finally:

@@ -3,8 +3,8 @@
 fit: one aggregate job (checks + mean, sample sd, min, max per column).
 apply: a narrow projection with the moments as literals (no shuffle, works
 on streaming DataFrames too).
-covariance: one more aggregate over the standardised values; only the upper
-triangle is computed, d(d+1)/2 sums.
+covariance: d(d+1)/2 covariances in the same aggregate as the checks and
+moments (one pass over the data).
 """
 
 from __future__ import annotations
@@ -93,30 +93,38 @@ def column_moments(df: DataFrame, features: Sequence[str] | str, id_col: str = "
     return model.moments_frame(df.sparkSession)
 
 
-def standardised_gram(m: Matrix, model: StandardiserModel) -> np.ndarray:
-    """``Z^T Z`` of the standardised matrix, one aggregate (upper triangle)."""
-    d = model.n_features
+def _covariance_aggs(xs: Sequence[Column]) -> list[Column]:
+    d = len(xs)
+    return [F.covar_pop(xs[i], xs[j]).alias(f"cov{i}_{j}") for i in range(d) for j in range(i, d)]
+
+
+def scan_with_covariance(m: Matrix) -> ScanResult:
+    """Checks, moments and (up to ``WIDE`` named columns) covariances in one aggregate."""
+    one_pass = not m.is_array and m.n_features <= WIDE
+    return scan(m, moments=True, extra_aggs=_covariance_aggs(m.xs()) if one_pass else None)
+
+
+def standardised_covariance(res: ScanResult, model: StandardiserModel) -> np.ndarray:
+    """Covariance of the standardised matrix, divided by n: the columns'
+    covariances over their standard deviations.  Array rows (whose width the
+    scan had to learn first) and wide matrices take one more aggregate."""
+    m, d = res.matrix, model.n_features
     if d > WIDE:
-        return blocked_gram(m.df, m.xs(d), model.mean, model.sd)
-    z = m.df.select(*[e.alias(f"_z{i}") for i, e in enumerate(model.exprs(m.xs(d)))])  # z-scores once per row
-    zs = [F.col(f"_z{i}") for i in range(d)]
-    aggs = [F.sum(zs[i] * zs[j]).alias(f"g{i}_{j}") for i in range(d) for j in range(i, d)]
-    row = z.agg(*aggs).first()
-    g = np.zeros((d, d))
+        return blocked_gram(m.df, m.xs(d), model.mean, model.sd) / res.n_rows
+    row = res.extra or m.df.agg(*_covariance_aggs(m.xs(d))).first()
+    cov = np.zeros((d, d))
     for i in range(d):
         for j in range(i, d):
-            g[i, j] = g[j, i] = row[f"g{i}_{j}"]
-    return g
+            cov[i, j] = cov[j, i] = row[f"cov{i}_{j}"] / (model.sd[i] * model.sd[j])
+    return cov
 
 
 def covariance_of_standardised(df: DataFrame, features: Sequence[str] | str, id_col: str = "id"):
     """Covariance of the standardised data, divided by n (so the diagonal is
     (n-1)/n, not 1).  Returns (matrix, model)."""
-    m = as_matrix(df, features, id_col)
-    res = scan(m, moments=True)
+    res = scan_with_covariance(as_matrix(df, features, id_col))
     model = model_from_scan(res)
-    g = standardised_gram(res.matrix, model)
-    return g / res.n_rows, model
+    return standardised_covariance(res, model), model
 
 
 def covariance_matrix(df: DataFrame, features: Sequence[str] | str, id_col: str = "id") -> DataFrame:

@@ -378,7 +378,60 @@ p AS (SELECT doc_id, quality,
 SELECT doc_id, round(-quality * ln(q) - (1.0 - quality) * ln(1.0 - q), 6) + 0.0 AS loss FROM p"""
 )
 
+# --- wide vectors: centroids and weights as lists -----------------------------------------
+
+EMBEDDING_K, EMBEDDING_MAX_ITER = 8, 200
+EMBEDDING_LR, EMBEDDING_ITERATIONS = 0.5, 40
+
+_NEAREST = "list_position(list_transform({c}, lambda x: list_distance(p.v, x)), list_min(list_transform({c}, lambda x: list_distance(p.v, x))))"
+KMEANS_EMBEDDINGS = f"""
+WITH RECURSIVE
+pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ranked AS (SELECT v, row_number() OVER (ORDER BY id) - 1 AS rk FROM pts),
+cnt AS (SELECT count(*) AS n FROM pts),
+lcg(i, s) AS (
+  SELECT 0, CAST({KMEANS_SEED} AS BIGINT)
+  UNION ALL
+  SELECT i + 1, (1664525 * s + 1013904223) % 4294967296 FROM lcg WHERE i < {EMBEDDING_K}),
+picks AS (SELECT i AS cluster, s % n AS rk FROM lcg, cnt WHERE i >= 1),
+km(it, cents, moved) AS (
+  SELECT 0, (SELECT list(v ORDER BY cluster) FROM picks JOIN ranked USING (rk)), CAST('inf' AS DOUBLE)
+  UNION ALL
+  SELECT it + 1, new, list_sum(list_transform(range(1, {EMBEDDING_K + 1}), lambda i: list_distance(cents[i], new[i])))
+  FROM (SELECT it, cents, list_transform(range(1, {EMBEDDING_K + 1}), lambda i: coalesce(means[i], cents[i])) AS new
+        FROM (SELECT it, cents, map(list(cl), list(mean)) AS means
+              FROM (SELECT it, cents, cl, list(m ORDER BY j) AS mean
+                    FROM (SELECT it, cents, cl, j, avg(x) AS m
+                          FROM (SELECT it, cents, cl, unnest(v) AS x, generate_subscripts(v, 1) AS j
+                                FROM (SELECT k.it, k.cents, p.v, {_NEAREST.format(c="k.cents")} AS cl
+                                      FROM km k, pts p
+                                      WHERE k.moved > {KMEANS_TOL} AND k.it < {EMBEDDING_MAX_ITER}) a) b
+                          GROUP BY it, cents, cl, j) c
+                    GROUP BY it, cents, cl) d
+              GROUP BY it, cents) e) f),
+fitted AS (SELECT cents FROM km WHERE moved <= {KMEANS_TOL})
+SELECT p.id AS vec_id, CAST({_NEAREST.format(c="f.cents")} - 1 AS INTEGER) AS cluster FROM pts p, fitted f"""
+
+LOGISTIC_EMBEDDINGS = f"""
+WITH RECURSIVE
+sample AS (SELECT list_prepend(CAST(1.0 AS DOUBLE), CAST(embedding AS DOUBLE[])) AS v, label / (label + 1.0) AS y
+           FROM embeddings WHERE label IS NOT NULL),
+gd(it, w) AS (
+  SELECT 0, (SELECT list_transform(any_value(v), lambda x: CAST(0.0 AS DOUBLE)) FROM sample)
+  UNION ALL
+  SELECT it + 1, list(w[j] - {EMBEDDING_LR} * g ORDER BY j)
+  FROM (SELECT it, w, j, sum(e * x) / count(*) AS g
+        FROM (SELECT it, w, e, unnest(v) AS x, generate_subscripts(v, 1) AS j
+              FROM (SELECT g.it, g.w, s.v, 1.0 / (1.0 + exp(-list_dot_product(g.w, s.v))) - s.y AS e
+                    FROM gd g, sample s WHERE g.it < {EMBEDDING_ITERATIONS}) a) b
+        GROUP BY it, w, j) c
+  GROUP BY it, w)
+SELECT CAST(j - 1 AS INTEGER) AS weight_position, round(x, 6) + 0.0 AS weight
+FROM (SELECT unnest(w) AS x, generate_subscripts(w, 1) AS j FROM gd WHERE it = {EMBEDDING_ITERATIONS}) u"""
+
 ORACLE: dict[str, str] = {
+    "kmeans_embeddings": KMEANS_EMBEDDINGS,
+    "logistic_embeddings": LOGISTIC_EMBEDDINGS,
     "check_matrix": CHECK_MATRIX,
     "check_targets": CHECK_TARGETS,
     "check_logistic_targets": CHECK_LOGISTIC_TARGETS,

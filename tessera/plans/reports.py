@@ -5,7 +5,7 @@ results are rounded (and -0.0 folded into 0.0) so that value hashes agree
 across engines whose summation orders differ.
 
 Fitted models and derived feature tables are memoised per session and data
-folder, so the reports of one model (weights / predictions / loss) share a
+folder (until a file in it changes), so the reports of one model (weights / predictions / loss) share a
 single fit, and a derived table feeding several jobs is computed once
 (``release()`` drops them).  Fits run when a report is built; scoring stays
 lazy until the returned DataFrame is used.
@@ -26,7 +26,7 @@ from ..operators.kmeans import KMeans
 from ..operators.knn import KNeighborsRegressor, predictions_from_neighbours
 from ..operators.pca import PCA
 from ..operators.regression import LinearRegression, LogisticRegression
-from ..session import persist, session_key
+from ..session import folder_version, persist, session_key
 from ..sources import tables as T
 
 Report = Callable[[SparkSession, str], DataFrame]
@@ -89,7 +89,7 @@ def covariance_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _to_class_centre(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
     emb = T.embeddings(spark, sf_dir)
     means = _memo(
-        ("label_means", sf_dir, session_key(spark)),
+        spark, "label_means", sf_dir,
         lambda: (lambda m: (persist(m[0]), m[1]))(distance.group_means(emb, "embedding", "vec_id", "label")),
     )
     df = distance.distance_to_group_mean(emb, "embedding", "vec_id", "label", metric, means=means)
@@ -140,24 +140,33 @@ PART_FEATURES = ["p_size", "p_retailprice"]
 _FITS: dict = {}
 
 
-def _memo(key, fn):
+def _memo(spark: SparkSession, name: str, sf_dir: str, fn):
+    """One result per session and folder, made again when a file of the
+    folder changes (name, size or time)."""
+    key, version = (name, sf_dir, session_key(spark)), folder_version(spark, sf_dir)
+    if key in _FITS and _FITS[key][0] != version:
+        _drop(_FITS.pop(key)[1])
     if key not in _FITS:
-        _FITS[key] = fn()
-    return _FITS[key]
+        _FITS[key] = (version, fn())
+    return _FITS[key][1]
+
+
+def _drop(held) -> None:
+    for item in held if isinstance(held, tuple) else (held,):
+        if isinstance(item, DataFrame):
+            item.unpersist()
 
 
 def _shared(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
     """A derived feature table used by several jobs (checks, moments, fit,
     loss, scoring), computed once per session and kept with MEMORY_AND_DISK."""
-    return _memo((name, sf_dir, session_key(spark)), lambda: persist(build()))
+    return _memo(spark, name, sf_dir, lambda: persist(build()))
 
 
 def release() -> None:
     """Drop memoised models and unpersist shared feature tables."""
-    for v in _FITS.values():
-        for item in v if isinstance(v, tuple) else (v,):
-            if isinstance(item, DataFrame):
-                item.unpersist()
+    for _, held in _FITS.values():
+        _drop(held)
     _FITS.clear()
 
 
@@ -169,7 +178,7 @@ def _standardised_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _kmeans(spark: SparkSession, sf_dir: str):
     z = _standardised_parts(spark, sf_dir)
     return z, _memo(
-        ("kmeans", sf_dir, session_key(spark)),
+        spark, "kmeans", sf_dir,
         lambda: KMeans(KMEANS_K, KMEANS_MAX_ITER, KMEANS_TOL).fit(z, PART_FEATURES, "p_partkey", seed=KMEANS_SEED),
     )
 
@@ -184,6 +193,19 @@ def kmeans_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.predict(z, PART_FEATURES, "p_partkey", validate=False).select("p_partkey", "cluster")
 
 
+EMBEDDING_K, EMBEDDING_MAX_ITER = 8, 200
+
+
+def kmeans_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide vectors: the cluster of every 64-d embedding."""
+    emb = _shared(spark, "embeddings", sf_dir, lambda: T.embeddings(spark, sf_dir))
+    model = _memo(
+        spark, "kmeans_embeddings", sf_dir,
+        lambda: KMeans(EMBEDDING_K, EMBEDDING_MAX_ITER, KMEANS_TOL).fit(emb, "embedding", "vec_id", seed=KMEANS_SEED),
+    )
+    return model.predict(emb, "embedding", "vec_id", validate=False).select("vec_id", "cluster")
+
+
 # --- 2.5 PCA ------------------------------------------------------------------------
 
 REVENUE = ["gross", "net"]
@@ -191,7 +213,7 @@ REVENUE = ["gross", "net"]
 
 def _pca(spark: SparkSession, sf_dir: str):
     rev = _shared(spark, "revenue", sf_dir, lambda: T.order_revenue(spark, sf_dir))
-    return rev, _memo(("pca", sf_dir, session_key(spark)), lambda: PCA(2).fit(rev, REVENUE, "l_orderkey"))
+    return rev, _memo(spark, "pca", sf_dir, lambda: PCA(2).fit(rev, REVENUE, "l_orderkey"))
 
 
 def pca_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,10 +291,10 @@ LINEAR_LR, LINEAR_ITERATIONS = 0.1, 300
 def _linear(spark: SparkSession, sf_dir: str):
     of = _shared(spark, "orders", sf_dir, lambda: T.order_features(spark, sf_dir))
     of = of.withColumn("price_k", F.col("o_totalprice") / F.lit(1000.0))
-    scaler = _memo(("linear scaler", sf_dir, session_key(spark)), lambda: scaling.Standardiser().fit(of, LINEAR_FEATURES, "o_orderkey"))
+    scaler = _memo(spark, "linear scaler", sf_dir, lambda: scaling.Standardiser().fit(of, LINEAR_FEATURES, "o_orderkey"))
     z = scaler.transform(of, LINEAR_FEATURES, "o_orderkey", keep=["price_k"], validate=False)
     return z, _memo(
-        ("linear", sf_dir, session_key(spark)),
+        spark, "linear", sf_dir,
         lambda: LinearRegression(LINEAR_LR, LINEAR_ITERATIONS).fit(z, LINEAR_FEATURES, "price_k", "o_orderkey"),
     )
 
@@ -301,10 +323,10 @@ LOGISTIC_LR, LOGISTIC_ITERATIONS = 0.1, 150
 
 def _logistic(spark: SparkSession, sf_dir: str):
     docs = _shared(spark, "labelled_docs", sf_dir, lambda: T.labelled_documents(spark, sf_dir))
-    scaler = _memo(("logistic scaler", sf_dir, session_key(spark)), lambda: scaling.Standardiser().fit(docs, DOC_FEATURES, "doc_id"))
+    scaler = _memo(spark, "logistic scaler", sf_dir, lambda: scaling.Standardiser().fit(docs, DOC_FEATURES, "doc_id"))
     z = scaler.transform(docs, DOC_FEATURES, "doc_id", keep=["quality"], validate=False)
     return z, _memo(
-        ("logistic", sf_dir, session_key(spark)),
+        spark, "logistic", sf_dir,
         lambda: LogisticRegression(LOGISTIC_LR, LOGISTIC_ITERATIONS).fit(z, DOC_FEATURES, "quality", "doc_id"),
     )
 
@@ -325,6 +347,21 @@ def logistic_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_cols(model.loss_frame(spark), {"loss": 6})
 
 
+EMBEDDING_LR, EMBEDDING_ITERATIONS = 0.5, 40
+
+
+def logistic_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide vectors: weights of a fit on every labelled 64-d embedding, its
+    label mapped into [0, 1) as label / (label + 1)."""
+    emb = _shared(spark, "embeddings", sf_dir, lambda: T.embeddings(spark, sf_dir))
+    rows = emb.filter("label IS NOT NULL").withColumn("share", F.col("label") / (F.col("label") + F.lit(1.0)))
+    model = _memo(
+        spark, "logistic_embeddings", sf_dir,
+        lambda: LogisticRegression(EMBEDDING_LR, EMBEDDING_ITERATIONS).fit(rows, "embedding", "share", "vec_id"),
+    )
+    return _round_cols(model.weights_frame(spark), {"weight": 6})
+
+
 def sigmoid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sigmoid of every document's standardised length."""
     docs = T.document_features(spark, sf_dir)
@@ -355,6 +392,7 @@ REPORTS: dict[str, Report] = {
     "distance_join": distance_join,
     "kmeans_centroids": kmeans_centroids,
     "kmeans_predict": kmeans_predict,
+    "kmeans_embeddings": kmeans_embeddings,
     "pca_transform": pca_transform,
     "pca_components": pca_components,
     "knn_neighbours": knn_neighbours,
@@ -370,4 +408,12 @@ REPORTS: dict[str, Report] = {
     "logistic_weights": logistic_weights,
     "logistic_predict": logistic_predict,
     "logistic_loss": logistic_loss,
+    "logistic_embeddings": logistic_embeddings,
+}
+
+#: Tables that several reports share; the bench times each on its own.
+SHARED: dict[str, Report] = {
+    "shared_orders": lambda spark, sf_dir: _shared(spark, "orders", sf_dir, lambda: T.order_features(spark, sf_dir)),
+    "shared_neighbours": lambda spark, sf_dir: _knn_neighbours(spark, sf_dir, KNN_FEATURES, "euclidean"),
+    "shared_documents": lambda spark, sf_dir: _shared(spark, "labelled_docs", sf_dir, lambda: T.labelled_documents(spark, sf_dir)),
 }

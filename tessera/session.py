@@ -95,6 +95,14 @@ def session_key(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
+def folder_version(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of what lies in ``folder`` (any file system
+    that Spark reads), to tell whether it has changed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    held = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in held))
+
+
 def persist(df: DataFrame) -> DataFrame:
     """Keep an iterative input across jobs; spills to disk instead of failing,
     and lost blocks are recomputed from lineage if an executor goes away."""

@@ -124,10 +124,69 @@ def test_bands_widen_for_sparse_queries(spark):
     assert got["bands"] == got["blocks"]
 
 
-def test_integral_ids_required(spark):
-    df = spark.createDataFrame([("a", [1.0], 1.0), ("b", [2.0], 2.0)], "id string, f array<double>, y double")
-    with pytest.raises(ValueError, match="integral id"):
-        KNeighborsRegressor(1).fit(df, "f", "y")
+def test_ids_of_any_type(spark):
+    """String ids give the neighbours that integer ids of the same order give."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    x, q = rng.integers(0, 4, (80, 2)), rng.integers(0, 4, (30, 2))
+    rows = [(f"t{i:03d}", i, [float(v) for v in x[i]], float(i)) for i in range(80)]
+    asked = [(f"q{i:03d}", i, [float(v) for v in q[i]]) for i in range(30)]
+    train = spark.createDataFrame(rows, "sid string, id long, f array<double>, y double")
+    queries = spark.createDataFrame(asked, "sid string, id long, f array<double>")
+    by_text = KNeighborsRegressor(6).fit(train, "f", "y", "sid").neighbours(queries, "f", "sid")
+    by_number = KNeighborsRegressor(6).fit(train, "f", "y").neighbours(queries, "f")
+    got = sorted((r["query_id"], r["rank"], r["train_id"], r["distance"], r["target"]) for r in by_text.collect())
+    want = sorted((f"q{r['query_id']:03d}", r["rank"], f"t{r['train_id']:03d}", r["distance"], r["target"]) for r in by_number.collect())
+    assert got == want and len(got) == 30 * 6
+
+
+def test_hot_values(spark, monkeypatch):
+    """95 % of the training rows on one value of the widest feature, and a
+    vector that a third of the rows repeat: bands cut the other feature and
+    few queries, if any, are left to the block plan."""
+    import numpy as np
+
+    from tessera.operators.knn import KNNModel
+
+    rng = np.random.default_rng(5)
+    n = 3000
+    x = np.column_stack([np.full(n, 500.0), rng.normal(0, 30, n).round(2)])
+    x[: n // 20, 0] = rng.uniform(0, 1000, n // 20).round(1)
+    x[n // 2 : n // 2 + n // 3] = [500.0, 3.25]
+    train = spark.createDataFrame([(i, [float(v) for v in x[i]], float(i)) for i in range(n)], "id long, f array<double>, y double")
+    qx = np.column_stack([np.full(400, 500.0), rng.normal(0, 20, 400).round(2)])
+    queries = spark.createDataFrame([(i, [float(v) for v in qx[i]]) for i in range(400)], "id long, f array<double>")
+    left = []
+    plain = KNNModel._blocked
+    got = {}
+    for strategy in ("blocks", "bands"):
+        if strategy == "bands":
+            monkeypatch.setattr(KNNModel, "_blocked", lambda self, q, m: left.append(m) or plain(self, q, m))
+        model = KNeighborsRegressor(5, strategy=strategy, band_rows=60, train_block_rows=50).fit(train, "f", "y")
+        got[strategy] = sorted(tuple(r) for r in model.neighbours(queries, "f").collect())
+    assert got["bands"] == got["blocks"] and len(got["blocks"]) == 400 * 5
+    assert sum(left) < 40
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_groups_share_tasks(spark, monkeypatch, dense):
+    """Results do not depend on how groups are numbered or how many share a task."""
+    import numpy as np
+
+    from tessera.operators import knn as K
+
+    rng = np.random.default_rng(6)
+    x, q = rng.normal(size=(300, 2)).round(2), rng.normal(size=(60, 2)).round(2)
+    train = spark.createDataFrame([(i, [float(v) for v in x[i]], float(i)) for i in range(300)], "id long, f array<double>, y double")
+    queries = spark.createDataFrame([(i, [float(v) for v in q[i]]) for i in range(60)], "id long, f array<double>")
+    want = sorted(tuple(r) for r in KNeighborsRegressor(4).fit(train, "f", "y").neighbours(queries, "f").collect())
+    if not dense:
+        monkeypatch.setattr(K, "EXACT_PLACEMENT_GROUPS", 0)
+        monkeypatch.setattr(K, "MAX_TASKS", 3)
+    for strategy in ("blocks", "bands"):
+        model = KNeighborsRegressor(4, strategy=strategy, band_rows=30, train_block_rows=20, query_block_rows=15).fit(train, "f", "y")
+        assert sorted(tuple(r) for r in model.neighbours(queries, "f").collect()) == want
 
 
 @pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
