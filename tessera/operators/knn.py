@@ -535,7 +535,7 @@ class KNNModel:
                     for _ in range(q_at[b + 1] - q_at[b]):
                         shift.append(g - t_at[lo])
                         g += t_at[hi] - t_at[lo]
-                group = lambda q_block, t_block: F.element_at(literal_longs(shift), q_block.cast("int") + 1) + t_block  # noqa: E731, B023
+                group = lambda q_block, t_block: F.try_element_at(literal_longs(shift), q_block.cast("int") + 1) + t_block  # noqa: E731, B023
             else:
                 group = lambda q_block, t_block: q_block * t_at[-1] + t_block
             low, high = F.greatest(band - radius, F.lit(0)), F.least(band + radius, F.lit(nb - 1))
