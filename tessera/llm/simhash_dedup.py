@@ -210,28 +210,29 @@ def links(nodes: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Every row's ``k_id``, ``k_text``, ``fp`` and ``component_id`` (smallest
-    id reachable over links)."""
+    """Every row's ``k_id``, ``k_text``, ``fp``, ``component_id`` (smallest id
+    reachable over links) and ``root`` (the component's smallest fingerprint,
+    which tells components apart where ids are null or repeat)."""
     prints = checkpointed(fingerprints(docs, k))
     nodes = checkpointed(prints.groupBy("fp").agg(F.min("k_id").alias("first_id")))
     comp = connected(links(nodes.select("fp"), radius, bucket_rows))
     linked = comp.join(nodes, comp["node"] == nodes["fp"]).select("node", "root", "first_id")
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = linked.join(least, "root").select("node", "component_id")
-    every = nodes.join(named, nodes["fp"] == named["node"], "left").select("fp", F.when(F.col("node").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = linked.join(least, "root").select("node", "root", "component_id")
+    alone = F.col("node").isNull()
+    every = nodes.join(named, nodes["fp"] == named["node"], "left").select(
+        "fp", F.when(alone, F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"), F.when(alone, F.col("fp")).otherwise(F.col("root")).alias("root")
+    )
     every = every.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     mine = prints.withColumn("salt", F.pmod(F.xxhash64("k_id", "k_text"), F.lit(SALTS)).cast("int"))
-    return mine.join(every, ["fp", "salt"]).select("k_id", "k_text", "fp", "component_id")
+    return mine.join(every, ["fp", "salt"]).select("k_id", "k_text", "fp", "component_id", "root")
 
 
 def representatives(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One document of each group (the one of smallest id), with all columns.
     A row of null id stays only if no member of its group has an id."""
     comp = near_duplicates(docs, k, radius)
-    keep = comp.where("k_id <=> component_id").groupBy("k_id").agg(F.min(F.struct("k_text", "fp")).alias("x"))
-    keep = keep.where("k_id IS NOT NULL").select("k_id", "x.k_text")
-    nameless = comp.where("component_id IS NULL").select("k_id", "k_text", "fp").groupBy("fp").agg(F.min("k_text").alias("k_text"))
-    keep = keep.unionByName(nameless.select(F.lit(None).cast("long").alias("k_id"), "k_text"))
+    keep = comp.where("k_id <=> component_id").groupBy("root").agg(F.min(F.struct("k_id", "k_text")).alias("x")).select("x.k_id", "x.k_text")
     full = with_rows(docs)
     out = full.join(keep, same_row(full, keep), "left_semi").dropDuplicates(["k_id", "k_text"])
     return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -80,6 +80,19 @@ def test_one_document_of_each_group_stays(spark, clashing):
     assert sorted(r.doc_id or 0 for r in out.collect()) == [0, 1, 2, 6, 7, 8]
 
 
+def test_groups_of_repeated_and_missing_ids_keep_one_each(spark):
+    rng = random.Random(8)
+    text = lambda: [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    a, b, c = text(), text(), text()
+    near = [" ".join(c), " ".join([*c, "end"]), " ".join(["start", *c])]
+    fps = [B.fingerprint(t) for t in near]
+    assert len(set(fps)) > 1 and all((fps[0] ^ f).bit_count() <= 4 for f in fps)
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (1, " ".join(b)), (2, " ".join(b)), *[(None, t) for t in near]]
+    out = [(r.doc_id, r.text) for r in simhash_dedup.representatives(docs_of(spark, rows)).collect()]
+    assert len(out) == 3 and {(1, " ".join(a)), (1, " ".join(b))} < set(out)
+    assert [t for i, t in out if i is None][0] in near
+
+
 # neighbours --------------------------------------------------------------
 
 VEC = "vec_id long, embedding array<float>, label int"
