@@ -5,8 +5,13 @@ five consecutive words (a shorter item is one shingle).  A benchmark item of L
 words is compared with L-word windows of the documents:
 
 1. A window can only be similar if it shares a shingle with the item, so
-   windows are laid where a document shingle equals an item shingle: the
-   window starts so that the two coincide.  Nothing else is skipped.
+   windows are laid where a document shingle equals an item shingle: one so
+   that the two coincide, and, for passages whose parts come in another order,
+   one that starts with the shared shingle.  The best window can slide right,
+   losing nothing, until it starts with one; a window cut at the document's
+   start can slide left in the same way until it ends with one, so that is
+   laid too.  Of these last two kinds, windows with too few shared shingles
+   for ``SIMILARITY`` are not laid.
 2. Each window gets the 64-bit SimHash of its shingles.
 3. Multi-index Hamming blocks: the fingerprint is cut into 8 blocks of 8 bits
    and the item side is entered under every block value within 2 bits.  Two
@@ -83,9 +88,29 @@ def item_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "t
     return out.withColumn("fp", simhash(F.col("sh")))
 
 
-def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """k_id, k_text, start, n, k: the item-sized windows that share a shingle
-    with an item of their size, in its place."""
+def _starts(similarity: float) -> Column:
+    """Starts of the windows of one document and item size, from ``in_place``,
+    ``p`` (sorted places of shared shingles), ``size`` (words), ``n``, ``k``."""
+    m, k, n = F.col("n") - F.col("k") + 1, F.col("k"), F.col("n")
+
+    def needed(t):
+        """Shared shingles without which t against m are not similar."""
+        return F.greatest(F.ceil(similarity * (t + m) / (1 + similarity) - 1e-6), F.lit(1)).cast("int")
+
+    def starts(x, i):
+        t = F.least(m, F.col("size") - k + 1 - x)
+        return F.coalesce(F.get("p", i + needed(t) - 1) < x + m, F.lit(False))
+
+    def ends(x, i):
+        return (x + k < n) & (i + 1 >= needed(x + 1))
+
+    ending = F.transform(F.filter("p", ends), lambda x: x + k - n)
+    return F.array_union(F.array_union("in_place", F.filter("p", starts)), ending)
+
+
+def _windows(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """k_id, k_text, n, k, starts: the item-sized windows that share a shingle
+    with an item of their size, in its place, at the start or (cut) at the end."""
     anchors = items.select("n", "k", F.posexplode("sh").alias("off", "h")).distinct()
     sizes = [r["k"] for r in items.select("k").distinct().collect()]  # 1 to 5
     small = anchors.count() <= BROADCAST_ROWS
@@ -93,10 +118,12 @@ def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = []
     for k in sizes:
         mine = anchors.where(F.col("k") == k)
-        at = rows.select("k_id", "k_text", F.posexplode(shingles(F.col("w"), k)).alias("pos", "h"))
+        at = rows.select("k_id", "k_text", F.size("w").alias("size"), F.posexplode(shingles(F.col("w"), k)).alias("pos", "h"))
         hit = at.join(F.broadcast(mine) if small else mine, "h")
-        found.append(hit.select("k_id", "k_text", (F.col("pos") - F.col("off")).alias("start"), "n", "k"))
-    return reduce(DataFrame.unionAll, found).distinct()
+        found.append(hit.select("k_id", "k_text", "n", "k", "size", "pos", (F.col("pos") - F.col("off")).alias("start")))
+    places = reduce(DataFrame.unionAll, found).groupBy("k_id", "k_text", "n", "k", "size")
+    places = places.agg(F.collect_set("start").alias("in_place"), F.sort_array(F.collect_set("pos")).alias("p"))
+    return places.select("k_id", "k_text", "n", "k", _starts(similarity).alias("starts"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
@@ -109,8 +136,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     schema = "k_id long, k_text long, item_id long, start int, n_words int, distance int, similarity double"
     if items.isEmpty():
         return docs.sparkSession.createDataFrame([], schema)
-    laid = _windows(docs, items)
-    per_doc = laid.groupBy("k_id", "k_text").agg(F.collect_list(F.struct("start", "n", "k")).alias("laid"))
+    laid = _windows(docs, items, similarity)
+    laid = laid.select("k_id", "k_text", F.transform("starts", lambda x: F.struct(x.alias("start"), "n", "k")).alias("laid"))
+    per_doc = laid.groupBy("k_id", "k_text").agg(F.flatten(F.collect_list("laid")).alias("laid"))
     rows = docs.select(*row_key(docs), "text")
     joined = rows.join(per_doc, same_row(rows, per_doc)).select(rows["k_id"], rows["k_text"], normal_words(F.col("text")).alias("w"), "laid")
 

@@ -41,6 +41,22 @@ def test_near_copies_within_noise(spark):
     assert found(spark, docs, [(1, PASSAGE)]) == want
 
 
+def test_parts_in_another_order(spark):
+    w = PASSAGE.split()
+    noise = " ".join(f"noise{i}" for i in range(40))
+    orders = [w[30:] + w[:30], w[15:] + w[:15], w[20:40] + w[40:] + w[:20]]
+    docs = [(i, f"{noise} {' '.join(o)} {noise}") for i, o in enumerate(orders)]
+    docs += [(10 + i, f"{' '.join(o)} {noise}") for i, o in enumerate(orders)]  # at the document's start
+    docs += [(20 + i, f"{noise} {' '.join(o)}") for i, o in enumerate(orders)]  # at its end
+    docs += [(30, f"{' '.join(w[32:] + w[:30])} {noise}"), (31, f"{noise} {' '.join(w[30:] + w[:28])}"), (32, " ".join(w[30:] + w[:28]))]  # cut
+    docs += [(40, f"{noise} {' '.join(w[50:] + w[40:50] + w[30:40] + w[20:30] + w[:20])} {noise}")]  # too many parts
+    best = {i: s for i, t in docs if (s := B.best_window(t, PASSAGE)) >= 0.8}
+    assert set(best) >= {*range(3), *range(10, 13), *range(20, 23)} and 40 not in best
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontamination.matches(d, spark.createDataFrame([(1, PASSAGE)], ITEMS)).collect()
+    assert {r.k_id: r.similarity for r in got} == pytest.approx(best)
+
+
 def test_short_items_and_edges(spark, odd, no_docs):
     items = [(1, "three four"), (2, ""), (3, None), (4, "no id here but some words"), (None, "one two three four five six seven")]
     b = spark.createDataFrame(items, ITEMS)
