@@ -1,7 +1,9 @@
 """Approximate nearest neighbours over shifted space-filling curves.
 
-Each curve projects the vectors onto its own random directions, shifts the
-grid, and orders the vectors by Hilbert key.  The (curve, key, id) order is
+Each curve projects the vectors onto its own random directions, turns each
+projection into its share of ranks (by approximate quantiles, so a few vectors
+of any size leave the others' places as they are), shifts the grid, and orders
+the vectors by Hilbert key.  The (curve, key, id) order is
 range-partitioned and sorted by Spark, which gives every vector its rank on
 each curve.  A query looks at the vectors within a window of ranks on each
 curve; windows are cut at blocks of ``BLOCK`` ranks, a task holds one block at
@@ -35,6 +37,9 @@ from .common import checkpointed, read
 
 K, CURVES, DIMS, BITS, SHARE = 10, 8, 8, 8, 0.2
 BLOCK, MIN_WINDOW, SEED = 4096, 256, 11
+QUANTILES = 257
+#: Components beyond this have squares whose sum could overflow.
+HUGE = 1e150
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -62,22 +67,44 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def _curve_keys(mean: np.ndarray, var: np.ndarray, curves: int, dims: int, bits: int, seed: int):
-    """Rows (id, v) to rows (curve, key, id)."""
-    d = len(mean)
+def _curves(d: int, curves: int, dims: int, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Directions (d x dims; short, so that no projection overflows) and grid
+    shift of each curve."""
     made = []
     for c in range(curves):
         rng = np.random.default_rng([seed, c])
         axes = np.linalg.qr(rng.normal(size=(d, min(d, dims))))[0]
-        made.append((axes / np.sqrt(np.maximum(var @ axes**2, 1e-300)), rng.random(axes.shape[1]) / 2))
+        made.append((axes * 2.0**-32, rng.random(axes.shape[1]) / 2))
+    return made
+
+
+def _projections(made, d: int):
+    """Rows (v) to rows (p: the projections of all curves)."""
+    axes = np.hstack([a for a, _ in made])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                p = np.array(b.column(0).flatten()).reshape(b.num_rows, d) @ axes
+                at = np.arange(b.num_rows + 1, dtype=np.int32) * p.shape[1]
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(at, p.ravel())], ["p"])
+
+    return run
+
+
+def _curve_keys(made, quantiles: np.ndarray, d: int, bits: int):
+    """Rows (id, v) to rows (curve, key, id); ``quantiles`` has a row per projection."""
+    ranks = np.linspace(0, 1, quantiles.shape[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            x = np.array(b.column(1).flatten()).reshape(b.num_rows, d) - mean
+            x = np.array(b.column(1).flatten()).reshape(b.num_rows, d)
+            i = 0
             for c, (axes, shift) in enumerate(made):
-                even = 1 / (1 + np.exp(np.clip(-1.7 * (x @ axes), -500, 500)))
+                even = np.column_stack([np.interp(p, q, ranks) for p, q in zip((x @ axes).T, quantiles[i : i + len(shift)], strict=True)])
+                i += len(shift)
                 cells = np.minimum((even / 2 + shift) * 2**bits, 2**bits - 1)
                 key = (hilbert_keys(cells, bits) ^ np.uint64(1 << 63)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, c, np.int32)), pa.array(key), b.column(0)], ["curve", "key", "id"])
@@ -85,24 +112,37 @@ def _curve_keys(mean: np.ndarray, var: np.ndarray, curves: int, dims: int, bits:
     return run
 
 
+def _distances(q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """From one vector to each row, without overflow of the squares."""
+    with np.errstate(over="ignore"):
+        diff = np.abs(v - q)
+        top = diff.max(1)
+        unit = np.where((top > 0) & np.isfinite(top), top, 1.0)
+        return unit * np.sqrt(((diff / unit[:, None]) ** 2).sum(1))
+
+
 def _block_search(k: int, d: int):
     """Rows sorted by (curve, block, query, id), base rows first: for each query row
     the ``k`` nearest base rows with a rank in its window."""
 
     def best(q, base):
-        ids, ranks, v, norm = base
+        ids, ranks, v, norm, top = base
         out = []
         for s in range(0, len(q[0]), 1024):
             qid, lo, hi, qv = (a[s : s + 1024] for a in q)
-            rough = norm[None] - 2 * (qv @ v.T)
+            huge = max(top, np.abs(qv).max()) > HUGE
+            if huge:  # exact at once; beyond the range of doubles: last
+                rough = np.minimum([_distances(x, v) for x in qv], np.finfo(float).max)
+            else:
+                rough = norm[None] - 2 * (qv @ v.T)
             rough[(ranks[None] < lo[:, None]) | (ranks[None] > hi[:, None])] = np.inf
             m = min(len(ids), k + 8)
             near = np.argpartition(rough, m - 1, axis=1)[:, :m]
-            exact = np.sqrt(((qv[:, None, :] - v[near]) ** 2).sum(2))
-            exact[~np.isfinite(np.take_along_axis(rough, near, 1))] = np.inf
-            order = np.lexsort((ids[near], exact), axis=1)[:, :k]
+            seen = np.isfinite(np.take_along_axis(rough, near, 1))
+            exact = np.array([_distances(x, v[i]) for x, i in zip(qv, near, strict=True)]) if huge else np.sqrt(((qv[:, None, :] - v[near]) ** 2).sum(2))
+            order = np.lexsort((ids[near], exact, ~seen), axis=1)[:, :k]
             dist = np.take_along_axis(exact, order, 1)
-            found = np.isfinite(dist)
+            found = np.take_along_axis(seen, order, 1)
             out.append((np.repeat(qid, found.sum(1)), np.take_along_axis(ids[near], order, 1)[found], dist[found]))
         return [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
 
@@ -122,7 +162,8 @@ def _block_search(k: int, d: int):
                     continue
                 if base is None and parts:
                     i, r, x = (np.concatenate(c) for c in zip(*parts, strict=True))
-                    base = (i, r, x, (x**2).sum(1))
+                    with np.errstate(over="ignore"):
+                        base = (i, r, x, (x**2).sum(1), np.abs(x).max())
                 if base is not None:
                     yield pa.RecordBatch.from_arrays(best((ids[s:e], lo[s:e], hi[s:e], v[s:e]), base), ["q", "c", "score"])
 
@@ -155,9 +196,12 @@ def nearest(vectors: DataFrame, is_query, k: int = K, curves: int = CURVES, dims
     asked = rows.where(is_query).withColumnRenamed("vec_id", "query_id").join(base.select("v", "id"), "v").select("query_id", F.col("id").alias("q"))
     asked = checkpointed(asked)
 
-    stats = {r["i"]: r for r in base.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m"), F.var_pop("x").alias("s")).collect()}
-    mean, var = (np.array([stats[i][c] for i in range(d)]) for c in ("m", "s"))
-    keyed = base.select("id", "v").mapInArrow(_curve_keys(mean, var, curves, dims, bits, seed), "curve int, key long, id long")
+    made = _curves(d, curves, dims, seed)
+    shares = [i / (QUANTILES - 1) for i in range(QUANTILES)]
+    projected = base.select("v").mapInArrow(_projections(made, d), "p array<double>").select(F.posexplode("p").alias("i", "x"))
+    cuts = {r["i"]: r["q"] for r in projected.groupBy("i").agg(F.percentile_approx("x", shares).alias("q")).collect()}
+    quantiles = np.array([cuts[i] for i in range(len(cuts))])
+    keyed = base.select("id", "v").mapInArrow(_curve_keys(made, quantiles, d, bits), "curve int, key long, id long")
     order = ["curve", "key", "id"]
     ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = checkpointed(ranged.select("curve", "id", F.monotonically_increasing_id().alias("m")).withColumn("part", F.shiftright("m", 33)))

@@ -119,6 +119,32 @@ def test_recall_and_distances(spark):
         assert got[q] == sorted(got[q], key=lambda t: (t[1], t[0]))
 
 
+def run_nearest_doubles(spark, rows, **more):
+    got = {}
+    d = spark.createDataFrame(rows, VEC.replace("float", "double"))
+    for r in neighbours.nearest(d, F.col("vec_id") % 100 == 0, **more).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    return got
+
+
+@pytest.mark.parametrize("size", [1e6, 1e200])
+def test_recall_with_one_huge_vector(spark, size):
+    x = np.random.default_rng(5).normal(size=(4000, 24))
+    rows = [(i, [float(v) for v in r], 0) for i, r in enumerate(x)]
+    want = B.nearest([(i, v) for i, v, _ in rows])
+    got = run_nearest_doubles(spark, [*rows, (100_000, [float(size * v) for v in x[7]], 0)], share=0.3)
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.9
+    assert len(got[100_000]) == 10
+    assert [s for _, s in got[100_000]] == pytest.approx([size * np.linalg.norm(x[7])] * 10, rel=1e-4)
+
+
+def test_few_huge_vectors_are_all_found(spark):
+    rows = [(i, [1.0, float(i)], 0) for i in range(5)] + [(5, [1e160, 0.0], 0), (6, [3e160, 1.0], 0), (7, [-1e308, 0.0], 0), (8, [1e308, 0.0], 0)]
+    got = run_nearest_doubles(spark, rows)
+    assert [i for i, _ in got[0]] == [1, 2, 3, 4, 5, 6, 7, 8]
+    assert [s for _, s in got[0]][4:] == pytest.approx([1e160, 3e160, 1e308, 1e308])
+
+
 def test_recall_on_the_given_table(spark, table):
     want = B.nearest(table("embeddings", "vec_id, embedding", "/root/testdata/sf0.1"))
     got = {}
