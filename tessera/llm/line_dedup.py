@@ -11,7 +11,8 @@ over each sorted range streams the runs of equal hashes, holding at most
 * rule ``first``: all but the run's first row are dropped.
 
 Runs at the edges of a range may go on in the next one; their few rows are set
-aside and decided from the summed edge counts.  The result is a compressed
+aside and decided from the summed edge counts, less one wherever a range begins
+with the document that the one before it ended with.  The result is a compressed
 bitmap per document (the non-zero 64-bit words of its dropped positions), not
 text; ``kept_text`` applies it.
 
@@ -29,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from .common import BLANKS, ascii_lower, checkpointed, read, row_key
 
@@ -50,31 +52,33 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return rows.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "k_id", "k_text", "pos")
 
 
-_FIELDS = ["part", "kind", "h1", "h2", "k_id", "k_text", "pos", "n_docs"]
-_SCHEMA = "part int, kind int, h1 long, h2 long, k_id long, k_text long, pos int, n_docs long"
+_FIELDS = ["part", "kind", "h1", "h2", "k_id", "k_text", "pos", "n_docs", "from_id", "from_text"]
+_SCHEMA = "part int, kind int, h1 long, h2 long, k_id long, k_text long, pos int, n_docs long, from_id long, from_text long"
 DROP, ASIDE, EDGE = 0, 1, 2
 
 
 def _stream_runs(min_docs: int, first: bool):
     """Over one range's rows, sorted by (h1, h2, k_id, k_text, pos): rows to
     drop (DROP); rows of an edge run that is not decided here (ASIDE); and one
-    row per edge run with its documents here (EDGE)."""
+    row per edge run with its last document, its number of documents here and
+    the first of them (EDGE)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = None
 
-        def out(kind, t, n_docs=0):
+        def out(kind, t, n_docs=0, begin=None):
             n = len(t["pos"])
             cols = [np.full(n, part, np.int32), np.full(n, kind, np.int32), t["h1"], t["h2"], None, t["k_text"], t["pos"], np.full(n, n_docs, np.int64)]
             arrays = [pa.array(c) if c is not None else pa.array(t["k_id"], mask=t["null"]) for c in cols]
+            arrays += [pa.array(begin["k_id"], mask=begin["null"]), pa.array(begin["k_text"])] if begin else [pa.nulls(n, pa.int64())] * 2
             return pa.RecordBatch.from_arrays(arrays, _FIELDS)
 
         names = ["h1", "h2", "k_id", "null", "k_text", "pos"]
         take = lambda t, i: {c: t[c][i] for c in names}
         join = lambda a, b: {c: np.concatenate([a[c], b[c]]) for c in names}
         first_edge = True  # no run has ended yet
-        held = None  # the open run: rows while undecided, n documents, last row
-        n_docs, last = 0, None
+        held = None  # the open run: rows while undecided, n documents, first and last row
+        n_docs, begin, last = 0, None, None
 
         def fresh(t):
             """1 where a row starts another document than the row before it."""
@@ -84,7 +88,9 @@ def _stream_runs(min_docs: int, first: bool):
 
         def feed(t):
             """Add rows of the open run; yields what is decided."""
-            nonlocal held, n_docs, last
+            nonlocal held, n_docs, begin, last
+            if last is None:
+                begin = take(t, slice(0, 1))
             new = fresh(t)
             if last is not None and all(last[c][0] == t[c][0] for c in ("k_id", "null", "k_text")):
                 new[0] = 0
@@ -101,13 +107,13 @@ def _stream_runs(min_docs: int, first: bool):
 
         def close(edge):
             """End the open run; an edge run may go on in another range."""
-            nonlocal held, n_docs, last, first_edge
+            nonlocal held, n_docs, begin, last, first_edge
             if last is not None:
                 if edge:
                     if held is not None:
                         yield out(ASIDE, held)
-                    yield out(EDGE, last, n_docs)
-            held, n_docs, last, first_edge = None, 0, None, False
+                    yield out(EDGE, last, n_docs, begin)
+            held, n_docs, begin, last, first_edge = None, 0, None, None, False
 
         def first_rows(t):
             """Rule first: all rows of a run but its first record are dropped;
@@ -180,7 +186,11 @@ def dropped_positions(docs: DataFrame, rule: str = "frequent", min_docs: int = M
         ends = edges.groupBy("h1", "h2").agg(F.min("part").alias("p"))
         more = aside.join(ends, ["h1", "h2"]).where("p < part")
     else:
-        whole = edges.groupBy("h1", "h2").agg(F.sum("n_docs").alias("total")).where(F.col("total") >= min_docs)
+        # a document that goes on from the range before is counted there
+        by_range = W.partitionBy("h1", "h2").orderBy("part")
+        goes_on = F.lag("k_id").over(by_range).eqNullSafe(F.col("from_id")) & (F.lag("k_text").over(by_range) == F.col("from_text"))
+        new = edges.withColumn("n_docs", F.col("n_docs") - F.coalesce(goes_on, F.lit(False)).cast("long"))
+        whole = new.groupBy("h1", "h2").agg(F.sum("n_docs").alias("total")).where(F.col("total") >= min_docs)
         more = aside.join(whole, ["h1", "h2"], "left_semi")
     sure = got.where(F.col("kind") == DROP)
     return sure.select("k_id", "k_text", "pos").unionByName(more.select("k_id", "k_text", "pos"))

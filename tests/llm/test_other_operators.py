@@ -213,6 +213,23 @@ def test_runs_across_ranges(spark, parts, min_docs):
     assert {r.k_id: r.text for r in first} == want
 
 
+@pytest.mark.parametrize("ids", [range(9), [None] * 9])
+def test_one_document_over_many_ranges_counts_once(spark, ids):
+    texts = [f"own {i}\nshared" for i in range(9)]
+    texts[0] += "\nshared" * 600 + "\nmine alone" * 600  # one document of many ranges
+    rows = [*zip(ids, texts, strict=True), *[(100 + i, "ten\n" * 40) for i in range(10)]]
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = docs_of(spark, rows)
+        out = line_dedup.kept_text(docs, line_dedup.drop_bitmaps(docs)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(r.text for r in out if r.k_id is None or r.k_id < 100) == sorted(texts)
+    assert [r.n_dropped for r in out if r.k_id is not None and r.k_id >= 100] == [40] * 10
+
+
 def test_lines_of_odd_rows(spark, clashing, no_docs):
     out = line_dedup.kept_text(clashing, line_dedup.drop_bitmaps(clashing, rule="first")).collect()
     assert len(out) == 12
