@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from conftest import matrix, named
+from helpers import matrix, named
 from tessera import errors as E
 from tessera.frames import as_matrix
 from tessera.operators import checks, column_moments, covariance_of_standardised, standardise

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from conftest import matrix
+from helpers import matrix
 from tessera import errors as E
 from tessera.operators import KMeans, initial_ranks
 

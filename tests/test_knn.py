@@ -2,7 +2,7 @@ import math
 
 import pytest
 
-from conftest import matrix
+from helpers import matrix
 from tessera import errors as E
 from tessera.operators import KNeighborsRegressor
 

@@ -3,7 +3,7 @@ arguments below their range are typed errors."""
 
 import numpy as np
 import pytest
-from conftest import matrix
+from helpers import matrix
 from pyspark.errors import PySparkException
 
 from tessera import PCA, KMeans, KNeighborsRegressor, LinearRegression, LogisticRegression, Standardiser
