@@ -2,7 +2,7 @@
 
 import brute as B
 import pytest
-from conftest import SF
+from llm_data import SF
 from pyspark.sql import functions as F
 
 from tessera.llm import chat, common, decontamination, mixing, sharding

@@ -6,7 +6,7 @@ import random
 import brute as B
 import numpy as np
 import pytest
-from conftest import DOCS, SF
+from llm_data import DOCS, SF
 from pyspark.sql import functions as F
 
 from tessera.llm import components, line_dedup, neighbours, quality, simhash_dedup, token_output, toxicity

@@ -5,7 +5,7 @@ import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
-from conftest import SF
+from llm_data import SF
 
 import __spark_entry__ as entry
 from tessera.llm import quality, token_output
