@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,3 +97,50 @@ def prefix_sums(df: DataFrame, values: dict[str, str], groups: list[str], bucket
         *[local[c] for c in df.columns],
         *[(F.col(f"__i{i}") + F.col(f"__o{i}")).alias(n) for i, n in enumerate(values)],
     )
+
+
+def run_starts(keys: list[np.ndarray]) -> np.ndarray:
+    """Indexes at which a run of equal rows begins (0 included)."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.flatnonzero(new)
+
+
+def placed(df: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
+    """``df`` and ``pos``, each row's place (from 0) in its group by ``order``,
+    nulls first; rows equal in all of these go in any order.  ``groups`` are
+    non-null long columns.  Checkpointed.
+
+    Rows are range-partitioned by group, order and a row number, so neither a
+    large group nor a row repeated very often lands in one task.  Only the
+    first group of a partition can have begun in an earlier one: the table of
+    places to add has at most one row per partition and is broadcast.
+    """
+    keys = [*groups, *order, "__row"]
+    columns = df.columns
+    names = [*columns, "__part", "pos"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, n = TaskContext.get().partitionId(), None, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            k = [b.column(g).to_numpy(zero_copy_only=False) for g in groups]
+            at = np.arange(b.num_rows)
+            starts = run_starts(k)
+            pos = at - np.repeat(starts, np.diff(np.append(starts, b.num_rows)))
+            if last == [x[0] for x in k]:
+                pos[: starts[1] if len(starts) > 1 else len(pos)] += n
+            last, n = [x[-1] for x in k], int(pos[-1]) + 1
+            kept = [b.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(np.full(b.num_rows, part)), pa.array(pos)], names)
+
+    numbered = df.withColumn("__row", F.monotonically_increasing_id())
+    spread = numbered.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    schema = T.StructType([*nullable(df.schema).fields, T.StructField("__part", T.LongType()), T.StructField("pos", T.LongType())])
+    local = checkpointed(spread.mapInArrow(run, schema))
+    counts = local.groupBy(*groups, "__part").agg(F.count("*").alias("__n"))
+    before = W.partitionBy(*groups).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    more = counts.withColumn("__before", F.sum("__n").over(before)).where("__before IS NOT NULL").drop("__n")
+    both = local.join(F.broadcast(more), [*groups, "__part"], "left")
+    return both.select(*columns, (F.col("pos") + F.coalesce("__before", F.lit(0))).alias("pos"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontamination, line_dedup, mixing, neighbours, quality, sharding, simhash_dedup, token_output, toxicity
+from . import chat, decontamination, line_dedup, mixing, neighbours, prefix_trie, quality, repair, sharding, simhash_dedup, token_output, toxicity
 
 LLM_QUERIES = {
     "op1_decontamination": decontamination.contaminated_documents,
@@ -15,4 +15,6 @@ LLM_QUERIES = {
     "op8_chat": chat.format_conversations,
     "op9_lines": line_dedup.dedup_lines,
     "op10_tokens": token_output.token_sequences,
+    "op11_trie": prefix_trie.conversation_trie,
+    "op13_repair": repair.repair_conversations,
 }

@@ -157,3 +157,115 @@ def maximal_conversations(rows):
 
 def crc32(text):
     return zlib.crc32((text or "").encode())
+
+
+# conversation prefix trie --------------------------------------------------
+
+def turn_key(role, text):
+    return hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+
+
+def rebuilt_conversations(rows):
+    """(conv, turn, role, text) rows to {conv: [(role, text), ...]} after rebuilding."""
+    conv = defaultdict(list)
+    for c, t, r, x in rows:
+        if c is not None:
+            conv[c].append((t is not None, t or 0, turn_key(r or "", x or ""), r or "", x or ""))
+    own = {c: [tuple(y[3:]) for y in sorted(v)] for c, v in conv.items()}
+    out = {}
+    for c, v in own.items():
+        h = crc32(str(c)) % 4
+        out[c] = own.get(c - c % 20, [])[:h] + v[h:]
+    return out
+
+
+def trie(conv):
+    """{conv: turns} to sorted node rows, by plain recursion over prefixes."""
+    members, ends, children = defaultdict(list), defaultdict(list), defaultdict(set)
+    for c, v in conv.items():
+        for d in range(len(v) + 1):
+            members[tuple(v[:d])].append(c)
+            if d:
+                children[tuple(v[: d - 1])].add(tuple(v[:d]))
+        ends[tuple(v)].append(c)
+    leaves, saved = Counter(), Counter()
+    for node, m in members.items():
+        own = (len(m) - 1) * len(words(node[-1][1])) if node else 0
+        for d in range(len(node) + 1):
+            saved[node[:d]] += own
+            leaves[node[:d]] += node not in children
+    out = []
+    for node, m in members.items():
+        parent = min(members[node[:-1]]) if node else None
+        sha = hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest()
+        out.append((len(node), min(m), parent, len(m), len(children[node]) if node in children else 0, leaves[node], saved[node], sha))
+    return out
+
+
+# conversation repair -------------------------------------------------------
+
+def damaged_conversations(rows):
+    """(conv, turn, role, text) rows to {conv: rows after damage, in order}."""
+    out = defaultdict(list)
+    for c, t, r, x in rows:
+        kind = crc32(f"{' ' if c is None else c}:{' ' if t is None else t}") % 20
+        r, x = " " if r is None else r, " " if x is None else x
+        x = "" if kind == 1 else re.sub("[.!?]", "", x) if kind == 2 else x
+        r = "user" if kind == 4 else r
+        out[c] += [(t is not None, t or 0, turn_key(r, x), r, x)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return {c: [(y[1] if y[0] else None, *y[3:]) for y in sorted(v)] for c, v in out.items()}
+
+
+def faults(conv):
+    seen, out = set(), []
+    for _, r, x in conv:
+        bare = x.rstrip(BLANK)
+        out.append("blank" if not bare else "duplicate" if (r, x) in seen else "" if bare[-1] in ".!?" else "truncated")
+        seen.add((r, x))
+    return out
+
+
+def cheapest_edits(initials, fault):
+    """(cost, audit, repaired rows as (index or None, role or None)), by a search over whole edit lists."""
+    import heapq
+
+    done, n = set(), len(initials)
+    heap = [(0, "", 0, "", ())]
+    while heap:
+        cost, audit, i, roles, rows = heapq.heappop(heap)
+        if i == n and re.fullmatch("(s?(ua)+)?", roles):
+            return cost, audit, rows
+        key = (i, roles if len(roles) < 2 else roles[-1] + "+")
+        if (key, audit) in done or any((key, a) in done for a in ()):
+            continue
+        done.add((key, audit))
+
+        def go(c, letter, j, role, row):
+            new = roles + role
+            if re.fullmatch("s?(ua)*u?", new):
+                heapq.heappush(heap, (cost + c, audit + letter, j, new, rows + row))
+
+        for role, name in (("u", "user"), ("a", "assistant")):
+            go(5, "I", i, role, ((None, name),))
+        if i < n:
+            go(2, "D", i + 1, "", ())
+            if fault[i] not in ("blank", "duplicate"):
+                extra = 5 if fault[i] == "truncated" else 0
+                go(extra, "K", i + 1, initials[i] if initials[i] in ("s", "u", "a") else "?", ((i, None),))
+                for role, name in (("u", "user"), ("a", "assistant")):
+                    go(1 + extra, "R", i + 1, role, ((i, name),))
+    raise AssertionError
+
+
+def repairs(rows):
+    out = []
+    for c, conv in damaged_conversations(rows).items():
+        f = faults(conv)
+        first = [r[:1] for _, r, _ in conv]
+        turn = [t for t, _, _ in conv if t is not None]
+        gaps = max(turn) - min(turn) + 1 - len(set(turn)) if turn else 0
+        cost, audit, kept = cheapest_edits(first, f)
+        text = "\n".join(f"{name or conv[i][1]}:{'' if i is None else conv[i][2]}" for i, name in kept)
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(first, first[1:]))  # noqa: B905
+        out.append((c, gaps, f.count("blank"), f.count("duplicate"), f.count("truncated"), illegal, cost, audit, hashlib.sha256(text.encode()).hexdigest()))
+    return out
