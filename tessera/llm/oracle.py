@@ -63,8 +63,54 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM d GROUP BY doc_id
 """
 
+# CRC-32 of the decimal id, bit by bit: a byte is mixed in, then eight steps (-1).
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(c::VARCHAR, ''),
+    lambda ch: list_concat([ascii(ch)::BIGINT], [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))),
+    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END), 4294967295::BIGINT)"""
+
+TRIE = rf"""
+WITH t AS (
+  SELECT conv_id::BIGINT AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list({{'r': r, 'x': x}} ORDER BY turn NULLS FIRST, md5(length(r)::VARCHAR || ':' || r || x)) AS l FROM t GROUP BY c),
+h AS (SELECT c, l, {_CRC} % 4 AS h FROM o),
+b AS (SELECT h.c, list_concat(coalesce(f.l[1:h.h], []), h.l[h.h + 1:]) AS l FROM h LEFT JOIN h AS f ON f.c = h.c - h.c % 20),
+p AS (SELECT c, len(l) AS n, d, l[1:d] AS path FROM (SELECT c, l, unnest(generate_series(0, len(l))) AS d FROM b)),
+n AS (
+  SELECT d, path, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256
+  FROM p GROUP BY d, path),
+k AS (SELECT path[1:d - 1] AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+m AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+    CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(n.path[d].x, '[^\x20\x09-\x0D]+')) END AS own
+  FROM n LEFT JOIN k ON n.path = k.path),
+a AS (
+  SELECT path[1:e] AS path, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum(own)::BIGINT AS saved_tokens
+  FROM (SELECT path, n_children, own, unnest(generate_series(0, d)) AS e FROM m) GROUP BY 1)
+SELECT m.conv_id, m.d::BIGINT AS depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, a.n_leaves, a.saved_tokens, m.ends_sha256
+FROM m JOIN a ON m.path = a.path LEFT JOIN m AS u ON m.d > 0 AND u.path = m.path[1:m.d - 1]
+"""
+
+EMBEDDINGS = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN label END AS label, embedding::DOUBLE[] AS e
+  FROM embeddings),
+p AS (
+  SELECT a.row AS a, b.row AS b FROM v AS a JOIN v AS b
+    ON a.label = b.label AND a.row <> b.row AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r(a, b) AS (SELECT row, row FROM v UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT r.a, min(v.vec_id) AS component_id FROM r JOIN v ON r.b = v.row GROUP BY r.a),
+n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, v.vec_id IS NOT DISTINCT FROM c.component_id AS kept
+FROM v JOIN c ON c.a = v.row LEFT JOIN n ON n.a = v.row
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op7_mixing": MIXING,
     "op8_chat": CHAT,
     "op9_lines": LINES,
+    "op11_trie": TRIE,
+    "op12_embedding_dedup": EMBEDDINGS,
 }

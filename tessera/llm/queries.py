@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontamination, line_dedup, mixing, neighbours, prefix_trie, quality, repair, sharding, simhash_dedup, token_output, toxicity
+from . import chat, decontamination, embedding_dedup, line_dedup, mixing, neighbours, prefix_trie, quality, repair, sharding, simhash_dedup, token_output, toxicity
 
 LLM_QUERIES = {
     "op1_decontamination": decontamination.contaminated_documents,
@@ -16,5 +16,6 @@ LLM_QUERIES = {
     "op9_lines": line_dedup.dedup_lines,
     "op10_tokens": token_output.token_sequences,
     "op11_trie": prefix_trie.conversation_trie,
+    "op12_embedding_dedup": embedding_dedup.dedup_embeddings,
     "op13_repair": repair.repair_conversations,
 }

@@ -269,3 +269,31 @@ def repairs(rows):
         illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(first, first[1:]))  # noqa: B905
         out.append((c, gaps, f.count("blank"), f.count("duplicate"), f.count("truncated"), illegal, cost, audit, hashlib.sha256(text.encode()).hexdigest()))
     return out
+
+
+# embedding near-duplicates -------------------------------------------------
+
+def embedding_groups(rows, cosine=0.93):
+    """(id, vector, label) rows to (id, links, component, kept) rows, over all pairs."""
+    def ok(v, label):
+        return label is not None and bool(v) and None not in v and np.isfinite(v).all() and np.any(v)
+
+    x = [np.array(v, float) / np.max(np.abs(v)) if ok(v, label) else None for _, v, label in rows]
+    near = lambda a, b: (
+        x[a] is not None and x[b] is not None and rows[a][2] == rows[b][2] and len(x[a]) == len(x[b])
+        and (x[a] * x[b]).sum() / (np.sqrt((x[a] ** 2).sum()) * np.sqrt((x[b] ** 2).sum())) >= cosine
+    )
+    links = Counter()
+
+    def linked(a, b):
+        yes = near(a, b)
+        links[a] += yes
+        links[b] += yes
+        return yes
+
+    comp = components(range(len(rows)), linked)
+    least = {}
+    for i, (vec, _, _) in enumerate(rows):
+        if vec is not None:
+            least[comp[i]] = min(least.get(comp[i], vec), vec)
+    return [(vec, links[i], least.get(comp[i]), vec == least.get(comp[i])) for i, (vec, _, _) in enumerate(rows)]

@@ -82,10 +82,10 @@ def test_run_equals_the_stages(spark, stages):
     assert sorted(got) == sorted(stages["tokens"].select("slot", "seq", "crc32").collect())
 
 
-@pytest.mark.parametrize("name", ["op7_mixing", "op8_chat", "op9_lines"])
+@pytest.mark.parametrize("name", ["op7_mixing", "op8_chat", "op9_lines", "op11_trie", "op12_embedding_dedup"])
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got, want = entry.queries()[name](spark, SF).toPandas(), con.execute(entry.oracle_sql()[name]).df()
     cols = sorted(got.columns)
@@ -96,4 +96,4 @@ def test_queries_match_their_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
