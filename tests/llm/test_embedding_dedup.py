@@ -83,4 +83,9 @@ def test_every_near_pair_meets_in_a_block():
     i, j = np.arange(4000), np.arange(4000, 8000)
     for a, b in ((i, j), (j, i)):
         met = np.any([grid.meet(*places, a, b, block) for block in grid.shape(8)], axis=0)
-        assert near.sum() > 500 and met[near].all() and not met.all()
+        assert near.sum() > 500 and met[near].all()
+    narrow = embedding_dedup.Grid(0.999, 4, 2)
+    places = [np.concatenate(x) for x in zip(narrow.place(u @ turn), narrow.place(v @ turn), strict=True)]
+    met = np.any([narrow.meet(*places, i, j, block) for block in narrow.shape(8)], axis=0)
+    near = (u * v).sum(1) >= 0.999
+    assert near.any() and met[near].all() and not met.all()
