@@ -109,11 +109,18 @@ def persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+# Shuffle files of a finished query go at once instead of at some later
+# garbage collection (4.1 has the setting; other versions ignore it).
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never a
-    local checkpoint)."""
+    local checkpoint).  What was shuffled to make it is then freed: the
+    checkpoint needs it no more."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with scoped_conf(df.sparkSession, FREE_SHUFFLES):
+        return df.select("*").checkpoint(eager=True)  # a plan of its own, made under the setting
 
 
 # Iterative fits run one small aggregate per step (k or d+1 partial sums per
