@@ -28,6 +28,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def counted(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """``df`` checkpointed, and marked for broadcast if it has at most ``most`` rows."""
+    df = checkpointed(df)
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

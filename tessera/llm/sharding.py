@@ -8,22 +8,29 @@ record's slot never changes, and only the slots whose entry was edited move.
 The map has exactly ``n_slots`` entries however large the data is, so it is
 made on the driver and applied as a constant array: no join and no shuffle.
 
+A record is its key and text.  Equal records would share a slot; where they
+repeat in the table (``with_repeats``), each row gets a number that spreads
+them, so no slot grows with the copies of one record.
+
 Edge cases: null or empty texts have size 1; rows whose key is null hash by
-their size and text instead; repeated rows share a slot; an empty table gives
-a map that deals the slots out in turn; columns of any other name pass through
+their text; a very long text counts by its bytes alone; rows of equal key and
+text take their places in a shard in any order; an empty table gives a map
+that deals the slots out in turn; columns of any other name pass through
 ``assign`` untouched.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import literal_array, read
+from ..session import ensure_checkpoint_dir
+from .common import checkpointed, counted, literal_array, read
 
 N_SLOTS = 4096
 
@@ -58,16 +65,22 @@ def record_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
-def virtual_slot(key: Column, text: Column, n_slots: int = N_SLOTS) -> Column:
-    by_text = F.xxhash64(F.lit("no key"), text)
-    return F.pmod(F.when(key.isNull(), by_text).otherwise(F.xxhash64(key)), F.lit(n_slots)).cast("int")
+def virtual_slot(key: Column, text: Column, n_slots: int = N_SLOTS, repeat: Column | None = None) -> Column:
+    """The slot of a record, which is key and text; ``repeat`` (a number, 0
+    for all but the repeats of one record) spreads equal records over slots."""
+    h = F.xxhash64(key, F.lit("text"), text)
+    return F.pmod(h if repeat is None else F.when(repeat == 0, h).otherwise(F.xxhash64(h, repeat)), F.lit(n_slots)).cast("int")
 
 
 def slot_totals(df: DataFrame, key: str, text: str, n_slots: int = N_SLOTS) -> tuple[list[int], list[int]]:
     """Bytes and rows of every slot: one aggregate, at most ``n_slots`` rows
     to the driver."""
+    return totals(df.select(virtual_slot(F.col(key), F.col(text), n_slots).alias("s"), record_size(F.col(text)).alias("b")), n_slots)
+
+
+def totals(slots: DataFrame, n_slots: int) -> tuple[list[int], list[int]]:
+    """The same of rows (``s`` slot, ``b`` bytes)."""
     size, rows = [0] * n_slots, [0] * n_slots
-    slots = df.select(virtual_slot(F.col(key), F.col(text), n_slots).alias("s"), record_size(F.col(text)).alias("b"))
     for r in slots.groupBy("s").agg(F.sum("b").alias("b"), F.count("*").alias("n")).collect():
         size[r["s"]], rows[r["s"]] = r["b"], r["n"]
     return size, rows
@@ -140,15 +153,35 @@ def positions(df: DataFrame, m: SlotMap, order: list[str], slot_col: str = "virt
     return df.withColumn(out, F.element_at(literal_array(m.row_offsets()), F.col(slot_col) + 1) + inside.cast("long") - 1)
 
 
+def with_repeats(narrow: DataFrame, record: list[str], row: str = "row") -> DataFrame:
+    """``narrow`` with ``repeat``: 0, but a number of its own (from ``row``,
+    unique and not negative) for every row of a record that occurs more than once."""
+    twice = narrow.groupBy(*record).agg(F.count("*").alias("n")).where("n > 1").select(*[F.col(c).alias(f"r_{c}") for c in record])
+    twice = counted(twice)
+    same = F.lit(True)
+    for c in record:
+        same = same & narrow[c].eqNullSafe(twice[f"r_{c}"])
+    both = narrow.join(twice.withColumn("twice", F.lit(True)), same, "left")
+    return both.select(*[narrow[c] for c in narrow.columns], F.when(F.col("twice"), F.col(row) + 1).otherwise(F.lit(0)).cast("long").alias("repeat"))
+
+
 def shard_documents(spark: SparkSession, sf_dir: str, n_shards: int = 8, n_slots: int = N_SLOTS) -> DataFrame:
-    """Every document with its size, checksum, shard and place in the shard."""
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    m = balanced_map(*slot_totals(docs, "doc_id", "text", n_slots), n_shards)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    narrow = assign(docs, m, "doc_id", "text").select(
-        "doc_id", record_size(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), "virtual_slot", "shard"
-    )
-    placed = positions(narrow, m, ["doc_id", "size", "text_crc32"])
+    """Every document with its size, checksum, shard and place in the shard.
+    The map goes through its stored version, a table in the shared folder."""
+    docs = read(spark, sf_dir, "documents")
+    text = F.col("text").cast("string")
+    narrow = checkpointed(docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("k_text"), record_size(text).alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), F.monotonically_increasing_id().alias("row"),
+    ))
+    rows = with_repeats(narrow, ["doc_id", "k_text"])
+    rows = checkpointed(rows.withColumn("virtual_slot", virtual_slot(F.col("doc_id"), F.col("k_text"), n_slots, F.col("repeat"))))
+    made = balanced_map(*totals(rows.select(F.col("virtual_slot").alias("s"), F.col("size").alias("b")), n_slots), n_shards)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shard-maps-{uuid.uuid4().hex}"
+    save_map(spark, made, folder)
+    m = load_map(spark, folder, made.version)
+    shard = F.element_at(literal_array(m.shard_of, "int"), F.col("virtual_slot") + 1)
+    placed = positions(rows.withColumn("shard", shard), m, ["doc_id", "size", "text_crc32", "row"])
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.lit(m.version).alias("map_version"),
