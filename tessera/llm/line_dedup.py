@@ -5,19 +5,20 @@ at least ``min_chars`` code points are hashed (128 bits), and (hash, document,
 position) is range-partitioned in that order, so even one line that a third of
 all documents share is spread over many ranges and sorted within each.  A pass
 over each sorted range streams the runs of equal hashes, holding at most
-``min_docs`` rows of a run:
+``HELD_ROWS`` rows (and a batch) of a run:
 
 * rule ``frequent``: a run of ``min_docs`` documents is dropped whole;
 * rule ``first``: all but the run's first row are dropped.
 
-Runs at the edges of a range may go on in the next one; their few rows are set
-aside and decided from the summed edge counts, less one wherever a range begins
+Runs at the edges of a range may go on in the next one, and a run of few
+documents may have very many rows; their rows are set aside as they come and
+decided from the summed counts, less one wherever a range begins
 with the document that the one before it ended with.  The result is a compressed
 bitmap per document (the non-zero 64-bit words of its dropped positions), not
 text; ``kept_text`` applies it.
 
 Edge cases: null and empty texts are one empty line, whose key is too short to
-count; repeated rows of one (id, text) are one document; rows of null id are
+count; a very long text is many rows; repeated rows of one (id, text) are one document; rows of null id are
 told apart by their text; an empty table gives no rows; other columns are not
 read.
 """
@@ -35,6 +36,8 @@ from pyspark.sql.window import Window as W
 from .common import BLANKS, ascii_lower, checkpointed, read, row_key
 
 MIN_CHARS, MIN_DOCS = 1, 10
+#: Rows of an undecided run that a task holds.
+HELD_ROWS = 4096
 
 
 def text_lines(text: Column) -> Column:
@@ -78,7 +81,7 @@ def _stream_runs(min_docs: int, first: bool):
         join = lambda a, b: {c: np.concatenate([a[c], b[c]]) for c in names}
         first_edge = True  # no run has ended yet
         held = None  # the open run: rows while undecided, n documents, first and last row
-        n_docs, begin, last = 0, None, None
+        n_docs, begin, last, aside = 0, None, None, False
 
         def fresh(t):
             """1 where a row starts another document than the row before it."""
@@ -88,7 +91,7 @@ def _stream_runs(min_docs: int, first: bool):
 
         def feed(t):
             """Add rows of the open run; yields what is decided."""
-            nonlocal held, n_docs, begin, last
+            nonlocal held, n_docs, begin, last, aside
             if last is None:
                 begin = take(t, slice(0, 1))
             new = fresh(t)
@@ -99,21 +102,24 @@ def _stream_runs(min_docs: int, first: bool):
             last = take(t, slice(-1, None))
             if decided:
                 yield out(DROP, t)
-            else:
-                held = t if held is None else join(held, t)
-                if n_docs >= min_docs:
-                    yield out(DROP, held)
-                    held = None
+                return
+            held = t if held is None else join(held, t)
+            if n_docs >= min_docs:
+                yield out(DROP, held)
+                held = None
+            elif len(held["pos"]) > HELD_ROWS:
+                yield out(ASIDE, held)
+                held, aside = None, True
 
         def close(edge):
             """End the open run; an edge run may go on in another range."""
-            nonlocal held, n_docs, begin, last, first_edge
+            nonlocal held, n_docs, begin, last, aside, first_edge
             if last is not None:
-                if edge:
+                if edge or aside:
                     if held is not None:
                         yield out(ASIDE, held)
                     yield out(EDGE, last, n_docs, begin)
-            held, n_docs, begin, last, first_edge = None, 0, None, None, False
+            held, n_docs, begin, last, aside, first_edge = None, 0, None, None, False, False
 
         def first_rows(t):
             """Rule first: all rows of a run but its first record are dropped;
