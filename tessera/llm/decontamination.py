@@ -37,12 +37,12 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, read, row_key, same_row, with_rows
+from .common import checkpointed, counted, read, row_key, same_row, with_rows
 
-SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 20
+SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 23
 BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 8, 8, 2
-#: Anchor rows (24 bytes each) up to which the benchmark side is broadcast;
-#: a larger benchmark joins by shuffle.
+#: Anchor rows (24 bytes each) up to which the benchmark side is broadcast, and
+#: windows (12 bytes) and matched documents likewise; more join by shuffle.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -136,10 +136,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     schema = "k_id long, k_text long, item_id long, start int, n_words int, distance int, similarity double"
     if items.isEmpty():
         return docs.sparkSession.createDataFrame([], schema)
-    laid = _windows(docs, items, similarity)
+    laid = checkpointed(_windows(docs, items, similarity))
+    n_laid = laid.agg(F.sum(F.size("starts"))).first()[0] or 0
     laid = laid.select("k_id", "k_text", F.transform("starts", lambda x: F.struct(x.alias("start"), "n", "k")).alias("laid"))
     per_doc = laid.groupBy("k_id", "k_text").agg(F.flatten(F.collect_list("laid")).alias("laid"))
     rows = docs.select(*row_key(docs), "text")
+    # few documents have windows: their list goes to the texts, not the texts to it
+    per_doc = F.broadcast(per_doc) if n_laid <= BROADCAST_ROWS else per_doc
     joined = rows.join(per_doc, same_row(rows, per_doc)).select(rows["k_id"], rows["k_text"], normal_words(F.col("text")).alias("w"), "laid")
 
     def cut(x):
@@ -180,7 +183,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a match, with all their columns."""
-    hit = matches(docs, benchmark).select("k_id", "k_text").distinct()
+    hit = counted(matches(docs, benchmark).select("k_id", "k_text").distinct(), BROADCAST_ROWS)
     full = with_rows(docs)
     kept = full.join(hit, same_row(full, hit), "left_anti")
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
