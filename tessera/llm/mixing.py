@@ -11,8 +11,9 @@ among the others by weight, until none is above (closed form: sources sorted
 by cap / weight, one running sum over the source table).
 
 Edge cases: null source is a source of its own (last); null or blank texts
-have size 0 and are never taken; repeated rows are separate rows of the mix;
-an empty table gives an empty mix.  The document a budget ends in is taken in
+have size 0 and are never taken; a very long text counts by its words and may
+be taken in part like any other; repeated rows are separate rows of the mix,
+equal ones in any order (keys do not tie otherwise); an empty table gives an empty mix.  The document a budget ends in is taken in
 part, so that each source's words equal its target to the word.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import checkpointed, n_words, prefix_sums, read, row_key, same_row, with_rows, words
+from .common import checkpointed, counted, n_words, prefix_sums, read, row_key, same_row, with_rows, words
 
 WEIGHTS = (3, 1, 2)
 SHARE, CAP, SEED = 1.5, 2, 7
@@ -49,14 +50,26 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     return filled.select("source", "source_size", F.when(F.col("full"), F.col("most")).otherwise(F.col("w") * level).alias("target"))
 
 
+def random_keys(df: DataFrame, seed: int) -> DataFrame:
+    """``key``, the MD5 of seed and id; where an id (or a null one) repeats, of
+    seed, id, text hash and copy number, so no key is common to many rows."""
+    ids = counted(df.groupBy("k_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("k_id").alias("r_id"), F.lit(True).alias("repeated")))
+    both = df.join(ids, df["k_id"].eqNullSafe(ids["r_id"]), "left").drop("r_id")
+    start = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("k_id").cast("string"), F.lit("")))
+    alone = both.where("repeated IS NULL").drop("repeated").withColumn("key", F.md5(start))
+    # copies are numbered within each input partition, on from those before it
+    many = both.where("repeated").drop("repeated").withColumn("part", F.shiftright("row", 33)).withColumn("one", F.lit(1).cast("long"))
+    many = prefix_sums(many, {"copy": "one"}, ["k_id", "k_md5", "source"], "part", ["row"])
+    many = many.withColumn("key", F.md5(F.concat_ws(":", start, F.col("k_md5"), F.col("copy").cast("string"))))
+    return alone.unionByName(many.drop("part", "one", "copy"))
+
+
 def mix(df: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP, seed: int = SEED) -> DataFrame:
-    """From rows (``k_id``, ``k_text``, ``source``, ``size``) the same rows with
-    ``source_size``, ``target`` and ``taken``, the words the mix takes of each.
+    """From the rows of ``sized`` the same rows with ``source_size``, ``target`` and ``taken``, the words the mix takes of each.
 
-    The order within a source depends on the seed and ids alone, so reruns and
-    any partitioning agree."""
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("k_id").cast("string"), F.lit(""))))
-    rows = df.withColumn("key", key).withColumn("range", F.substring("key", 1, RANGE_DIGITS))
+    The order within a source depends on the seed and the rows alone, so
+    reruns and any partitioning agree."""
+    rows = random_keys(df, seed).withColumn("range", F.substring("key", 1, RANGE_DIGITS))
     sizes = df.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, cap).withColumnRenamed("source", "t_source")
     ordered = prefix_sums(rows, {"before": "size"}, ["source"], "range", ["key", "k_id", "size", "k_text"])
@@ -73,7 +86,11 @@ def mix(df: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP, se
 
 def sized(docs: DataFrame) -> DataFrame:
     """Narrow rows of the documents; counted once and kept."""
-    return checkpointed(docs.select(*row_key(docs), F.col("source").cast("string").alias("source"), n_words(F.col("text").cast("string")).alias("size")))
+    text = F.col("text").cast("string")
+    return checkpointed(docs.select(
+        *row_key(docs), F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("k_md5"), F.monotonically_increasing_id().alias("row"),
+        F.col("source").cast("string").alias("source"), n_words(text).alias("size"),
+    ))
 
 
 def mix_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,10 @@ _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 MIXING = r"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5('7:' || coalesce(doc_id::VARCHAR, '') || CASE WHEN count(*) OVER (PARTITION BY doc_id) > 1 THEN ':' || md5(coalesce(text, ''))
+      || ':' || (row_number() OVER (PARTITION BY doc_id, md5(coalesce(text, '')), source) - 1)::VARCHAR ELSE '' END) AS key
+  FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size, (2 * sum(size))::DOUBLE AS most,
     ([3, 1, 2])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w
@@ -25,7 +28,7 @@ t AS (
     w * ((total - sum(CASE WHEN is_full THEN most ELSE 0 END) OVER ()) / nullif(sum(CASE WHEN is_full THEN 0 ELSE w END) OVER (), 0)) END AS target
   FROM g),
 r AS (
-  SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5('7:' || coalesce(doc_id::VARCHAR, '')), doc_id, size
+  SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
   FROM d),
 e AS (
