@@ -135,7 +135,8 @@ def score(docs: DataFrame, labels: DataFrame, host: Column | None = None, path:
     """k_id, k_text, host, path, evidence, host_posterior, path_posterior, quality (probability), keep."""
     x = checkpointed(statistics(docs, F.col("source") if host is None else host, F.col("lang") if path is None else path))
     sample = labelled_sample(labels, label, most)
-    rows = x.join(F.broadcast(sample), F.col("k_id") == F.col("l_id")).select("x", "y").limit(most).collect()  # at most ``most`` rows
+    # one row per labelled id, whichever rows repeat it: at most ``most``
+    rows = x.join(F.broadcast(sample), F.col("k_id") == F.col("l_id")).groupBy("k_id", "y").agg(F.min(F.struct("k_text", "x")).alias("m")).orderBy("k_id").select("m.x", "y").collect()
     y = np.array([r["y"] for r in rows])
     if len(y) and 0 < y.mean() < 1:
         w, b = fit_logistic(np.array([r["x"] for r in rows]), y)

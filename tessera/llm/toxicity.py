@@ -89,13 +89,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MA
     none = Severity({}, np.empty(0), np.empty(0))
     each = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col(label).cast("int").alias("y")).dropna()
     sample = each.groupBy("l_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("l_id"), "l_id").limit(most)
-    rows = docs.select(F.col("doc_id").cast("long").alias("k_id"), F.col("text").cast("string").cast("binary").alias("t")).join(F.broadcast(sample), F.col("k_id") == F.col("l_id")).select("y", "t")
+    # one text per labelled id, whichever rows repeat it: at most ``most``, for vocabulary and fit alike
+    rows = docs.select(F.col("doc_id").cast("long").alias("k_id"), F.col("text").cast("string").cast("binary").alias("t")).join(F.broadcast(sample), F.col("k_id") == F.col("l_id"))
+    rows = rows.groupBy("k_id", "y").agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("m")).select("k_id", "y", "m.t")
 
     def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good, bad = Counter(), Counter()
         seen = [0, 0]
         for b in batches:
-            for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for y, t in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 (bad if y else good).update(set(text_words(t or b"")))
                 seen[bool(y)] += 1
         words = [*(good.keys() | bad.keys()), None]
@@ -119,11 +121,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MA
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [model.features(t or b"") for t in b.column(1).to_pylist()]
+            x = [model.features(t or b"") for t in b.column(2).to_pylist()]
             cols = [pa.array([list(r) for r in x], pa.list_(pa.int32())), pa.array([list(r.values()) for r in x], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["y", "at", "value"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], ["k_id", "y", "at", "value"])
 
-    fitted = rows.mapInArrow(sparse, "y int, at array<int>, value array<double>").limit(most).collect()
+    fitted = sorted(rows.mapInArrow(sparse, "k_id long, y int, at array<int>, value array<double>").collect(), key=lambda r: r["k_id"])
     x, y = np.zeros((len(fitted), len(words))), np.array([r["y"] for r in fitted])
     for i, r in enumerate(fitted):
         x[i, r["at"]] = r["value"]
