@@ -126,18 +126,28 @@ def _block_search(k: int, d: int):
     the ``k`` nearest base rows with a rank in its window."""
 
     def best(q, base):
-        ids, ranks, v, norm, top = base
+        ids, ranks, v, centre, moved, norm, top = base
+        bound = 8 * (d + 4) * np.finfo(float).eps
         out = []
         for s in range(0, len(q[0]), 1024):
             qid, lo, hi, qv = (a[s : s + 1024] for a in q)
             huge = max(top, np.abs(qv).max()) > HUGE
             if huge:  # exact at once; beyond the range of doubles: last
                 rough = np.minimum([_distances(x, v) for x in qv], np.finfo(float).max)
-            else:
-                rough = norm[None] - 2 * (qv @ v.T)
+            else:  # about the block's centre, so a common offset costs no digits
+                shifted = qv - centre
+                rough = norm[None] - 2 * (shifted @ moved.T)
             rough[(ranks[None] < lo[:, None]) | (ranks[None] > hi[:, None])] = np.inf
             m = min(len(ids), k + 8)
             near = np.argpartition(rough, m - 1, axis=1)[:, :m]
+            if not huge:
+                # what rounding may have put beyond the m nearest: those queries get all distances
+                held = np.sort(np.take_along_axis(rough, near, 1), axis=1)
+                slack = 2 * bound * ((shifted**2).sum(1) + norm.max())
+                unsure = np.flatnonzero((m < len(ids)) & np.isfinite(held[:, -1]) & ~(held[:, -1] - held[:, min(k, m) - 1] > slack))
+                for i in unsure:
+                    full = np.where(np.isfinite(rough[i]), _distances(qv[i], v), np.inf)
+                    near[i] = np.lexsort((ids, full))[:m]
             seen = np.isfinite(np.take_along_axis(rough, near, 1))
             exact = np.array([_distances(x, v[i]) for x, i in zip(qv, near, strict=True)]) if huge else np.sqrt(((qv[:, None, :] - v[near]) ** 2).sum(2))
             order = np.lexsort((ids[near], exact, ~seen), axis=1)[:, :k]
@@ -163,7 +173,9 @@ def _block_search(k: int, d: int):
                 if base is None and parts:
                     i, r, x = (np.concatenate(c) for c in zip(*parts, strict=True))
                     with np.errstate(over="ignore"):
-                        base = (i, r, x, (x**2).sum(1), np.abs(x).max())
+                        centre = x.mean(0)
+                        moved = x - centre
+                        base = (i, r, x, centre, moved, (moved**2).sum(1), np.abs(x).max())
                 if base is not None:
                     yield pa.RecordBatch.from_arrays(best((ids[s:e], lo[s:e], hi[s:e], v[s:e]), base), ["q", "c", "score"])
 
