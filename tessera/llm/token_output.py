@@ -51,15 +51,11 @@ MAX_SLOT_RANGES = 20_000
 COPIES = 64
 #: Level of the compression of travelling token bytes.
 ZSTD = 1
-#: Encoded pieces that a worker remembers.
-REMEMBERED = 500_000
 
 
-class Pieces(dict):
-    """Token bytes of space-led pieces, encoded when first met.
-
-    Between a space and the next one the pattern never joins text across the
-    space, so a text may be encoded piece by piece."""
+class Pieces:
+    """Token bytes of whole texts.  (Remembering the tokens of words took half
+    as long again where most words of a text are rare.)"""
 
     def __init__(self, vocabulary: bytes, dtype: str):
         import tiktoken
@@ -71,17 +67,7 @@ class Pieces(dict):
     def ids(self, text: str) -> bytes:
         return np.array(self.encoder.encode_ordinary(text), dtype=self.dtype).tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        out = self[piece] = self.ids(piece)
-        return out
-
-    def text(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        if any(not x or x[0].isspace() for x in rest):
-            return self.ids(text)  # runs of blanks
-        return self.ids(first) + b"".join([self[" " + x] for x in rest])
+    text = ids
 
 
 def token_rows(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = 50256) -> DataFrame:
