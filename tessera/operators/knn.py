@@ -10,9 +10,8 @@ that a third of all rows repeat is searched once.
 
 Distinct rows are routed to groups that each hold a bounded block of training rows and
 a bounded block of query rows (each row carries the list of its groups).  The
-two sides are stacked with a side flag and hash-partitioned with an explicit
-partition count on keys picked so that every task gets exactly one group (AQE
-does not coalesce these compute-heavy tasks).  ``groupBy(group)
+two sides are stacked with a side flag and partitioned by group number, so that
+every task gets exactly one group (AQE does not coalesce these compute-heavy tasks).  ``groupBy(group)
 .applyInPandas`` emits, per group, only each query's k best candidates,
 ordered by (distance, training id); a window ``row_number() <= k`` per query
 merges groups.  Ids are unique and hashed, so no key can make a group hot.
@@ -28,6 +27,12 @@ Group layouts:
   k-th distance is provably inside them; widening rounds, then blocks, for
   the rest.
 
+* cells - exact pruned search in any number of dimensions (``cells.py``):
+  Voronoi cells of pivots, or k-d boxes for a few features.  A query looks in
+  its nearest cells first; its k-th distance there rules out every cell whose
+  lower bound lies beyond, and the others are searched in a second round.
+  Where the bounds rule out too little, the block plan takes over.
+
 Inside a group (``block_top_k``) distances are summed feature by feature, so
 exact zeros stay exact; wide vectors are screened by one matrix product within a rounding bound and the
 survivors recomputed exactly.
@@ -43,10 +48,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,12 +62,14 @@ from .. import errors as E
 from ..frames import Matrix, as_matrix
 from ..functions.vector import check_metric, literal_longs
 from ..session import cut_lineage, parallelism
+from .cells import Balls, Boxes, first_cells, open_cells
 from .checks import check_feature_count, scan
 from .estimator import FittedState
 from .gram import blocked_gram
+from .wide import vectors
 
 WEIGHTINGS = ("uniform", "distance")
-STRATEGIES = ("auto", "bands", "blocks")
+STRATEGIES = ("auto", "cells", "bands", "blocks")
 # Distance-matrix chunk (queries x training rows) kept under this many cells,
 # small enough to stay cache-resident while every core runs a block.
 CHUNK_CELLS = 65_536
@@ -76,6 +84,16 @@ MIN_BAND_ROWS = 1_000
 MAX_BANDS = 4_096
 # ``auto`` bands only when training x query pairs reach this many.
 BAND_MIN_PAIRS = 10**10
+# Cells: rows of one at least, cells at most (their geometry is model-sized),
+# sampled rows per cell, and the pairs from which ``auto`` uses them.
+MIN_CELL_ROWS = 1_000
+MAX_CELLS = 2_048
+SAMPLE_PER_CELL = 16
+CELL_MIN_PAIRS = 10**9
+# Tasks of a cell search: so many a core, or one for so many pairs.
+TASKS_PER_CORE, PAIRS_PER_TASK = 2, 10**9
+# Share of all pairs from which the block plan is cheaper than a second round.
+WORTHWHILE = 0.5
 # Up to this many groups each gets its own task exactly; beyond, hashing
 # spreads groups evenly enough.
 EXACT_PLACEMENT_GROUPS = 4_096
@@ -103,33 +121,6 @@ def ordered_keys(df: DataFrame, id_col: str) -> DataFrame:
     return cut_lineage(ids.select("_orig", F.monotonically_increasing_id().alias("_key")))
 
 
-_PARTITION_KEYS: dict[int, list[int]] = {}
-
-
-def partition_keys(spark, n: int) -> list[int]:
-    """For each partition p < n, a long key that hash partitioning into n
-    partitions sends to p (Spark partitions by ``pmod(hash(key), n)``, the
-    same Murmur3 hash with a fixed seed as the SQL ``hash`` function, so the
-    table depends on n only and is kept per n)."""
-    if n in _PARTITION_KEYS:
-        return _PARTITION_KEYS[n]
-    found: dict[int, int] = {}
-    span = 16 * n
-    start = 0
-    while len(found) < n:
-        rows = (
-            spark.range(start, start + span)
-            .select("id", F.pmod(F.hash("id"), F.lit(n)).alias("p"))
-            .groupBy("p").agg(F.min("id").alias("id"))
-            .collect()
-        )
-        for r in rows:
-            found.setdefault(r["p"], r["id"])
-        start += span
-    _PARTITION_KEYS[n] = [found[p] for p in range(n)]
-    return _PARTITION_KEYS[n]
-
-
 def _first_equal(row: np.ndarray, value: float, count: int) -> np.ndarray:
     """Positions of the first ``count`` entries equal to ``value``, scanning
     growing segments so that frequent values stop early."""
@@ -287,15 +278,17 @@ class KNNModel:
     strategy: str = "auto"
     band_rows: int | None = None
     id_keys: DataFrame | None = None  # (_orig, _key) where ids are not integers
+    cell_rows: int | None = None
+    work: dict = field(default_factory=dict)  # what the last cell search evaluated
 
     # --- shared executor ---------------------------------------------------
 
-    def _top_k_groups(self, t: DataFrame, q: DataFrame, n_groups: int, carry: list[str] = ()) -> DataFrame:
+    def _top_k_groups(self, t: DataFrame, q: DataFrame, n_groups: int, carry: list[str] = (), tasks: int | None = None) -> DataFrame:
         """Training rows ``t`` and query rows ``q`` carry ``_gs``, the groups
         they belong to; every group is one task computing its queries' k best
-        candidates.  ``carry`` query columns are passed through."""
+        candidates (or one of several in a row, with fewer ``tasks``).
+        ``carry`` query columns are passed through."""
         d, k, metric = self.n_features, self.k, self.metric
-        spark = t.sparkSession
         xcols = [f"_x{i}" for i in range(d)]
         carry = list(carry)
         t = t.select(F.explode("_gs").alias("_g"), F.lit(0).alias("_side"), "_id", *xcols, "_y",
@@ -303,12 +296,8 @@ class KNNModel:
         q = q.select(F.explode("_gs").alias("_g"), F.lit(1).alias("_side"), "_id", *xcols,
                      F.lit(None).cast("double").alias("_y"), *[F.col(c).cast("double").alias(c) for c in carry])
         if n_groups <= EXACT_PLACEMENT_GROUPS:
-            # One group per task: hash-partition on a key chosen so that group
-            # g lands in partition g (an explicit partition count is never
-            # coalesced away by AQE).
-            keys = partition_keys(spark, n_groups)
-            key_of = F.element_at(literal_longs(keys), F.col("_g").cast("int") + 1)
-            stacked = t.unionByName(q).withColumn("_g", key_of).repartition(n_groups, "_g")
+            # one group per task (an explicit partition count is never coalesced away by AQE)
+            stacked = t.unionByName(q).withColumn("_g", F.col("_g").cast("int")).repartitionById(min(n_groups, tasks or n_groups), "_g")
         else:
             stacked = t.unionByName(q).repartition(min(n_groups, MAX_TASKS), "_g")
         fields = [
@@ -355,7 +344,10 @@ class KNNModel:
 
     def _search(self, q: DataFrame, n_query: int) -> DataFrame:
         """(query_id, rank, train_id, distance) between rows as they are."""
-        out = self._banded(q, n_query) if self._use_bands(q.sparkSession, n_query) else self._blocked(q, n_query)
+        if self._use_cells(n_query):
+            out = self._celled(q, n_query)
+        else:
+            out = self._banded(q, n_query) if self._use_bands(q.sparkSession, n_query) else self._blocked(q, n_query)
         return out.select("query_id", "rank", "train_id", "distance")
 
     def _search_distinct(self, q: DataFrame) -> DataFrame:
@@ -408,6 +400,129 @@ class KNNModel:
         cands = self._top_k_groups(tt, qq, b_t * b_q)
         return self._merge(cands, self.k) if b_t > 1 else cands
 
+    # --- cells -----------------------------------------------------------------
+
+    def _use_cells(self, n_query: int) -> bool:
+        return self.strategy == "cells" or (self.strategy == "auto" and self.n_train * n_query >= CELL_MIN_PAIRS)
+
+    def _geometry(self, rows: DataFrame):
+        """Cells from the rows of lowest id hash, a bounded sample."""
+        want = max(1, min(MAX_CELLS, self.n_train // (self.cell_rows or max(MIN_CELL_ROWS, self.k))))
+        sample = rows.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_PER_CELL * want).select("_v").collect()
+        x = np.array([r["_v"] for r in sample], dtype=float)
+        kind = Boxes if self.n_features <= BAND_MAX_FEATURES else Balls
+        return kind.fit(x, want, self.metric == "euclidean")
+
+    def _celled(self, q: DataFrame, n_query: int) -> DataFrame:
+        """Exact search that visits the cells whose bound lies within a query's k-th distance."""
+        d, k = self.n_features, min(self.k, self.n_train)
+        xs = [f"_x{i}" for i in range(d)]
+        apart = [F.col("_v")[i].alias(x) for i, x in enumerate(xs)]
+        train = self.train.select(F.col("_tid").cast("long").alias("_id"), F.array(*xs).alias("_v"), "_y")
+        geometry = self._geometry(train)
+        n_cells = geometry.n_cells
+
+        def place(batches):
+            for b in batches:
+                if b.num_rows:
+                    cell, dist = geometry.assign(vectors(b.column(1), d))
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int32)), pa.array(dist)], ["_id", "_v", "_y", "_cell", "_dist"])
+
+        t = cut_lineage(train.mapInArrow(place, "_id long, _v array<double>, _y double, _cell int, _dist double"))
+        edges = [F.min("_dist").alias("a0"), F.max("_dist").alias("b0")] if isinstance(geometry, Balls) else [
+            f(F.col("_v")[i]).alias(f"{n}{i}") for i in range(d) for f, n in ((F.min, "a"), (F.max, "b"))]
+        stats = t.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), *edges).collect()  # a row per cell
+        counts = np.zeros(n_cells, np.int64)
+        if isinstance(geometry, Balls):
+            low, high = np.full(n_cells, np.inf), np.full(n_cells, -np.inf)
+        else:
+            low, high = np.full((n_cells, d), np.inf), np.full((n_cells, d), -np.inf)
+        for r in stats:
+            counts[r["_cell"]] = r["n"]
+            if isinstance(geometry, Balls):
+                low[r["_cell"]], high[r["_cell"]] = r["a0"], r["b0"]
+            else:
+                low[r["_cell"]], high[r["_cell"]] = [r[f"a{i}"] for i in range(d)], [r[f"b{i}"] for i in range(d)]
+        geometry.bounded(low, high)
+        t_blocks = -(-counts // self.train_block_rows)
+        names = ["_id", "_v", "_cells"]
+
+        def listed(b, lists):
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(lists).astype(np.int32)))], names)
+
+        def steps(b):
+            size = max(1, (1 << 22) // max(1, n_cells))
+            for at in range(0, b.num_rows, size):
+                yield b.slice(at, size)
+
+        def begin(batches):
+            for b in batches:
+                for part in steps(b):
+                    yield listed(part, first_cells(geometry, vectors(part.column(1), d), counts, k))
+
+        def go_on(batches):
+            for b in batches:
+                for part in steps(b):
+                    seen = [np.array(x, dtype=np.int64) for x in part.column(2).to_pylist()]
+                    kth = part.column(3).to_numpy(zero_copy_only=False)
+                    yield listed(part, open_cells(geometry, vectors(part.column(1), d), counts, kth, seen))
+
+        def planned(asked: DataFrame):
+            """Queries of each cell, their blocks and the pairs they make."""
+            held = np.zeros(n_cells, np.int64)
+            for r in asked.select(F.explode("_cells").alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect():
+                held[r["c"]] = r["n"]
+            return held, -(-held // self.query_block_rows), int((held * counts).sum())
+
+        def search(asked: DataFrame, held_by: np.ndarray, q_blocks: np.ndarray) -> DataFrame:
+            # cell c has t_blocks x q_blocks groups, numbered from first[c] on
+            groups = t_blocks * q_blocks
+            first = literal_longs((np.cumsum(groups) - groups).tolist())
+            tb, qb = literal_longs(t_blocks.tolist()), literal_longs(q_blocks.tolist())
+
+            def of(arr, c):
+                return F.element_at(arr, c + 1)
+
+            def mine(n):
+                return F.pmod(F.xxhash64("_id"), F.greatest(n, F.lit(1)))
+
+            c = F.col("_cell")
+            t_side = t.select("_id", "_y", *apart, F.when(of(qb, c) > 0, F.transform(
+                F.sequence(F.lit(0).cast("long"), of(qb, c) - 1), lambda j: of(first, c) + mine(of(tb, c)) * of(qb, c) + j)).alias("_gs"))
+            q_side = asked.select("_id", *apart, F.flatten(F.transform("_cells", lambda c: F.transform(
+                F.sequence(F.lit(0).cast("long"), of(tb, c) - 1), lambda i: of(first, c) + i * of(qb, c) + mine(of(qb, c))))).alias("_gs"))
+            # cells are small: several groups a task, by the pairs they hold
+            n = int(groups.sum())
+            tasks = max(TASKS_PER_CORE * parallelism(q.sparkSession), math.ceil(int((held_by * counts).sum()) / PAIRS_PER_TASK))
+            return self._merge(self._top_k_groups(t_side.where("_gs IS NOT NULL"), q_side, n, tasks=tasks), self.k)
+
+        schema = "_id long, _v array<double>, _cells array<int>"
+        rows = q.select("_id", F.array(*xs).alias("_v"))
+        asked = cut_lineage(rows.mapInArrow(begin, schema))
+        held, q_blocks, pairs = planned(asked)
+        near = cut_lineage(search(asked, held, q_blocks).select("query_id", "rank", "train_id", "distance", "target"))
+        kth = near.groupBy("query_id").agg(F.max("distance").alias("_kth"))
+        more = asked.join(kth, asked["_id"] == kth["query_id"]).select("_id", "_v", "_cells", "_kth").mapInArrow(go_on, schema)
+        more = cut_lineage(more.where(F.size("_cells") > 0))
+        again, q_more, pairs_more = planned(more)
+        everything = self.n_train * max(1, n_query)
+        n_more = more.count()
+        self.work.update(
+            cells=n_cells, pairs=pairs + pairs_more, share=(pairs + pairs_more) / everything,
+            cells_per_query=float((held + again).sum() / max(1, n_query)),
+            copies_per_row=float((counts * (q_blocks + q_more)).sum() / max(1, self.n_train)), second_round=n_more,
+        )
+        if not n_more:
+            return near
+        if pairs_more > WORTHWHILE * self.n_train * n_more:  # bounds that rule out little: plain blocks
+            self.work.update(pairs=pairs + self.n_train * n_more, share=(pairs + self.n_train * n_more) / everything, blocks=True)
+            rest = self._blocked(more.select("_id", *apart), n_more).select(*near.columns)
+            done = near.join(more.select(F.col("_id").alias("query_id")), "query_id", "left_anti")
+            return done.select(*near.columns).unionByName(rest)
+        found = search(more, again, q_more).select(*near.columns)
+        return self._merge(near.drop("rank").unionByName(found.drop("rank")), self.k).select(*near.columns)
+
     # --- banded search ---------------------------------------------------------
 
     def _band_count(self, spark) -> int:
@@ -436,7 +551,7 @@ class KNNModel:
     def _use_bands(self, spark, n_query: int) -> bool:
         """``auto``: bands when the brute-force work is large enough to repay
         the band set-up jobs, for low-dimensional features."""
-        if self.strategy == "blocks" or self.spread is None:
+        if self.strategy in ("blocks", "cells") or self.spread is None:
             return False
         if self.strategy == "bands":
             return True
@@ -654,7 +769,7 @@ def predictions_from_neighbours(nb: DataFrame, weighting: str, output: str = "pr
 class KNeighborsRegressor(FittedState):
     def __init__(self, k: int, weighting: str = "uniform", metric: str = "euclidean",
                  train_block_rows: int = 200_000, query_block_rows: int = 50_000,
-                 strategy: str = "auto", band_rows: int | None = None):
+                 strategy: str = "auto", band_rows: int | None = None, cell_rows: int | None = None):
         if weighting not in WEIGHTINGS:
             raise ValueError(f"weighting must be one of {WEIGHTINGS}")
         if strategy not in STRATEGIES:
@@ -666,6 +781,7 @@ class KNeighborsRegressor(FittedState):
         self.query_block_rows = int(query_block_rows)
         self.strategy = strategy
         self.band_rows = band_rows
+        self.cell_rows = cell_rows
 
     def fit(self, df: DataFrame, features: Sequence[str] | str, target: str, id_col: str = "id") -> KNNModel:
         """Checks the training matrix and targets; the model is lazy (no
@@ -689,5 +805,5 @@ class KNeighborsRegressor(FittedState):
             train=_with_keys(train, "_tid", keys), id_keys=keys, n_train=n, n_features=d, k=self.k, weighting=self.weighting, metric=self.metric,
             id_type=df.schema[id_col].dataType, train_block_rows=self.train_block_rows,
             query_block_rows=self.query_block_rows, spread=spread, strategy=self.strategy,
-            band_rows=self.band_rows,
+            band_rows=self.band_rows, cell_rows=self.cell_rows,
         ))

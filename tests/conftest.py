@@ -15,6 +15,7 @@ def spark():
     b = SparkSession.builder.master("local[*]").appName("tessera-tests")
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
+    b = b.config("spark.driver.memory", "4g")  # one JVM for all tests; its Arrow pools grow with it
     s = b.config("spark.sql.shuffle.partitions", "8").getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
