@@ -17,16 +17,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FAN_IN = 64
-SCHEMA = "part int, v binary"
+SCHEMA = "part int, v binary, x binary"
+NO_LONGS = np.zeros(0, np.int64)
 
 
-def _row(part: int, total: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.astype("<f8").tobytes()], pa.binary())], ["part", "v"])
+def _row(part: int, total: np.ndarray, mixed: np.ndarray) -> pa.RecordBatch:
+    cells = [pa.array([total.astype("<f8").tobytes()], pa.binary()), pa.array([mixed.astype("<i8").tobytes()], pa.binary())]
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *cells], ["part", "v", "x"])
 
 
-def partial_sums(df: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray | None], np.ndarray]) -> DataFrame:
-    """One row per task that has rows: its number and its array, built up by
-    ``total = add(batch, total)``."""
+def partial_sums(df: DataFrame, add: Callable[[pa.RecordBatch, tuple | None], tuple]) -> DataFrame:
+    """One row per task that has rows: its number and its (floats, longs),
+    built up by ``total = add(batch, total)``.  Floats are summed over tasks,
+    longs (fingerprints) xor-ed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -34,36 +37,38 @@ def partial_sums(df: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray | None
             if b.num_rows:
                 total = add(b, total)
         if total is not None:
-            yield _row(TaskContext.get().partitionId(), np.asarray(total, dtype=float).ravel())
+            yield _row(TaskContext.get().partitionId(), np.asarray(total[0], dtype=float).ravel(), np.asarray(total[1], dtype=np.int64).ravel())
 
     return df.mapInArrow(run, SCHEMA)
 
 
 def _level(parts: DataFrame, n: int, fan_in: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        total, mixed = None, None
         for b in batches:
-            for v in b.column("v"):
-                x = np.frombuffer(v.as_buffer(), "<f8")
-                total = x.copy() if total is None else np.add(total, x, out=total)
+            for v, x in zip(b.column("v"), b.column("x"), strict=True):
+                floats, longs = np.frombuffer(v.as_py(), "<f8"), np.frombuffer(x.as_py(), "<i8")
+                total = floats.copy() if total is None else np.add(total, floats, out=total)
+                mixed = longs.copy() if mixed is None else np.bitwise_xor(mixed, longs, out=mixed)
         if total is not None:
-            yield _row(TaskContext.get().partitionId(), total)
+            yield _row(TaskContext.get().partitionId(), total, mixed)
 
     group = F.floor(F.col("part") / fan_in).cast("int")
     return parts.repartitionById(n, group).sortWithinPartitions("part").mapInArrow(run, SCHEMA)
 
 
-def tree_sum(parts: DataFrame, n_parts: int, fan_in: int = FAN_IN) -> np.ndarray | None:
-    """The sum of ``partial_sums`` over ``n_parts`` tasks (None without rows);
-    at most ``fan_in`` arrays reach any task or the driver."""
+def tree_sum(parts: DataFrame, n_parts: int, fan_in: int = FAN_IN) -> tuple[np.ndarray, np.ndarray] | None:
+    """The (floats, longs) of ``partial_sums`` over ``n_parts`` tasks (None
+    without rows); at most ``fan_in`` arrays reach any task or the driver."""
     while n_parts > fan_in:
         n_parts = -(-n_parts // fan_in)
         parts = _level(parts, n_parts, fan_in)
-    total = None
+    total, mixed = None, None
     for r in sorted(parts.collect(), key=lambda r: r["part"]):
-        x = np.frombuffer(bytes(r["v"]), "<f8")
-        total = x.copy() if total is None else total + x
-    return total
+        floats, longs = np.frombuffer(bytes(r["v"]), "<f8"), np.frombuffer(bytes(r["x"]), "<i8")
+        total = floats.copy() if total is None else total + floats
+        mixed = longs.copy() if mixed is None else mixed ^ longs
+    return None if total is None else (total, mixed)
 
 
 def n_tasks(df: DataFrame) -> int:

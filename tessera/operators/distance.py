@@ -118,5 +118,6 @@ def distance_to_group_mean(
     means, d = means if means is not None else group_means(df, features, id_col, group_col)
     m = as_matrix(df, features, id_col).with_width(d)
     rows = df.select(F.col(id_col), F.col(group_col), F.array(*m.xs(d)).alias("_v"))
-    j = rows.join(means, group_col)
+    centres = means.withColumnRenamed(group_col, "_group")  # rows without a group are one too
+    j = rows.join(centres, rows[group_col].eqNullSafe(centres["_group"]))
     return j.select(id_col, group_col, array_distance(F.col("_v"), F.col("_centre"), metric).alias(output))

@@ -86,10 +86,10 @@ MAX_BANDS = 4_096
 BAND_MIN_PAIRS = 10**10
 # Cells: rows of one at least, cells at most (their geometry is model-sized),
 # sampled rows per cell, and the pairs from which ``auto`` uses them.
-MIN_CELL_ROWS = 1_000
+MIN_CELL_ROWS = 250
 MAX_CELLS = 2_048
 SAMPLE_PER_CELL = 16
-CELL_MIN_PAIRS = 10**9
+CELL_MIN_PAIRS = 10**10
 # Tasks of a cell search: so many a core, or one for so many pairs.
 TASKS_PER_CORE, PAIRS_PER_TASK = 2, 10**9
 # Share of all pairs from which the block plan is cheaper than a second round.

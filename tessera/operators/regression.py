@@ -30,10 +30,11 @@ from ..frames import Matrix, as_matrix
 from ..functions import sqltext as S
 from ..functions.vector import affine, log_loss, sigmoid
 from ..session import ITERATION_CONF, persist, scoped_conf
+from . import barrier
 from .checks import check_feature_count, scan
 from .estimator import FittedState
 from .gram import WIDE, blocked_gram
-from .wide import affine_column, logistic_sums
+from .wide import affine_column, logistic_part, logistic_sums, vectors
 
 TRACE_EVERY = 100
 
@@ -166,9 +167,10 @@ class LogisticRegression(FittedState):
     """Targets must lie in [0, 1]; fractions are accepted.  Scores are not
     thresholded."""
 
-    def __init__(self, learning_rate: float, iterations: int):
+    def __init__(self, learning_rate: float, iterations: int, one_job: bool = False):
         self.learning_rate = float(learning_rate)
         self.iterations = int(iterations)
+        self.one_job = one_job  # see ``barrier``: where its exchange is cheaper than a job
 
     def fit(self, df: DataFrame, features: Sequence[str] | str, target: str, id_col: str = "id") -> LogisticModel:
         check_iterations(self.iterations)
@@ -176,6 +178,9 @@ class LogisticRegression(FittedState):
         res = scan(m, target=target, logistic=True)
         m, n, d = res.matrix, res.n_rows, res.n_features
         y = F.col(target).cast("double").alias("_y")
+        spark = df.sparkSession
+        if self.one_job and barrier.fits(spark, n, 8 * (d + 1), 8 * (d + 2)):
+            return self._keep(self._one_job(df.select(y, m.vector(d).alias("_v")), n, d))
         xs = [m.vector(d).alias("_v")] if d > WIDE else [x.alias(f"_x{i}") for i, x in enumerate(m.xs(d))]
         base = persist(df.select(*xs, y))
         w = np.zeros(d + 1)
@@ -194,3 +199,20 @@ class LogisticRegression(FittedState):
             base.unpersist()
         return self._keep(LogisticModel(weights=w, losses=losses, diverged=not bool(np.all(np.isfinite(w)))))
 
+
+    def _one_job(self, rows: DataFrame, n: int, d: int) -> LogisticModel:
+        """All steps in one barrier stage."""
+        lr, every = self.learning_rate, TRACE_EVERY
+
+        def part(batches):
+            held = [(b.column(0).to_numpy(zero_copy_only=False), vectors(b.column(1), d)) for b in batches if b.num_rows]
+            y = np.concatenate([a for a, _ in held]) if held else np.zeros(0)
+            x = np.concatenate([v for _, v in held]) if held else np.zeros((0, d))
+            return lambda w, step: (logistic_part(y, x, w), np.zeros(0, np.int64))
+
+        def update(w, total, _, step):
+            with np.errstate(all="ignore"):
+                return w - lr * total[: d + 1] / n, float(total[d + 1]) / n if step % every == 0 else None, False
+
+        w, _, losses, _ = barrier.run(rows, barrier.tasks_for(rows.sparkSession, n, 8 * (d + 1)), np.zeros(d + 1), self.iterations, part, update)
+        return LogisticModel(weights=w, losses=losses, diverged=not bool(np.all(np.isfinite(w))))

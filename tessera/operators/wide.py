@@ -3,20 +3,19 @@
 Column expressions are the shorter way for a few features; k x d or d + 1 of
 them stop compiling for wide vectors.  Here each task reads its rows as Arrow
 batches of one array column, works with matrix products, adds up one partial
-result and emits it once, as (position, value) rows that a grouped sum (with
-partial aggregation) combines.  Only the model-sized sums reach the driver.
+result and emits it once; the results are added level by level (``combine``).
+Only the model-sized sums reach the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vector import LOG_LOSS_EPSILON
+from .combine import NO_LONGS, n_tasks, partial_sums, tree_sum
 
 #: Cluster count x width up to which k-means uses column expressions.
 NARROW_CELLS = 64
@@ -83,8 +82,20 @@ def affine_column(arr: Column, weights: np.ndarray) -> Column:
     return F.arrow_udf(run, "double")(arr)
 
 
-def _summed(parts: DataFrame) -> list:
-    return parts.groupBy("c", "j").agg(F.sum("v").alias("v"), F.bit_xor("h").alias("h")).collect()
+def cluster_part(h: np.ndarray, v: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of some rows: feature sums with the member count as last column (k x
+    (d + 1)), and the xor of ``h`` per cluster."""
+    k, d = centroids.shape
+    sums, prints = np.zeros((k, d + 1)), np.zeros(k, dtype=np.int64)
+    if len(v):
+        c = nearest(v, centroids)
+        sums[:, d] = np.bincount(c, minlength=k)
+        order = np.argsort(c, kind="stable")
+        starts = np.flatnonzero(np.diff(c[order], prepend=-1))
+        which = c[order][starts]
+        sums[which, :d] = np.add.reduceat(v[order], starts, axis=0)
+        prints[which] = np.bitwise_xor.reduceat(h[order], starts)
+    return sums, prints
 
 
 def cluster_sums(base: DataFrame, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
@@ -92,65 +103,34 @@ def cluster_sums(base: DataFrame, centroids: np.ndarray) -> tuple[np.ndarray, np
     (k x d), and per cluster that has members (count, xor of ``_h``)."""
     k, d = centroids.shape
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, sums, prints = np.zeros(k, dtype=np.int64), np.zeros((k, d)), np.zeros(k, dtype=np.int64)
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            h = b.column(0).to_numpy(zero_copy_only=False)
-            v = vectors(b.column(1), d)
-            c = nearest(v, centroids)
-            n += np.bincount(c, minlength=k)
-            order = np.argsort(c, kind="stable")
-            starts = np.flatnonzero(np.diff(c[order], prepend=-1))
-            which = c[order][starts]
-            sums[which] += np.add.reduceat(v[order], starts, axis=0)
-            prints[which] ^= np.bitwise_xor.reduceat(h[order], starts)
-        for c in np.flatnonzero(n):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(d + 1, c, dtype=np.int32)), pa.array(np.arange(d + 1, dtype=np.int32)),
-                    pa.array(np.append(sums[c], float(n[c]))), pa.array(np.append(np.zeros(d, dtype=np.int64), prints[c])),
-                ],
-                names=["c", "j", "v", "h"],
-            )
-
-    n, sums, found = np.zeros(k, dtype=np.int64), np.zeros((k, d)), {}
-    for r in _summed(base.select("_h", "_v").mapInArrow(partial, "c int, j int, v double, h long")):
-        if r["j"] == d:
-            n[r["c"]] = int(r["v"])
-            found[r["c"]] = (int(r["v"]), r["h"])
-        else:
-            sums[r["c"], r["j"]] = r["v"]
-    return n, sums, found
+    def add(b: pa.RecordBatch, total):
+        sums, prints = cluster_part(b.column(0).to_numpy(zero_copy_only=False), vectors(b.column(1), d), centroids)
+        return (sums, prints) if total is None else (total[0] + sums, total[1] ^ prints)
+
+    out = tree_sum(partial_sums(base.select("_h", "_v"), add), n_tasks(base))
+    sums, prints = out if out is not None else (np.zeros(k * (d + 1)), np.zeros(k, dtype=np.int64))
+    sums = sums.reshape(k, d + 1)
+    n = sums[:, d].astype(np.int64)
+    return n, sums[:, :d], {int(c): (int(n[c]), int(prints[c])) for c in np.flatnonzero(n)}
+
+
+def logistic_part(y: np.ndarray, v: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Of some rows: the gradient sum ``X^T (p - y)`` (intercept first) and the summed log-loss."""
+    with np.errstate(all="ignore"):
+        p = 1.0 / (1.0 + np.exp(-(weights[0] + v @ weights[1:])))
+        r = p - y
+        q = np.clip(np.nan_to_num(p, nan=1.0), LOG_LOSS_EPSILON, 1.0 - LOG_LOSS_EPSILON)
+        return np.concatenate([[r.sum()], r @ v, [(-y * np.log(q) - (1.0 - y) * np.log(1.0 - q)).sum()]])
 
 
 def logistic_sums(base: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, float]:
-    """From rows (``_y`` double, ``_v`` array<double>): the gradient sum
-    ``X^T (p - y)`` (intercept first) and the summed log-loss."""
+    """From rows (``_y`` double, ``_v`` array<double>): ``logistic_part`` of all."""
     d = len(weights) - 1
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = np.zeros(d + 2), False
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            seen = True
-            y = b.column(0).to_numpy(zero_copy_only=False)
-            v = vectors(b.column(1), d)
-            with np.errstate(all="ignore"):
-                p = 1.0 / (1.0 + np.exp(-(weights[0] + v @ weights[1:])))
-                r = p - y
-                q = np.clip(np.nan_to_num(p, nan=1.0), LOG_LOSS_EPSILON, 1.0 - LOG_LOSS_EPSILON)
-                total[0] += r.sum()
-                total[1 : d + 1] += r @ v
-                total[d + 1] += (-y * np.log(q) - (1.0 - y) * np.log(1.0 - q)).sum()
-        if seen:
-            where = np.arange(d + 2, dtype=np.int32)
-            zero = np.zeros(d + 2, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(zero.astype(np.int32)), pa.array(where), pa.array(total), pa.array(zero)], names=["c", "j", "v", "h"])
-
-    out = np.zeros(d + 2)
-    for r in _summed(base.select("_y", "_v").mapInArrow(partial, "c int, j int, v double, h long")):
-        out[r["j"]] = r["v"]
-    return out[: d + 1], float(out[d + 1])
+    def add(b: pa.RecordBatch, total):
+        part = logistic_part(b.column(0).to_numpy(zero_copy_only=False), vectors(b.column(1), d), weights)
+        return (part, NO_LONGS) if total is None else (total[0] + part, NO_LONGS)
+
+    out = tree_sum(partial_sums(base.select("_y", "_v"), add), n_tasks(base))
+    total = out[0] if out is not None else np.zeros(d + 2)
+    return total[: d + 1], float(total[d + 1])

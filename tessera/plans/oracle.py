@@ -122,7 +122,7 @@ def _to_class_centre(metric: str) -> str:
 WITH {_EMB_CELLS},
 c AS (SELECT label, pos, avg(v) AS cv FROM x GROUP BY label, pos)
 SELECT x.vec_id, x.label, round({agg}, 6) + 0.0 AS distance
-FROM x JOIN c ON x.label = c.label AND x.pos = c.pos
+FROM x JOIN c ON x.label IS NOT DISTINCT FROM c.label AND x.pos = c.pos
 GROUP BY x.vec_id, x.label
 """
 

@@ -8,8 +8,9 @@ from tessera.operators import combine
 
 def adder():
     def add(batch, total):  # a nested function is shipped whole
-        x = np.array([batch.num_rows, np.sum(batch.column(0).to_numpy()), 0.1 * batch.num_rows])
-        return x if total is None else total + x
+        i = batch.column(0).to_numpy()
+        x, h = np.array([batch.num_rows, i.sum(), 0.1 * batch.num_rows]), np.array([np.bitwise_xor.reduce(i * 31)])
+        return (x, h) if total is None else (total[0] + x, total[1] ^ h)
 
     return add
 
@@ -19,9 +20,10 @@ def test_sum_over_partitions(spark, parts, fan_in):
     df = spark.range(0, 5000, 1, parts)
     assert combine.n_tasks(df) == parts
     partial = combine.partial_sums(df, adder())
-    total = combine.tree_sum(partial, parts, fan_in)
+    total, mixed = combine.tree_sum(partial, parts, fan_in)
     assert total[:2].tolist() == [5000, 5000 * 4999 / 2]
-    assert total.tobytes() == combine.tree_sum(partial, parts, fan_in).tobytes()
+    assert mixed.tolist() == [np.bitwise_xor.reduce(np.arange(5000) * 31)]
+    assert total.tobytes() == combine.tree_sum(partial, parts, fan_in)[0].tobytes()
 
 
 def test_no_more_than_fan_in_meet(spark):
