@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.combine import n_tasks, partial_sums, tree_sum
+from ..operators.combine import NO_LONGS, n_tasks, partial_sums, tree_sum
 from .common import checkpointed, read, run_starts
 from .components import connected
 
@@ -103,11 +103,11 @@ def fitted_gram(nodes: DataFrame, d: int) -> np.ndarray:
     """Sum of u u^T over the unit vectors of width d, added up level by level."""
     have = nodes.where(F.size("v") == d).select("v")
 
-    def add(b: pa.RecordBatch, total: np.ndarray | None) -> np.ndarray:
+    def add(b: pa.RecordBatch, total: tuple | None) -> tuple:
         u = unit(np.stack(vectors_of(b.column(0))))
-        return u.T @ u if total is None else total + u.T @ u
+        return (u.T @ u if total is None else total[0] + u.T @ u, NO_LONGS)
 
-    return tree_sum(partial_sums(have, add), n_tasks(have)).reshape(d, d)
+    return tree_sum(partial_sums(have, add), n_tasks(have))[0].reshape(d, d)
 
 
 class Grid:
