@@ -20,6 +20,11 @@ from pyspark.sql import functions as F
 from .. import errors as E
 from ..frames import Matrix
 from ..functions.vector import nonfinite
+from .array_scan import array_scan, supports
+
+
+#: Named columns beyond which moments are taken from one array in Arrow batches.
+WIDE_COLUMNS = 32
 
 
 @dataclass
@@ -31,6 +36,7 @@ class ScanResult:
     sd: np.ndarray | None = None
     lo: np.ndarray | None = None
     hi: np.ndarray | None = None
+    comoment: np.ndarray | None = None  # sums of products about the means
     extra: dict = field(default_factory=dict)
 
 
@@ -100,15 +106,27 @@ def scan(
     logistic: bool = False,
     moments: bool = False,
     extra_aggs: list[Column] | None = None,
+    comoments: bool = False,
 ) -> ScanResult:
     """Validate a matrix (and optionally targets) and gather per-column moments.
 
-    Named-column matrices need one aggregate job; array matrices need one to
-    learn the width and a second for moments.
+    One job: column expressions for named columns and for checks alone;
+    moments of array rows and of many named columns in Arrow batches
+    (``array_scan``; with ``comoments`` up to its width limit).  Array rows
+    with targets or ids of other types take a second job for moments.
     """
     df, idc = m.df, F.col(m.id_col)
     extra_aggs = list(extra_aggs or [])
-    if not m.is_array:
+    wide = m.is_array or m.n_features > WIDE_COLUMNS
+    in_arrow = moments and wide and target is None and not extra_aggs and supports(m)
+    if not m.is_array and in_arrow:
+        row = array_scan(m, comoments)
+        n, d = row["_n"], m.n_features
+        if n == 0:
+            raise E.EmptyDataset()
+        if row["_bad"] is not None:
+            raise E.NonFiniteInput(row=rank_of(df, m.id_col, row["_bad"]["id"]), column=row["_bad"]["col"])
+    elif not m.is_array:
         aggs = [F.count(F.lit(1)).alias("_n"), _first_bad_named(m).alias("_bad")]
         if target is not None:
             aggs += _target_aggs(m, target, logistic)
@@ -132,7 +150,7 @@ def scan(
         ]
         if target is not None:
             aggs += _target_aggs(m, target, logistic)
-        row = df.agg(*aggs).first()
+        row = array_scan(m, comoments) if in_arrow else df.agg(*aggs).first()
         n = row["_n"]
         if n == 0:
             raise E.EmptyDataset()
@@ -160,14 +178,17 @@ def scan(
             raise E.NonFiniteInput(row=rank_of(df, m.id_col, row["_bad"]["id"]), column=row["_bad"]["col"])
         d = expected
         m = m.with_width(d)
-        if moments or extra_aggs:
+        if (moments and not in_arrow) or extra_aggs:
             more = _moment_aggs(m.xs()) if moments else []
             mrow = df.agg(F.count(F.lit(1)).alias("_n2"), *more, *extra_aggs).first().asDict()
             row = {**row.asDict(), **mrow}
     if target is not None:
         _raise_targets(m, row, n, logistic)
     res = ScanResult(n_rows=n, n_features=d, matrix=m)
-    if moments:
+    if in_arrow:
+        got = row["_moments"]
+        res.mean, res.sd, res.lo, res.hi, res.comoment = (got[k] for k in ("mean", "sd", "lo", "hi", "comoment"))
+    elif moments:
         res.mean = np.array([row[f"_mean{i}"] for i in range(d)], dtype=float)
         res.sd = np.array([row[f"_sd{i}"] if row[f"_sd{i}"] is not None else np.nan for i in range(d)], dtype=float)
         res.lo = np.array([row[f"_lo{i}"] for i in range(d)], dtype=float)

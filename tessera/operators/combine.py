@@ -8,6 +8,7 @@ over the same partitions gives the same sum to the last bit.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,8 +17,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import parallelism
+
 FAN_IN = 64
 SCHEMA = "part int, v binary, x binary"
+STATE_SCHEMA = "part int, state binary"
 NO_LONGS = np.zeros(0, np.int64)
 
 
@@ -71,6 +75,49 @@ def tree_sum(parts: DataFrame, n_parts: int, fan_in: int = FAN_IN) -> tuple[np.n
     return None if total is None else (total, mixed)
 
 
+def partial_states(df: DataFrame, add: Callable[[pa.RecordBatch, object], object]) -> DataFrame:
+    """One row per task that has rows: its number and its state, built up by
+    ``state = add(batch, state)`` (plain values and numpy arrays)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = None
+        for b in batches:
+            if b.num_rows:
+                state = add(b, state)
+        if state is not None:
+            yield _state(TaskContext.get().partitionId(), state)
+
+    return df.mapInArrow(run, STATE_SCHEMA)
+
+
+def _state(part: int, state: object) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([pickle.dumps(state)], pa.binary())], ["part", "state"])
+
+
+def tree_fold(parts: DataFrame, merge: Callable) -> object | None:
+    """The states of ``partial_states`` merged in task order (None without
+    rows).  How many tasks made them need not be known: they are merged in as
+    many groups as there are cores, then in ``FAN_IN``, which reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, part = None, 0
+        for b in batches:
+            for p, raw in zip(b.column("part"), b.column("state"), strict=True):
+                state = pickle.loads(raw.as_py())
+                total, part = (state, p.as_py()) if total is None else (merge(total, state), part)
+        if total is not None:
+            yield _state(part, total)
+
+    cores = parallelism(parts.sparkSession)
+    for n in (cores, FAN_IN) if cores > FAN_IN else (cores,):
+        parts = parts.repartitionById(n, F.col("part") % n).sortWithinPartitions("part").mapInArrow(run, STATE_SCHEMA)
+    total = None
+    for r in sorted(parts.collect(), key=lambda r: r["part"]):
+        state = pickle.loads(bytes(r["state"]))
+        total = state if total is None else merge(total, state)
+    return total
+
+
 def n_tasks(df: DataFrame) -> int:
     """Tasks that a scan of ``df`` takes; for scans and persisted or
     checkpointed tables, of which asking runs nothing."""

@@ -1,10 +1,9 @@
 """Column moments, standardisation and the covariance of standardised data.
 
-fit: one aggregate job (checks + mean, sample sd, min, max per column).
+fit: one pass (checks + mean, sample sd, min, max per column).
 apply: a narrow projection with the moments as literals (no shuffle, works
-on streaming DataFrames too).
-covariance: d(d+1)/2 covariances in the same aggregate as the checks and
-moments (one pass over the data).
+on streaming DataFrames too); array rows beyond ``WIDE`` features as matrices.
+covariance: d(d+1)/2 covariances in the same pass as the checks and moments.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from ..frames import Matrix, as_matrix
 from .checks import ScanResult, check_feature_count, check_variance, scan
 from .gram import WIDE, blocked_gram
+from .wide import scaled_column
 
 
 @dataclass(frozen=True)
@@ -47,10 +47,13 @@ class StandardiserModel:
         """Standardised features.  ``output`` names the result columns (default:
         the input names; for an array input, an array column of the same name)."""
         m = check_feature_count(self.n_features, as_matrix(df, features, id_col), validate)
-        zs = self.exprs(m.xs(self.n_features))
         keep_cols = [F.col(c) for c in keep]
+        name = output if isinstance(output, str) else m.array_col
+        if m.is_array and self.n_features > WIDE:
+            scaled = scaled_column(m.vector(self.n_features), self.mean, self.sd)
+            return df.select(F.col(id_col), *keep_cols, scaled.alias(name))
+        zs = self.exprs(m.xs(self.n_features))
         if m.is_array:
-            name = output if isinstance(output, str) else m.array_col
             return df.select(F.col(id_col), *keep_cols, F.array(*zs).alias(name))
         names = list(output) if output is not None else list(m.columns)
         return df.select(F.col(id_col), *keep_cols, *[z.alias(n) for z, n in zip(zs, names, strict=True)])
@@ -99,16 +102,19 @@ def _covariance_aggs(xs: Sequence[Column]) -> list[Column]:
 
 
 def scan_with_covariance(m: Matrix) -> ScanResult:
-    """Checks, moments and (up to ``WIDE`` named columns) covariances in one aggregate."""
-    one_pass = not m.is_array and m.n_features <= WIDE
-    return scan(m, moments=True, extra_aggs=_covariance_aggs(m.xs()) if one_pass else None)
+    """Checks, moments and covariances in one pass: column expressions for up
+    to ``WIDE`` named columns, else Arrow batches (up to their width limit)."""
+    named = not m.is_array and m.n_features <= WIDE
+    return scan(m, moments=True, extra_aggs=_covariance_aggs(m.xs()) if named else None, comoments=not named)
 
 
 def standardised_covariance(res: ScanResult, model: StandardiserModel) -> np.ndarray:
     """Covariance of the standardised matrix, divided by n: the columns'
-    covariances over their standard deviations.  Array rows (whose width the
-    scan had to learn first) and wide matrices take one more aggregate."""
+    covariances over their standard deviations.  Matrices too wide for the
+    scan's co-moments take one more aggregate."""
     m, d = res.matrix, model.n_features
+    if res.comoment is not None:
+        return res.comoment / res.n_rows / np.outer(model.sd, model.sd)
     if d > WIDE:
         return blocked_gram(m.df, m.xs(d), model.mean, model.sd) / res.n_rows
     row = res.extra or m.df.agg(*_covariance_aggs(m.xs(d))).first()

@@ -82,6 +82,41 @@ def affine_column(arr: Column, weights: np.ndarray) -> Column:
     return F.arrow_udf(run, "double")(arr)
 
 
+def scaled_column(arr: Column, shift: np.ndarray, scale: np.ndarray, components: np.ndarray | None = None) -> Column:
+    """``(x - shift) / scale`` over an array<double> column, or its products
+    with the rows of ``components``, as an array<double>."""
+    d = len(shift)
+
+    def run(a: pa.Array) -> pa.Array:
+        v, step, parts = vectors(a, d), max(1, CHUNK_CELLS // d), []
+        with np.errstate(all="ignore"):
+            for at in range(0, len(v), step):
+                z = (v[at : at + step] - shift) / scale
+                parts.append(z if components is None else z @ components.T)
+        width = d if components is None else len(components)
+        flat = np.concatenate(parts).ravel() if parts else np.zeros(0)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1) * width, pa.int32()), pa.array(flat))
+
+    return F.arrow_udf(run, "array<double>")(arr)
+
+
+def product_sums(base: DataFrame, shift: np.ndarray, scale: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """``Z^T Z block`` with ``Z = (x - shift) / scale`` of the rows
+    (``_v`` array<double>): d x width sums, no d x d matrix."""
+    d, width = block.shape
+
+    def add(b: pa.RecordBatch, total):
+        v, step = vectors(b.column(0), d), max(1, CHUNK_CELLS // d)
+        out = np.zeros((d, width)) if total is None else total[0]
+        for at in range(0, len(v), step):
+            z = (v[at : at + step] - shift) / scale
+            out += z.T @ (z @ block)
+        return out, NO_LONGS
+
+    out = tree_sum(partial_sums(base.select("_v"), add), n_tasks(base))
+    return (np.zeros(d * width) if out is None else out[0]).reshape(d, width)
+
+
 def cluster_part(h: np.ndarray, v: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of some rows: feature sums with the member count as last column (k x
     (d + 1)), and the xor of ``h`` per cluster."""
