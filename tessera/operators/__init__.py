@@ -16,6 +16,7 @@ from .kmeans import KMeans, KMeansModel, initial_ranks, ids_at_ranks
 from .knn import KNeighborsRegressor, KNNModel
 from .pca import PCA, PCAModel
 from .regression import LinearModel, LinearRegression, LogisticModel, LogisticRegression
+from .riding import RidingCheck, StreamCheck
 from .scaling import (
     Standardiser,
     StandardiserModel,
@@ -27,7 +28,7 @@ from .scaling import (
 
 __all__ = [
     "KMeans", "KMeansModel", "KNeighborsRegressor", "KNNModel", "LinearModel", "LinearRegression",
-    "LogisticModel", "LogisticRegression", "PCA", "PCAModel", "Standardiser", "StandardiserModel",
+    "LogisticModel", "LogisticRegression", "PCA", "PCAModel", "RidingCheck", "Standardiser", "StandardiserModel", "StreamCheck",
     "check_feature_count", "check_matrix", "check_tolerance", "check_variance", "column_distance",
     "column_moments", "covariance_matrix", "covariance_of_standardised", "distance_to_group_mean",
     "group_means", "ids_at_ranks", "initial_ranks", "logistic_target_report", "matrix_report",
