@@ -117,13 +117,13 @@ def product_sums(base: DataFrame, shift: np.ndarray, scale: np.ndarray, block: n
     return (np.zeros(d * width) if out is None else out[0]).reshape(d, width)
 
 
-def cluster_part(h: np.ndarray, v: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def cluster_part(h: np.ndarray, v: np.ndarray, centroids: np.ndarray, clusters: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Of some rows: feature sums with the member count as last column (k x
-    (d + 1)), and the xor of ``h`` per cluster."""
+    (d + 1)), and the xor of ``h`` per cluster (``clusters``, if known)."""
     k, d = centroids.shape
     sums, prints = np.zeros((k, d + 1)), np.zeros(k, dtype=np.int64)
     if len(v):
-        c = nearest(v, centroids)
+        c = nearest(v, centroids) if clusters is None else clusters
         sums[:, d] = np.bincount(c, minlength=k)
         order = np.argsort(c, kind="stable")
         starts = np.flatnonzero(np.diff(c[order], prepend=-1))
