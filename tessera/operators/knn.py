@@ -121,6 +121,25 @@ def ordered_keys(df: DataFrame, id_col: str) -> DataFrame:
     return cut_lineage(ids.select("_orig", F.monotonically_increasing_id().alias("_key")))
 
 
+_PARTITION_KEYS: dict[int, list[int]] = {}
+
+
+def partition_keys(spark, n: int) -> list[int]:
+    """For each partition p < n, a long key that hash partitioning into n
+    partitions sends to p (Spark partitions by ``pmod(hash(key), n)``, so the
+    keys depend on n only and are kept per n).  The searches place groups by number instead."""
+    if n not in _PARTITION_KEYS:
+        found: dict[int, int] = {}
+        span, start = 16 * n, 0
+        while len(found) < n:
+            ids = spark.range(start, start + span).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("p"))
+            for r in ids.groupBy("p").agg(F.min("id").alias("id")).collect():
+                found.setdefault(r["p"], r["id"])
+            start += span
+        _PARTITION_KEYS[n] = [found[p] for p in range(n)]
+    return _PARTITION_KEYS[n]
+
+
 def _first_equal(row: np.ndarray, value: float, count: int) -> np.ndarray:
     """Positions of the first ``count`` entries equal to ``value``, scanning
     growing segments so that frequent values stop early."""
